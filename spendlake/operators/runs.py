@@ -17,11 +17,12 @@ def pair_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 def started_runs(submissions: DataFrame) -> DataFrame:
     """Submissions (ad_account_id, seq, code, body, error) with ``run_id`` and ``failure``, "" when started."""
-    run_id = F.get_json_object("body", "$.report_run_id")
-    # Only a truthy id counts: a run id of "", 0 or false is none.
-    filled = F.when(~F.coalesce(run_id, F.lit("")).isin("", "0", "false", "[]", "{}"), run_id)
-    failure = F.when(F.col("error") != "", F.col("error")).when(filled.isNull(), F.lit(NO_RUN_ID)).otherwise(F.lit(""))
-    return submissions.withColumn("run_id", filled).withColumn("failure", failure)
+    answer = F.variant_get(F.try_parse_json("body"), "$.report_run_id", "variant")
+    # As JSON text, the number 0 and the (valid) id "0" can be told apart.
+    given = ~F.coalesce(F.to_json(answer), F.lit("null")).isin("null", '""', "0", "false", "[]", "{}")
+    run_id = F.when(given, F.get_json_object("body", "$.report_run_id"))
+    failure = F.when(F.col("error") != "", F.col("error")).when(~given, F.lit(NO_RUN_ID)).otherwise(F.lit(""))
+    return submissions.withColumns({"run_id": run_id, "failure": failure})
 
 
 def last_submission(submissions: DataFrame) -> DataFrame:
