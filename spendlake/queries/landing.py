@@ -61,7 +61,7 @@ def ad_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer")
     offset = F.when(key % 2 == 0, "+0000").otherwise("-0800")
     created = F.concat(
-        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int")), "yyyy-MM-dd"), F.lit("T22:13:20"), offset
+        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (key % 60).cast("int")), "yyyy-MM-dd"), F.lit("T22:13:20"), offset
     )
     item = F.struct(
         key.cast("string").alias("id"),
@@ -98,7 +98,7 @@ def ad_set_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 2 == 0, "").otherwise(F.col("p_retailprice").cast("string")).alias("lifetime_budget"),
         (F.col("p_size") > 25).alias("is_dynamic_creative"),
         F.concat(
-            F.date_format(F.date_add(F.lit("2021-06-01").cast("date"), (key % 365).cast("int")), "yyyy-MM-dd"), F.lit("T00:00:00+0000")
+            F.date_format(F.date_add(F.lit("2021-06-01").cast("date"), (key % 30).cast("int")), "yyyy-MM-dd"), F.lit("T00:00:00+0000")
         ).alias("created_time"),
         F.struct(F.array("p_brand").alias("brands"), F.struct(F.lit(18).alias("min")).alias("ages")).alias("targeting"),
         F.array(F.lit("standard")).alias("pacing_type"),

@@ -73,7 +73,7 @@ ADS_KNOWN = {
     "campaign_id": "c_nationkey",
     "bid_amount": "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE trunc(c_acctbal) END",
     "priority": "CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 100 END",
-    "created_time": """epoch(CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS TIMESTAMP))
+    "created_time": """epoch(CAST(DATE '2020-01-01' + CAST(c_custkey % 60 AS INTEGER) AS TIMESTAMP))
         + 80000 + CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 28800 END""",
     "is_autobid": "c_nationkey % 2 = 0",
     "effective_status": "CASE c_custkey % 5 WHEN 0 THEN 'DELETED' WHEN 1 THEN 'ARCHIVED' WHEN 2 THEN 'ACTIVE' END",
@@ -92,7 +92,7 @@ AD_SETS_KNOWN = {
     "daily_budget": "p_retailprice",
     "lifetime_budget": "CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE p_retailprice END",
     "is_dynamic_creative": "p_size > 25",
-    "created_time": "epoch(CAST(DATE '2021-06-01' + CAST(p_partkey % 365 AS INTEGER) AS TIMESTAMP))",
+    "created_time": "epoch(CAST(DATE '2021-06-01' + CAST(p_partkey % 30 AS INTEGER) AS TIMESTAMP))",
     "targeting_json": """'{"ages":{"min":18},"brands":["' || p_brand || '"]}'""",
     "pacing_type_json": "'[\"standard\"]'",
     "ingested_at": str(L.LANDED_EPOCH),
@@ -131,11 +131,11 @@ def scan_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "scan_entities_created",
     f"""SELECT * FROM (SELECT {sql_columns(T.ADS, ADS_KNOWN)} FROM customer)
-WHERE created_time >= epoch(TIMESTAMP '2020-06-01 00:00:00') AND created_time < epoch(TIMESTAMP '2021-06-01 00:00:00')""",
+WHERE created_time >= epoch(TIMESTAMP '2020-01-11 00:00:00') AND created_time < epoch(TIMESTAMP '2020-02-01 00:00:00')""",
 )
 def scan_entities_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = L.ad_listing(spark, sf_dir)
-    return portable(scan_entities(pages, T.ADS, ("2020-06-01", "2021-05-31")))
+    return portable(scan_entities(pages, T.ADS, ("2020-01-11", "2020-01-31")))
 
 
 def _facts_known(**more: str) -> dict[str, str]:

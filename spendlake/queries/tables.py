@@ -10,24 +10,24 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.functions.days import date_window
+from spendlake.functions.days import date_window, utc_instant
 from spendlake.operators.filters import in_days
-from spendlake.operators.report import ADDITIVE
+from spendlake.operators.report import ADDITIVE, report
 from spendlake.operators.upsert import ParquetTable, latest_per_key, replace, upsert
 from spendlake.plans import tables as T
 from spendlake.plans.jobs import run_dimensions, run_facts
 from spendlake.queries import landing as L
 from spendlake.queries.base import DELIVERY_SQL, portable, query, raw_delivery, report_sql, sql_columns, table
-from spendlake.queries.reports import AD_GRAIN, ad_report
 from spendlake.queries.sources import ADS_KNOWN, AD_SETS_KNOWN, CAMPAIGNS_KNOWN
 from spendlake.session import scratch_path
 from spendlake.sources.pages import LANDED_PAGE, as_page
 
-FIRST_RUN = datetime(2024, 1, 1, tzinfo=timezone.utc)
-SECOND_RUN = datetime(2024, 1, 2, tzinfo=timezone.utc)
+FIRST_RUN = datetime(2024, 3, 1, tzinfo=timezone.utc)
+SECOND_RUN = datetime(2024, 3, 2, tzinfo=timezone.utc)
 FIRST_EPOCH, SECOND_EPOCH = int(FIRST_RUN.timestamp()), int(SECOND_RUN.timestamp())
-# The day after the newest day of the supplied orders.
-AS_OF = "2001-08-02"
+# The days after the newest event and the newest order.
+EVENTS_AS_OF = "2024-01-31"
+ORDERS_AS_OF = "2001-08-02"
 
 
 def new_table(spark: SparkSession, spec) -> ParquetTable:
@@ -38,23 +38,48 @@ def _stamped(rows: DataFrame, instant: datetime) -> DataFrame:
     return rows.withColumn("ingested_at", F.lit(instant))
 
 
+def event_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as delivery rows: a user stands for an ad, the event type for who was reached."""
+    user = F.col("user_id")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("act_"), (user % 5).cast("string")).alias("ad_account_id"),
+        (user % 25).cast("string").alias("campaign_id"),
+        (user % 75).cast("string").alias("ad_set_id"),
+        user.cast("string").alias("ad_id"),
+        F.col("ts").cast("date").alias("stat_date"),
+        F.col("value").cast("decimal(18,2)").alias("spend"),
+        F.lit(1).alias("impressions"),
+        (F.col("event_type") == "click").cast("int").alias("clicks"),
+        F.col("event_type").alias("person_id"),
+    )
+
+
 def _first_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamped(ad_report(spark, sf_dir), FIRST_RUN)
+    return _stamped(report(event_delivery(spark, sf_dir), "ad"), FIRST_RUN)
 
 
 def _revised_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last window again, from part of the delivery, and the same rows as days not seen before."""
-    rows = in_days(ad_report(spark, sf_dir, ("gender",)).where("gender = 'F'"), "stat_date", *date_window(AS_OF))
+    """The last window again without the errors, and the same rows as days not seen before."""
+    window = date_window(EVENTS_AS_OF)
+    rows = report(in_days(event_delivery(spark, sf_dir).where("person_id <> 'error'"), "stat_date", *window), "ad")
     # The shift is the window's own width, so shifted days never meet revised ones.
     shift = F.explode(F.array(F.lit(0), F.lit(14)))
     moved = rows.withColumn("shift", shift).withColumn("stat_date", F.date_add("stat_date", F.col("shift")))
     return _stamped(moved, SECOND_RUN)
 
 
-FACT_COLUMNS = "ad_account_id, ad_id, ad_name, stat_date, spend, impressions, clicks, reach, cpc"
-UPSERT_SQL = f"""WITH {DELIVERY_SQL}, {report_sql(AD_GRAIN + ', stat_date')},
-f AS (SELECT * FROM delivery WHERE gender = 'F' AND stat_date BETWEEN DATE '2001-07-19' AND DATE '2001-08-01'),
-{report_sql(AD_GRAIN + ', stat_date', 'f', 'revised')},
+EVENT_DELIVERY_SQL = """
+e AS (
+  SELECT 'act_' || CAST(user_id % 5 AS VARCHAR) AS ad_account_id, CAST(user_id % 25 AS VARCHAR) AS campaign_id,
+         CAST(user_id % 75 AS VARCHAR) AS ad_set_id, CAST(user_id AS VARCHAR) AS ad_id, CAST(ts AS DATE) AS stat_date,
+         CAST(value AS DECIMAL(18,2)) AS spend, 1 AS impressions, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS clicks,
+         0 AS inline_link_clicks, 0 AS inline_post_engagement, event_type AS person_id
+  FROM events)"""
+EVENT_GRAIN = "ad_account_id, campaign_id, ad_set_id, ad_id, stat_date"
+FACT_COLUMNS = "ad_account_id, campaign_id, ad_id, stat_date, spend, impressions, clicks, reach, cpc"
+UPSERT_SQL = f"""WITH {EVENT_DELIVERY_SQL}, {report_sql(EVENT_GRAIN, 'e')},
+f AS (SELECT * FROM e WHERE person_id <> 'error' AND stat_date BETWEEN DATE '2024-01-17' AND DATE '2024-01-30'),
+{report_sql(EVENT_GRAIN, 'f', 'revised')},
 source AS (SELECT * FROM revised
            UNION ALL SELECT * REPLACE (CAST(stat_date + INTERVAL 14 DAY AS DATE) AS stat_date) FROM revised)
 SELECT {FACT_COLUMNS}, CAST({SECOND_EPOCH} AS BIGINT) AS ingested_at FROM source
@@ -63,7 +88,7 @@ SELECT {FACT_COLUMNS}, CAST({FIRST_EPOCH} AS BIGINT) FROM report r
 WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.ad_account_id = r.ad_account_id AND s.ad_id = r.ad_id AND s.stat_date = r.stat_date)"""
 
 
-def _fact_output(spark: SparkSession, target: ParquetTable) -> DataFrame:
+def fact_output(spark: SparkSession, target: ParquetTable) -> DataFrame:
     return portable(target.read(spark).select(*FACT_COLUMNS.split(", "), "ingested_at"))
 
 
@@ -72,7 +97,7 @@ def upsert_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_table(spark, T.AD_DAILY)
     upsert(_first_facts(spark, sf_dir), target)
     upsert(_revised_facts(spark, sf_dir), target)
-    return _fact_output(spark, target)
+    return fact_output(spark, target)
 
 
 @query("upsert_twice", UPSERT_SQL)
@@ -82,7 +107,12 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert(_first_facts(spark, sf_dir), target)
     for _ in range(2):
         upsert(_revised_facts(spark, sf_dir), target)
-    return _fact_output(spark, target)
+    return fact_output(spark, target)
+
+
+# Noon UTC of the first creation day; orders are created over sixty days, the last ten of them recent.
+CREATED_FROM = 1672574400
+RECENT_FROM = "2023-02-20"
 
 
 def _order_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,19 +121,18 @@ def _order_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("ad_id"),
         F.col("o_orderpriority").alias("name"),
         F.col("o_orderstatus").alias("effective_status"),
-        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T12:00:00Z")).cast("timestamp").alias("created_time"),
+        F.timestamp_seconds(F.lit(CREATED_FROM) + F.col("o_orderkey") % 60 * 86_400).alias("created_time"),
     )
 
 
 DIM_SQL = f"""
 WITH old AS (SELECT 'act_' || CAST(o_custkey % 5 AS VARCHAR) AS ad_account_id, CAST(o_orderkey AS VARCHAR) AS ad_id,
                     o_orderpriority AS name, o_orderstatus AS effective_status,
-                    CAST(epoch(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) + 43200 AS BIGINT) AS created_time FROM orders),
-source AS (SELECT ad_account_id, ad_id, 'renamed' AS name, CAST(NULL AS VARCHAR) AS effective_status, created_time{{shift}}
-           FROM old WHERE effective_status = 'F' AND created_time >= epoch(TIMESTAMP '2001-01-01 00:00:00')
-           UNION ALL
-           SELECT ad_account_id, 'new-' || ad_id, name, effective_status, created_time
-           FROM old WHERE created_time >= epoch(TIMESTAMP '2001-01-01 00:00:00'))
+                    CAST({CREATED_FROM} + o_orderkey % 60 * 86400 AS BIGINT) AS created_time FROM orders),
+recent AS (SELECT * FROM old WHERE created_time >= epoch(TIMESTAMP '{RECENT_FROM} 00:00:00')),
+source AS (SELECT ad_account_id, ad_id, 'renamed' AS name, CAST(NULL AS VARCHAR) AS effective_status,
+                  created_time {{shift}} AS created_time FROM recent WHERE effective_status = 'F'
+           UNION ALL SELECT ad_account_id, 'new-' || ad_id, name, effective_status, created_time FROM recent)
 SELECT *, CAST({SECOND_EPOCH} AS BIGINT) AS ingested_at FROM source
 UNION ALL
 SELECT *, CAST({FIRST_EPOCH} AS BIGINT) FROM old o
@@ -112,7 +141,7 @@ WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.ad_account_id = o.ad_account_id
 
 def _upsert_dims(spark: SparkSession, sf_dir: str, shift_days: int) -> DataFrame:
     old = _order_entities(spark, sf_dir)
-    recent = old.where(F.col("created_time") >= F.lit(datetime(2001, 1, 1, tzinfo=timezone.utc)))
+    recent = old.where(F.col("created_time") >= F.lit(utc_instant(RECENT_FROM)))
     revised = recent.where("effective_status = 'F'").withColumns(
         {
             "name": F.lit("renamed"),
@@ -134,10 +163,10 @@ def upsert_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_dims(spark, sf_dir, 0)
 
 
-@query("upsert_dims_moved", DIM_SQL.format(shift=" - 400 * 86400"))
+@query("upsert_dims_moved", DIM_SQL.format(shift="- 30 * 86400"))
 def upsert_dims_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities that come back with another creation day leave their old one."""
-    return _upsert_dims(spark, sf_dir, -400)
+    return _upsert_dims(spark, sf_dir, -30)
 
 
 @query(
@@ -208,7 +237,7 @@ CAMPAIGN_GRAIN = "'act_' || ad_id AS ad_account_id, age AS campaign_id, stat_dat
 SELECT {sql_columns(T.CAMPAIGN_DAILY, {
     **{c: c for c in ("ad_account_id", "campaign_id", "stat_date", *ADDITIVE, "reach")},
     "campaign_name": "'name of ' || campaign_id", "objective": "'LEADS'", "ingested_at": str(SECOND_EPOCH)})}
-FROM report WHERE stat_date BETWEEN DATE '1995-01-01' AND DATE '2000-12-31'""",
+FROM report WHERE stat_date BETWEEN DATE '2001-07-19' AND DATE '2001-08-01'""",
 )
 def run_facts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole fact run: submissions and status log gated, pages checked, typed, windowed, upserted."""
@@ -221,8 +250,7 @@ def run_facts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.array(F.lit("Job Started"), F.lit("Job Running"), F.lit("Job Completed"))
     checks = runs.select("run_id", F.posexplode(steps).alias("round", "async_status"), F.lit("").alias("error"))
     target = new_table(spark, T.CAMPAIGN_DAILY)
-    window = date_window(AS_OF, start="1995-01-01", end="2000-12-31")
-    run_facts(pages, submissions, checks, target, window=window, ingested_at=SECOND_RUN)
+    run_facts(pages, submissions, checks, target, window=date_window(ORDERS_AS_OF), ingested_at=SECOND_RUN)
     return portable(target.read(spark))
 
 
@@ -241,7 +269,7 @@ FROM (SELECT {sql_columns(spec, known)} FROM {source})"""
             _listing_sql("ads", T.ADS, ADS_KNOWN, "customer", "ad_id"),
         )
     )
-    + """) WHERE created_time >= epoch(TIMESTAMP '2020-06-01 00:00:00') AND created_time < epoch(TIMESTAMP '2022-01-01 00:00:00')
+    + """) WHERE created_time >= epoch(TIMESTAMP '2020-01-21 00:00:00') AND created_time < epoch(TIMESTAMP '2022-01-01 00:00:00')
   AND ad_account_id IN ('act_0', 'act_1', 'act_2')""",
 )
 def run_dimensions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +282,7 @@ def run_dimensions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages["campaigns"] = _numbered(pages["campaigns"])
     targets = {"campaigns": new_table(spark, T.CAMPAIGNS), "ad_sets": new_table(spark, T.AD_SETS), "ads": new_table(spark, T.ADS)}
     visible = pages["ads"].select("ad_account_id").distinct()
-    window = date_window("2022-01-01", start="2020-06-01", end="2021-12-31")
+    window = date_window("2022-01-01", start="2020-01-21", end="2021-12-31")
     written = run_dimensions(pages, targets, visible, window=window, accounts="0, 1,act_2,act_9")
     ids = {"campaigns": "campaign_id", "ad_sets": "ad_set_id", "ads": "ad_id"}
     out = None

@@ -15,9 +15,15 @@ from spendlake.operators.filters import created_between
 from spendlake.operators.project import project
 from spendlake.plans.spec import TableSpec
 
-LANDED_PAGE = T.StructType.fromDDL(
-    "ad_account_id STRING, run_id STRING, page_no BIGINT, landed_at TIMESTAMP, body STRING"
+LANDED_PAGE = (
+    T.StructType()
+    .add("ad_account_id", T.StringType())
+    .add("run_id", T.StringType())
+    .add("page_no", T.LongType())
+    .add("landed_at", T.TimestampType())
+    .add("body", T.StringType())
 )
+ONLY_ID = T.StructType().add("id", T.StringType())
 # Malformed responses stop the job instead of turning into missing rows.
 STRICT = {"mode": "FAILFAST"}
 
@@ -74,8 +80,7 @@ def page_chain_check(
     Complete means: pages numbered from ``first_page`` without gap or repeat, and only the
     last one lacks ``paging.next`` (a short last page may still carry cursors).
     """
-    envelope = T.StructType.fromDDL("paging STRUCT<next: STRING>")
-    following = F.from_json(F.col(body), envelope, STRICT)["paging"]["next"]
+    following = F.from_json(F.col(body), "paging STRUCT<next: STRING>", STRICT)["paging"]["next"]
     per_page = (
         pages.select(*chain, "page_no", F.coalesce(following, F.lit("")).alias("following"))
         .groupBy(*chain, "page_no")
@@ -121,12 +126,12 @@ def scan_entities(pages: DataFrame, spec: TableSpec, created: tuple | None = Non
 
 def entity_ids(pages: DataFrame) -> DataFrame:
     """Account and id of every listed entity."""
-    return scan_pages(pages, T.StructType.fromDDL("id STRING")).select("ad_account_id", F.col("item.id").alias("id"))
+    return scan_pages(pages, ONLY_ID).select("ad_account_id", F.col("item.id").alias("id"))
 
 
 def scan_accounts(pages: DataFrame) -> DataFrame:
     """Visible account ids, with their place in the listing."""
-    found = scan_pages(pages, T.StructType.fromDDL("id STRING"))
+    found = scan_pages(pages, ONLY_ID)
     return found.select(F.col("item.id").alias("ad_account_id"), "page_no", "pos")
 
 
