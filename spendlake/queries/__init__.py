@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("reports", "sources", "filters", "actions", "tables")
+MODULES = ("reports", "sources", "filters", "actions", "tables", "streams")
 
 
 def registry():

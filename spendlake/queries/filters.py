@@ -139,11 +139,12 @@ statuses AS (SELECT c.run_id, any_value(f.status) AS final_status, any_value(f.r
              FROM checks c LEFT JOIN finals f USING (run_id) GROUP BY c.run_id)"""
 
 
-def status_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_checks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     returned, open_line = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     failed = F.when(F.col("l_quantity") > 25, "Job Failed").otherwise("Job Skipped")
     status = F.when(returned & ~open_line, failed).when(returned, "Job Completed").when(open_line, "Job Running")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("run_id"),
         F.col("l_linenumber").alias("round"),
         as_instant(F.col("l_shipdate")).alias("observed_at"),

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from spendlake.operators.filters import FINAL_STATUSES
+from spendlake.operators.filters import is_final
 
 # Fixed value: seconds a run may take before it counts as stuck.
 RUN_DEADLINE_SECONDS = 3600
 TIMED_OUT = "Timed Out"
 
-OUTCOME = "run_id STRING, status STRING, checks BIGINT, at TIMESTAMP"
+OUTCOME = "run_id STRING, status STRING, checks BIGINT, known_at TIMESTAMP"
+OUTCOME_COLUMNS = ["run_id", "status", "checks", "known_at"]
 STATE = "first_ms BIGINT, checks BIGINT, done BOOLEAN"
 
 
@@ -27,40 +28,45 @@ def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: st
     check times out, as does one that finished only after that. State is three values per run, whatever the number of its checks.
     """
 
+    limit_ms = deadline * 1000
+
+    def outcome(run_id: str, status: str, seen: int, at_ms: int) -> pd.DataFrame:
+        return pd.DataFrame([(run_id, status, seen, pd.Timestamp(at_ms, unit="ms"))], columns=OUTCOME_COLUMNS)
+
     def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first_ms, checks_seen, done = state.get if state.exists else (None, 0, False)
+        first_ms, seen, done = state.get if state.exists else (None, 0, False)
         if state.hasTimedOut:
-            if not done:
-                at = pd.Timestamp(first_ms + deadline * 1000, unit="ms")
-                yield pd.DataFrame({"run_id": [key[0]], "status": [TIMED_OUT], "checks": [checks_seen], "at": [at]})
             state.remove()
+            if not done:
+                yield outcome(key[0], TIMED_OUT, seen, first_ms + limit_ms)
             return
-        best = None
+        finals = []
         for batch in batches:
-            if done:
-                continue
-            checks_seen += len(batch)
-            earliest = int(batch["at_ms"].min())
-            first_ms = earliest if first_ms is None else min(first_ms, earliest)
-            final = batch[batch["async_status"].isin(FINAL_STATUSES) & (batch["error"].fillna("") == "")]
-            if len(final):
-                row = final.sort_values(["at_ms", "async_status"]).iloc[0]
-                found = (int(row["at_ms"]), row["async_status"])
-                best = found if best is None else min(best, found)
-        if best is not None:
+            if not done:
+                seen += len(batch)
+                earliest = int(batch["at_ms"].to_numpy().min())
+                first_ms = earliest if first_ms is None else min(first_ms, earliest)
+                finals.extend(f for f in batch["final"].to_numpy() if f is not None)
+        if finals:
             done = True
-            limit = first_ms + deadline * 1000
-            at_ms, status = best if best[0] <= limit else (limit, TIMED_OUT)
-            at = pd.Timestamp(at_ms, unit="ms")
-            yield pd.DataFrame({"run_id": [key[0]], "status": [status], "checks": [checks_seen], "at": [at]})
-        state.update((first_ms, checks_seen, done))
+            # Times are padded, so the smallest text is the earliest final status.
+            at_text, status = min(finals).split(" ", 1)
+            at_ms = int(at_text)
+            if at_ms > first_ms + limit_ms:
+                at_ms, status = first_ms + limit_ms, TIMED_OUT
+            yield outcome(key[0], status, seen, at_ms)
+        state.update((first_ms, seen, done))
         # A finished run is remembered until its deadline, so repeated checks do not report it again.
-        wake = max(first_ms + deadline * 1000, state.getCurrentWatermarkMs() + 1)
-        state.setTimeoutTimestamp(wake)
+        state.setTimeoutTimestamp(max(first_ms + limit_ms, state.getCurrentWatermarkMs() + 1))
 
     timed = checks.withColumn("observed_at", F.col("observed_at").cast("timestamp")).withWatermark("observed_at", late)
+    at_ms = F.unix_millis("observed_at")
+    final = (F.coalesce(F.col("error"), F.lit("")) == "") & is_final(F.col("async_status"))
     slim = timed.select(
-        "run_id", "observed_at", "async_status", "error", F.unix_millis("observed_at").alias("at_ms")
+        "run_id",
+        "observed_at",
+        at_ms.alias("at_ms"),
+        F.when(final, F.concat_ws(" ", F.lpad(at_ms.cast("string"), 15, "0"), "async_status")).alias("final"),
     )
     return slim.groupBy("run_id").applyInPandasWithState(
         follow, OUTCOME, STATE, "append", GroupStateTimeout.EventTimeTimeout
