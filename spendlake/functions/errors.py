@@ -53,9 +53,8 @@ def is_error_code(code: Column) -> Column:
     return code.isNull() | (code >= FIRST_ERROR_CODE)
 
 
-def batch_error(code: Column, body: Column) -> Column:
-    """Error text of one sub-response of a batch; "" when its code tells success."""
-    error = error_struct(body)
+def batch_error(code: Column, error: Column) -> Column:
+    """Error text of one sub-response of a batch from its ``error_struct``; "" when its code tells success."""
     parts = _parts(error, _filled(error["error_user_msg"]))
     head = F.concat(F.lit("HTTP "), F.coalesce(code.cast("string"), F.lit("None")))
     text = F.when(parts != "", F.concat(head, F.lit(BATCH_LEAD_IN), parts)).otherwise(head)

@@ -77,8 +77,8 @@ class ParquetTable:
             rows = rows.withColumn(self.day_column, local_day(F.col(self.spec.day_of), F.lit("UTC")))
         return rows.select(*self.files_schema().names)
 
-    def load(self, spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.schema(self.files_schema()).parquet(path)
+    def load(self, spark: SparkSession, *paths: str) -> DataFrame:
+        return spark.read.schema(self.files_schema()).parquet(*paths)
 
     def read(self, spark: SparkSession, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
         """The newest version, optionally only a window of days (which prunes partitions)."""
@@ -114,11 +114,12 @@ class Staged:
     spark: SparkSession
     table: ParquetTable
     path: str
+    rows: int
     days: tuple[date | None, ...]
 
     @property
     def is_empty(self) -> bool:
-        return not self.days
+        return self.rows == 0
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], null_safe: bool = False) -> DataFrame:
@@ -159,7 +160,7 @@ def stage(source: DataFrame, table: ParquetTable, null_safe: bool = False) -> St
     _require_unique(rows, table.spec.keys, null_safe)
     # One value per calendar day in the source, the only thing that comes to the driver.
     days = tuple(r[0] for r in rows.select(table.day_column).distinct().collect())
-    return Staged(spark, table, path, days)
+    return Staged(spark, table, path, rows.count(), days)
 
 
 def _require_unique(rows: DataFrame, keys: Sequence[str], null_safe: bool) -> None:
@@ -176,67 +177,86 @@ def _in(day: str, days: Sequence[date | None]) -> Column:
     return known | F.col(day).isNull() if None in days else known
 
 
-def _unmatched(target: DataFrame, keys_only: DataFrame, keys: Sequence[str], null_safe: bool, how: str = "left_anti") -> DataFrame:
-    """Target rows without (or, as a semi join, with) a source row of the same key."""
+def _matching(target: DataFrame, keys_only: DataFrame, keys: Sequence[str], null_safe: bool, how: str) -> DataFrame:
+    """Target rows with (``left_semi``) or without (``left_anti``) a row of the same key on the other side."""
     if not null_safe:
         return target.join(keys_only, list(keys), how)
-    source = keys_only.select(*(F.col(k).alias(f"__s_{k}") for k in keys))
-    same = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return target.join(source, condition, how)
+    other = keys_only.select(*(F.col(k).alias(f"__other_{k}") for k in keys))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"__other_{key}"))
+    return target.join(other, same, how)
+
+
+def _unmatched(target: DataFrame, keys_only: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    return _matching(target, keys_only, keys, null_safe, "left_anti")
 
 
 def merge_staged(staged: Staged, null_safe: bool = False) -> None:
     """Bring staged rows into their table: same key replaces the whole row, new keys are added.
 
-    Touched day partitions are rebuilt in staging first and then overwritten in one write,
-    so no plan reads what it overwrites; a lost executor only repeats tasks, and a run that
-    stops half-way is put right by running it again. Rows of other days stay as they are.
+    Only the day partitions in the source are rewritten. Their rows that stay are copied to
+    staging first, so the final write reads nothing it overwrites; a lost executor only
+    repeats tasks, and a run that stops half-way is put right by running it again.
     """
     spark, table = staged.spark, staged.table
     if staged.is_empty:
+        storage.delete(spark, staged.path)
         return
     keys, day = table.spec.keys, table.day_column
     source = table.load(spark, staged.path)
     versions = table.versions(spark)
+    scratch = [staged.path]
     if not versions:
         _write_days(source, table.path(1), day, keys, "overwrite")
-        storage.delete(spark, staged.path)
-        return
-    current = table.path(versions[-1])
-    target = table.load(spark, current)
-    keys_only = source.select(*keys)
-    touched = _in(day, staged.days)
-    if not table.day_in_key and _has_moved(target, touched, keys_only, keys, null_safe):
-        # A row leaving its day may empty that partition, which no overwrite would clear.
-        merged = _unmatched(target, keys_only, keys, null_safe).unionByName(source)
-        _new_version(merged, table, versions)
     else:
-        merged_path = f"{table.root}/_staging/merged-{uuid.uuid4().hex}"
-        merged = _unmatched(target.where(touched), keys_only, keys, null_safe).unionByName(source)
-        _write_days(merged, merged_path, day, keys)
-        publish(spark, table, merged_path)
-    storage.delete(spark, staged.path)
-
-
-def publish(spark: SparkSession, table: ParquetTable, merged_path: str) -> None:
-    """Overwrite the day partitions present in ``merged_path``; safe to repeat until it succeeds."""
-    rows = table.load(spark, merged_path)
+        target = table.load(spark, table.path(versions[-1]))
+        touched = _in(day, staged.days)
+        if not table.day_in_key and _has_moved(target, touched, source.select(*keys), keys, null_safe):
+            # A row leaving its day may empty that partition, which no overwrite would clear.
+            stay = _unmatched(target, source.select(*keys), keys, null_safe)
+            _new_version(stay.unionByName(source), table, versions)
+        else:
+            scratch += _stage_kept(staged, target.where(touched), null_safe)
+            publish(spark, table, scratch)
+    for path in scratch:
+        storage.delete(spark, path)
+
+
+def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> list[str]:
+    """Write out the target rows that no source row replaces; returns where, or nothing if there are none.
+
+    Whole rows are wide and a re-pulled window replaces nearly all of them, so the rows to
+    keep are first found by key columns alone. The rows themselves are then picked by the
+    shorter of the two key lists, which spares them a shuffle whenever that list is small
+    enough for the optimiser to broadcast.
+    """
+    spark, table, keys = staged.spark, staged.table, staged.table.spec.keys
+    source_keys = table.load(spark, staged.path).select(*keys)
+    keys_path, rows_path = (f"{table.root}/_staging/{what}-{uuid.uuid4().hex}" for what in ("kept-keys", "kept"))
+    target_keys = target.select(*keys)
+    _unmatched(target_keys, source_keys, keys, null_safe).write.parquet(keys_path)
+    kept_keys = spark.read.schema(target_keys.schema).parquet(keys_path)
+    count = kept_keys.count()
+    if count:
+        if count <= staged.rows:
+            kept = _matching(target, kept_keys, keys, True, "left_semi")
+        else:
+            kept = _unmatched(target, source_keys, keys, null_safe)
+        kept.write.parquet(rows_path)
+    storage.delete(spark, keys_path)
+    return [rows_path] if count else []
+
+
+def publish(spark: SparkSession, table: ParquetTable, paths: Sequence[str]) -> None:
+    """Overwrite the day partitions present in the staged paths; safe to repeat until it succeeds."""
     current = table.path(table.versions(spark)[-1])
-    (
-        rows.write.partitionBy(table.day_column)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(current)
-    )
-    storage.delete(spark, merged_path)
+    _write_days(table.load(spark, *paths), current, table.day_column, table.spec.keys, "dynamic")
 
 
 def _has_moved(target: DataFrame, touched: Column, keys_only: DataFrame, keys: Sequence[str], null_safe: bool) -> bool:
     elsewhere = target.where(~F.coalesce(touched, F.lit(False))).select(*keys)
-    return not _unmatched(elsewhere, keys_only, keys, null_safe, "left_semi").isEmpty()
+    return not _matching(elsewhere, keys_only, keys, null_safe, "left_semi").isEmpty()
 
 
 def _new_version(rows: DataFrame, table: ParquetTable, versions: list[int]) -> None:

@@ -19,6 +19,11 @@ PAGE = 100
 BATCH = 50
 
 
+def div(whole: Column, by: int) -> Column:
+    """Integer quotient, exact for keys of any size."""
+    return F.call_function("div", whole, F.lit(by))
+
+
 def landed(
     rows: DataFrame, account: Column, run: Column, page_no: Column, order: Column, item: Column, last_page: DataFrame | None
 ) -> DataFrame:
@@ -79,7 +84,7 @@ def ad_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("never declared").alias("account_id"),
     )
     run = F.lit("ads")
-    account, page = region_account(nation), F.floor(key / PAGE) + 1
+    account, page = region_account(nation), div(key, PAGE) + 1
     last = rows.groupBy(account.alias("ad_account_id"), run.alias("run_id")).agg(F.max(page).alias("last"))
     return landed(rows, account, run, page, key, item, last)
 
@@ -104,7 +109,7 @@ def ad_set_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("standard")).alias("pacing_type"),
     )
     run = F.lit("adsets")
-    account, page = F.concat(F.lit("act_"), (key % 3).cast("string")), F.floor(key / PAGE) + 1
+    account, page = F.concat(F.lit("act_"), (key % 3).cast("string")), div(key, PAGE) + 1
     last = rows.groupBy(account.alias("ad_account_id"), run.alias("run_id")).agg(F.max(page).alias("last"))
     return landed(rows, account, run, page, key, item, last)
 
@@ -126,7 +131,7 @@ def campaign_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("s_nationkey").alias("pixel_id")).alias("promoted_object"),
     )
     run = F.lit("campaigns")
-    account, page = region_account(F.col("s_nationkey")), F.floor(key / PAGE) + 1
+    account, page = region_account(F.col("s_nationkey")), div(key, PAGE) + 1
     last = rows.groupBy(account.alias("ad_account_id"), run.alias("run_id")).agg(F.max(page).alias("last"))
     return landed(rows, account, run, page, key, item, last)
 
@@ -136,7 +141,7 @@ def account_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer")
     item = F.struct(F.concat(F.lit("act_"), key.cast("string")).alias("id"))
-    page = F.floor(key / PAGE) + 1
+    page = div(key, PAGE) + 1
     last = rows.agg(F.max(page).alias("last")).select(F.lit("me").alias("ad_account_id"), F.lit("accounts").alias("run_id"), "last")
     return landed(rows, F.lit("me"), F.lit("accounts"), page, key, item, last)
 
@@ -145,7 +150,7 @@ def report_pages(rows: DataFrame, item: Column) -> DataFrame:
     """Report rows as pages, one run per account and day; an ad occurs once a day, so pages are bounded."""
     ad = F.col("ad_id").cast("bigint")
     run = F.concat_ws("/", "ad_account_id", F.col("stat_date").cast("string"))
-    return landed(rows, F.lit("unknown"), run, F.floor(ad / PAGE) + 1, ad, item, None)
+    return landed(rows, F.lit("unknown"), run, div(ad, PAGE) + 1, ad, item, None)
 
 
 def report_runs(rows: DataFrame) -> DataFrame:
@@ -178,7 +183,7 @@ def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Text of each entry by hand, because a struct writer would leave absent codes out of a null entry too.
     entry = F.when(kind == 5, F.lit("null")).otherwise(F.to_json(F.struct(code.cast("int").alias("code"), body.alias("body"))))
     rows = table(spark, sf_dir, "events").select(
-        F.floor(key / BATCH).alias("batch_no"), F.struct((key % BATCH).alias("place"), entry.alias("entry")).alias("cell")
+        div(key, BATCH).alias("batch_no"), F.struct((key % BATCH).alias("place"), entry.alias("entry")).alias("cell")
     )
     cells = rows.groupBy("batch_no").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
     text = F.concat(F.lit("["), F.array_join(F.transform("cells", lambda c: c["entry"]), ","), F.lit("]"))

@@ -214,7 +214,7 @@ def pair_responses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     requests = table(spark, sf_dir, "events").select(
-        F.floor(key / L.BATCH).alias("batch_no"),
+        L.div(key, L.BATCH).alias("batch_no"),
         (key % L.BATCH).cast("int").alias("pos"),
         F.concat(F.lit("act_"), F.col("user_id").cast("string")).alias("ad_account_id"),
         key.alias("seq"),
