@@ -36,18 +36,27 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     directory names.
     """
     if fmt == "text":
-        raw = spark.read.option("wholetext", True).schema(_text_schema()).text(path)
-        return raw.select(*(F.col("value" if f.name == "body" else f.name).alias(f.name) for f in LANDED_PAGE))
+        whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+        where = F.input_file_name()
+        return whole.select(
+            *(
+                F.col("value").alias(f.name) if f.name == "body" else _from_path(where, f.name).cast(f.dataType).alias(f.name)
+                for f in LANDED_PAGE.fields
+            )
+        )
     reader = spark.read.schema(LANDED_PAGE)
     return reader.option("mode", "FAILFAST").json(path) if fmt == "json" else reader.format(fmt).load(path)
 
 
-def _text_schema() -> T.StructType:
-    out = T.StructType().add("value", T.StringType())
-    for f in LANDED_PAGE:
-        if f.name != "body":
-            out = out.add(f)
-    return out
+def _from_path(where: Column, column: str) -> Column:
+    """Value of a ``column=value`` folder in a file's address.
+
+    Folder names are escaped, and the address escapes them again; in both a plus is just a plus.
+    """
+    value = F.nullif(F.regexp_extract(where, f"/{column}=([^/]*)/", 1), F.lit(""))
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return value
 
 
 def scan_pages(pages: DataFrame, item_schema: T.StructType | None = None, body: str = "body") -> DataFrame:
