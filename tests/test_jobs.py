@@ -1,0 +1,119 @@
+import json
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from spendlake.operators.filters import NothingToDo
+from spendlake.operators.quality import GateClosed
+from spendlake.operators.upsert import DuplicateKeys, ParquetTable
+from spendlake.plans import tables as T
+from spendlake.plans.jobs import run_dimensions, run_facts
+from spendlake.sources.pages import LANDED_PAGE
+
+AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
+RUN_AT = datetime(2024, 2, 2, tzinfo=timezone.utc)
+
+
+def pages_of(spark, *rows):
+    out = []
+    for account, run, number, following, data in rows:
+        paging = {"next": "n"} if following else {}
+        out.append((account, run, number, AT, json.dumps({"data": data, "paging": paging})))
+    return spark.createDataFrame(out, LANDED_PAGE)
+
+
+def record(ad, day, spend):
+    return {"ad_id": ad, "date_start": day, "spend": spend, "impressions": "100"}
+
+
+@pytest.fixture
+def fact_inputs(spark):
+    pages = pages_of(
+        spark,
+        ("act_1", "r1", 1, True, [record("a", "2024-01-30", "1.5"), record("b", "2024-01-30", "2")]),
+        ("act_1", "r1", 2, False, [record("a", "2024-01-16", "9")]),
+        ("act_2", "r2", 1, False, [record("c", "2024-01-17", "3")]),
+        ("act_2", "old", 1, False, [record("z", "2024-01-17", "3")]),
+    )
+    submissions = spark.createDataFrame(
+        [("act_1", 1, 200, '{"report_run_id": "r1"}', ""), ("act_2", 1, 200, '{"report_run_id": "old"}', ""), ("act_2", 2, 200, '{"report_run_id": "r2"}', "")],
+        "ad_account_id string, seq int, code int, body string, error string",
+    )
+    checks = spark.createDataFrame(
+        [("r1", 1, "Job Running", ""), ("r1", 2, "Job Completed", ""), ("r2", 1, "Job Completed", "")],
+        "run_id string, round int, async_status string, error string",
+    )
+    return pages, submissions, checks
+
+
+WINDOW = (date(2024, 1, 17), date(2024, 1, 30))
+
+
+def test_fact_run(spark, folder, fact_inputs):
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    run_facts(*fact_inputs, table, window=WINDOW, ingested_at=RUN_AT)
+    rows = table.read(spark).select("ad_account_id", "ad_id", "spend", F.unix_seconds("ingested_at").alias("at")).collect()
+    at = int(RUN_AT.timestamp())
+    assert sorted(tuple(r) for r in rows) == [("act_1", "a", 1.5, at), ("act_1", "b", 2.0, at), ("act_2", "c", 3.0, at)]
+
+
+def test_fact_run_for_listed_accounts(spark, folder, fact_inputs):
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    run_facts(*fact_inputs, table, accounts="2")
+    assert [r.ad_id for r in table.read(spark).collect()] == ["c"]
+
+
+def test_fact_run_without_rows(spark, folder, fact_inputs):
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    run_facts(*fact_inputs, table, window=(date(2020, 1, 1), date(2020, 1, 2)))
+    assert not table.exists(spark)
+
+
+def test_fact_run_stops_before_writing(spark, folder, fact_inputs):
+    pages, submissions, checks = fact_inputs
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    with pytest.raises(GateClosed, match=r"1 report run\(s\) did not complete -- act_2 \(run r2\): None"):
+        run_facts(pages, submissions, checks.where("run_id <> 'r2'"), table)
+    refused = submissions.withColumn("error", F.when(F.col("seq") == 2, "HTTP 400 -- no").otherwise(""))
+    with pytest.raises(GateClosed, match=r"1 account\(s\) without a report run -- act_2: HTTP 400 -- no"):
+        run_facts(pages, refused, checks, table)
+    with pytest.raises(GateClosed, match=r"page chain\(s\) broken -- act_1/r1"):
+        run_facts(pages.where("page_no <> 1 OR run_id <> 'r1'"), submissions, checks, table)
+    assert not table.exists(spark)
+
+
+def entity(id_, created, **more):
+    return {"id": id_, "name": f"n{id_}", "created_time": created, **more}
+
+
+def test_dimension_run(spark, folder):
+    tables = {n: ParquetTable(s, f"{folder}/{n}") for n, s in T.DIMENSIONS.items()}
+    pages = {
+        "campaigns": pages_of(spark, ("act_1", "c", 1, False, [entity("1", "2024-01-20T00:00:00+0000", budget_rebalance_flag=True)])),
+        "ad_sets": pages_of(spark, ("act_1", "s", 1, False, [entity("2", "2023-01-20T00:00:00+0000")])),
+        "ads": pages_of(
+            spark,
+            ("act_1", "a", 1, True, [entity("3", "2024-01-30T23:59:59+0000", creative={"id": 1})]),
+            ("act_1", "a", 2, False, [entity("4", "2024-01-17T00:00:00+0000")]),
+            ("act_9", "a", 1, False, [entity("5", "2024-01-17T00:00:00+0000")]),
+        ),
+    }
+    visible = spark.createDataFrame([("act_1",), ("act_9",)], "ad_account_id string")
+    assert run_dimensions(pages, tables, visible, window=WINDOW, accounts="1") == ["campaigns", "ads"]
+    assert [(r.campaign_id, r.budget_rebalance_flag) for r in tables["campaigns"].read(spark).collect()] == [("1", True)]
+    assert sorted((r.ad_id, r.creative_json) for r in tables["ads"].read(spark).collect()) == [("3", '{"id":1}'), ("4", None)]
+    assert not tables["ad_sets"].exists(spark)
+    with pytest.raises(NothingToDo, match="no ad accounts"):
+        run_dimensions(pages, tables, visible, accounts="77")
+
+
+def test_dimension_run_is_all_or_nothing_while_reading(spark, folder):
+    tables = {n: ParquetTable(s, f"{folder}/{n}") for n, s in T.DIMENSIONS.items()}
+    good = pages_of(spark, ("act_1", "c", 1, False, [entity("1", "2024-01-20T00:00:00+0000")]))
+    twice = pages_of(spark, ("act_1", "a", 1, False, [entity("3", "2024-01-30T00:00:00+0000")] * 2))
+    visible = spark.createDataFrame([("act_1",)], "ad_account_id string")
+    with pytest.raises(DuplicateKeys):
+        run_dimensions({"campaigns": good, "ad_sets": good, "ads": twice}, tables, visible)
+    assert not any(t.exists(spark) for t in tables.values())
+    assert run_dimensions({"campaigns": good, "ad_sets": good, "ads": twice}, tables, visible, dedupe=True) == ["campaigns", "ad_sets", "ads"]
