@@ -144,11 +144,11 @@ def account_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(rows, F.lit("me"), F.lit("accounts"), div(key, PAGE) + 1, key, item, None)
 
 
-def report_pages(rows: DataFrame, item: Column) -> DataFrame:
-    """Report rows as pages, one run per account and day; an ad occurs once a day, so pages are bounded."""
-    ad = F.col("ad_id").cast("bigint")
+def report_pages(rows: DataFrame, item: Column, number: str = "ad_id") -> DataFrame:
+    """Report rows as pages, one run per account and day; an entity occurs once a day, so pages are bounded."""
+    entity = F.col(number).cast("bigint")
     run = F.concat_ws("/", "ad_account_id", F.col("stat_date").cast("string"))
-    return landed(rows, F.lit("unknown"), run, div(ad, PAGE) + 1, ad, item, None)
+    return landed(rows, F.lit("unknown"), run, div(entity, PAGE) + 1, entity, item, None)
 
 
 def report_runs(rows: DataFrame) -> DataFrame:

@@ -7,14 +7,25 @@ from pyspark.sql import functions as F
 
 from spendlake.functions.errors import error_detail
 from spendlake.operators.project import select_as
+from spendlake.operators.report import attach
 from spendlake.operators.runs import failed_submissions, last_submission, pair_responses, started_runs
 from spendlake.plans import tables as T
 from spendlake.plans.spec import TableSpec
 from spendlake.queries import landing as L
-from spendlake.queries.base import DELIVERY_SQL, portable, query, report_sql, sql_columns, table
-from spendlake.queries.reports import AD_GRAIN, ad_report
+from spendlake.queries.base import DELIVERY_SQL, campaign_names, portable, query, report_sql, sql_columns, table
+from spendlake.queries.reports import AD_GRAIN, ad_report, level_report
 from spendlake.sources.batches import unpack_batches
-from spendlake.sources.pages import entity_ids, page_chain_check, scan_accounts, scan_entities, scan_pages, scan_report
+from spendlake.sources.pages import (
+    append,
+    entity_ids,
+    in_page_order,
+    page_chain_check,
+    scan_accounts,
+    scan_entities,
+    scan_pages,
+    scan_report,
+    table_scan,
+)
 
 ACCOUNT_OF_AD = L.REGION_ACCOUNT_SQL.format("c_nationkey")
 
@@ -36,11 +47,12 @@ def scan_pages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "page_chain_check",
     f"""
-WITH pages AS (SELECT DISTINCT {ACCOUNT_OF_AD} AS ad_account_id, c_custkey // {L.PAGE} + 1 AS page_no FROM customer
-               WHERE NOT (c_nationkey % 5 = 2 AND c_custkey // {L.PAGE} = 1))
+WITH listed AS (SELECT DISTINCT {ACCOUNT_OF_AD} AS ad_account_id, c_custkey // {L.PAGE} + 1 AS page_no FROM customer),
+ends AS (SELECT ad_account_id, max(page_no) AS last FROM listed GROUP BY ad_account_id),
+pages AS (SELECT * FROM listed JOIN ends USING (ad_account_id) WHERE NOT (ad_account_id = 'act_2' AND page_no = 2))
 SELECT ad_account_id, 'ads' AS run_id, CAST(count(*) AS BIGINT) AS pages, CAST(min(page_no) AS BIGINT) AS first_page,
-       CAST(max(page_no) AS BIGINT) AS last_page, CAST(1 AS BIGINT) AS end_pages,
-       (min(page_no) = 1 AND count(*) = max(page_no)) AS complete
+       CAST(max(page_no) AS BIGINT) AS last_page, CAST(count(*) FILTER (page_no = last) AS BIGINT) AS end_pages,
+       (min(page_no) = 1 AND count(*) = max(page_no) AND max(page_no) = any_value(last)) AS complete
 FROM pages GROUP BY ad_account_id""",
 )
 def page_chain_check_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,15 +167,15 @@ def _fact_sql(spec: TableSpec, grain: str, **more: str) -> str:
 SELECT {sql_columns(spec, _facts_known(**more))} FROM report"""
 
 
-def _typed_facts(spec: TableSpec, rows: DataFrame) -> DataFrame:
-    """Report rows to pages of text and back through the typed scan."""
+def _typed_facts(spec: TableSpec, rows: DataFrame, number: str = "ad_id") -> DataFrame:
+    """Report rows to pages of text, cut by a numeric id, and back through the typed scan."""
     text = [
         F.col(f.column).cast("string").alias(f.api)
         for f in spec.fields
         if f.column in rows.columns and f.kind != "json"
     ]
     click = F.struct(F.lit("click").alias("action_type"), F.col("clicks").cast("string").alias("value"))
-    pages = L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")))
+    pages = L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")), number)
     return portable(scan_report(pages, L.report_runs(rows), spec))
 
 
@@ -190,6 +202,55 @@ def scan_report_ad_age_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_facts(T.AD_AGE_GENDER_DAILY, ad_report(spark, sf_dir, ("age", "gender")))
 
 
+@query(
+    "scan_report_ad_set",
+    _fact_sql(T.AD_SET_DAILY, "ad_account_id, campaign_id, ad_set_id", ad_set_id="ad_set_id", campaign_id="campaign_id"),
+)
+def scan_report_ad_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed_facts(T.AD_SET_DAILY, level_report(spark, sf_dir, "adset"), "campaign_id")
+
+
+@query(
+    "scan_report_campaign",
+    _fact_sql(
+        T.CAMPAIGN_DAILY,
+        "ad_account_id, campaign_id, campaign_name, objective",
+        **{c: c for c in ("campaign_id", "campaign_name", "objective")},
+    ),
+)
+def scan_report_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = attach(level_report(spark, sf_dir, "campaign"), campaign_names(spark, sf_dir), ("ad_account_id", "campaign_id"))
+    return _typed_facts(T.CAMPAIGN_DAILY, rows, "campaign_id")
+
+
+@query(
+    "arrival_order",
+    f"""SELECT {ACCOUNT_OF_AD} AS ad_account_id, CAST(c_custkey AS VARCHAR) AS id FROM customer ORDER BY ad_account_id, c_custkey""",
+)
+def arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = in_page_order(scan_pages(L.ad_listing(spark, sf_dir)))
+    return items.select("ad_account_id", F.get_json_object("item", "$.id").alias("id"))
+
+
+@query(
+    "append_listings",
+    f"""SELECT {ACCOUNT_OF_AD} AS ad_account_id, 'ads' AS run_id, CAST(c_custkey AS VARCHAR) AS id FROM customer
+UNION ALL SELECT 'act_' || CAST(p_partkey % 3 AS VARCHAR), 'adsets', CAST(p_partkey AS VARCHAR) FROM part
+UNION ALL SELECT {L.REGION_ACCOUNT_SQL.format("s_nationkey")}, 'campaigns', CAST(s_suppkey AS VARCHAR) FROM supplier""",
+)
+def append_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all runs and accounts together, repeats kept."""
+    pages = append(L.ad_listing(spark, sf_dir), L.ad_set_listing(spark, sf_dir), L.campaign_listing(spark, sf_dir))
+    id_ = F.get_json_object("item", "$.id").alias("id")
+    return scan_pages(pages).select("ad_account_id", "run_id", id_)
+
+
+@query("table_scan", "SELECT o_orderkey, o_custkey FROM orders")
+def table_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return table_scan(spark, "orders").select("o_orderkey", "o_custkey")
+
+
 @query(
     "unpack_batches",
     f"WITH {L.BATCH_SQL} SELECT batch_no, pos, code, error, run_id FROM responses",

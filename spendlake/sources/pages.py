@@ -144,6 +144,14 @@ def scan_accounts(pages: DataFrame) -> DataFrame:
     return found.select(F.col("item.id").alias("ad_account_id"), "page_no", "pos")
 
 
+def append(*frames: DataFrame) -> DataFrame:
+    """All rows of all inputs, repeats kept, columns matched by name."""
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def table_scan(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table or view."""
     return spark.table(name)
