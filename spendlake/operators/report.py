@@ -56,12 +56,13 @@ def report(
 
     ``hierarchy`` has one row per ad with the ids above it (and any names). Without it the
     delivery rows carry those ids themselves. At ad level it is joined to the finished
-    rows, one per ad-day, instead of to every delivery row.
+    rows, one per ad-day, instead of to every delivery row. Delivery of an ad it does not
+    know is kept, with NULL ids.
     """
     ids = _level_ids(level)
     late = hierarchy is not None and level == "ad"
     if hierarchy is not None and not late:
-        delivery = delivery.join(hierarchy.select("ad_id", *ids), "ad_id")
+        delivery = delivery.join(hierarchy.select("ad_id", *ids), "ad_id", "left")
     grain = ["ad_id"] if late else list(ids)
     person = F.approx_count_distinct("person_id") if approximate_reach else F.count_distinct("person_id")
     rows = delivery.groupBy(*grain, *breakdowns, DAY).agg(*_sums(delivery), person.alias("reach"))
@@ -70,7 +71,7 @@ def report(
         return rows
     names = [c for c in hierarchy.columns if c not in ids]
     measures = [c for c in rows.columns if c != "ad_id"]
-    return rows.join(hierarchy, "ad_id").select(*ids, *names, *measures)
+    return rows.join(hierarchy, "ad_id", "left").select(*ids, *names, *measures)
 
 
 def attach(rows: DataFrame, attributes: DataFrame, on: tuple[str, ...]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.operators.filters import RUN_COMPLETED, is_final
+from spendlake.operators.filters import FINAL_STATUSES, RUN_COMPLETED, is_final
 
 NO_RUN_ID = "no report_run_id in response"
 
@@ -37,12 +37,19 @@ def run_status(checks: DataFrame) -> DataFrame:
     wrong tells nothing about its run, and nothing after the first final status counts.
     """
     readable = F.coalesce(F.col("error"), F.lit("")) == ""
-    final = F.when(readable & is_final(F.col("async_status")), F.struct("round", "async_status"))
-    first = checks.groupBy("run_id").agg(F.min(final).alias("first"), F.max("round").alias("last_round"))
+    # Round and status in one number, so the minimum is kept in a fixed-width hash aggregate:
+    # a minimum over a struct would sort every row of the log before the shuffle.
+    final_statuses = F.array(*(F.lit(s) for s in FINAL_STATUSES))
+    status_no = F.array_position(final_statuses, F.col("async_status")) - 1
+    key = F.col("round").cast("bigint") * len(FINAL_STATUSES) + status_no
+    first = checks.groupBy("run_id").agg(
+        F.min(F.when(readable & is_final(F.col("async_status")), key)).alias("first"), F.max("round").alias("last_round")
+    )
+    round_type = checks.schema["round"].dataType
     return first.select(
         "run_id",
-        F.col("first.async_status").alias("final_status"),
-        F.col("first.round").alias("final_round"),
+        F.get(final_statuses, F.pmod(F.col("first"), F.lit(len(FINAL_STATUSES))).cast("int")).alias("final_status"),
+        F.call_function("div", "first", F.lit(len(FINAL_STATUSES))).cast(round_type).alias("final_round"),
         "last_round",
     )
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,18 +158,18 @@ def stage(source: DataFrame, table: ParquetTable, null_safe: bool = False) -> St
     table.with_day(source).write.parquet(path)
     rows = table.load(spark, path)
     _require_unique(rows, table.spec.keys, null_safe)
-    # One value per calendar day in the source, the only thing that comes to the driver.
-    days = tuple(r[0] for r in rows.select(table.day_column).distinct().collect())
-    return Staged(spark, table, path, rows.count(), days)
+    # One row per calendar day in the source, the only thing that comes to the driver.
+    per_day = rows.groupBy(table.day_column).count().collect()
+    return Staged(spark, table, path, sum(r["count"] for r in per_day), tuple(r[table.day_column] for r in per_day))
 
 
 def _require_unique(rows: DataFrame, keys: Sequence[str], null_safe: bool) -> None:
     if not null_safe:
         rows = rows.where(~has_null_key(keys))
-    repeated = rows.groupBy(*keys).count().where("count > 1").take(5)
-    if repeated:
-        shown = ", ".join(str(tuple(r[k] for k in keys)) for r in repeated)
-        raise DuplicateKeys(f"source holds keys more than once, such as {shown}")
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
+    found = repeated.agg(F.count("*").alias("number"), F.min(F.struct(*keys)).alias("example")).first()
+    if found.number:
+        raise DuplicateKeys(f"source holds {found.number} key(s) more than once, such as {tuple(found.example)}")
 
 
 def _in(day: str, days: Sequence[date | None]) -> Column:
@@ -234,11 +234,12 @@ def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> list[str]
     spark, table, keys = staged.spark, staged.table, staged.table.spec.keys
     source_keys = table.load(spark, staged.path).select(*keys)
     keys_path, rows_path = (f"{table.root}/_staging/{what}-{uuid.uuid4().hex}" for what in ("kept-keys", "kept"))
-    target_keys = target.select(*keys)
-    _unmatched(target_keys, source_keys, keys, null_safe).write.parquet(keys_path)
-    kept_keys = spark.read.schema(target_keys.schema).parquet(keys_path)
-    count = kept_keys.count()
+    target_keys, counted = target.select(*keys), Observation()
+    unmatched = _unmatched(target_keys, source_keys, keys, null_safe)
+    unmatched.observe(counted, F.count("*").alias("kept")).write.parquet(keys_path)
+    count = counted.get["kept"]
     if count:
+        kept_keys = spark.read.schema(target_keys.schema).parquet(keys_path)
         if count <= staged.rows:
             kept = _matching(target, kept_keys, keys, True, "left_semi")
         else:

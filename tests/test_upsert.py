@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlake import storage
-from spendlake.operators.upsert import DuplicateKeys, ParquetTable, latest_per_key, merge_staged, replace, stage, upsert
+from spendlake.operators.upsert import CatalogTable, DuplicateKeys, ParquetTable, latest_per_key, merge_staged, replace, stage, upsert
 from spendlake.plans.spec import TableSpec
 
 FACT = TableSpec.of(
@@ -79,6 +79,32 @@ def test_small_source_and_small_rest_take_both_ways(spark, fact):
     assert {r[0]: r[3] for r in content(fact, spark)} == {"0": -1.0, "49": 49.0, **{str(i): -2.0 for i in range(1, 49)}}
 
 
+def test_only_days_not_seen_before(spark, fact):
+    upsert(facts(spark, T1, ("a", "m", D[0], 1.0)), fact)
+    upsert(facts(spark, T2, ("a", "m", D[3], 2.0)), fact)
+    assert content(fact, spark) == [("a", "m", D[0], 1.0), ("a", "m", D[3], 2.0)]
+
+
+def test_hot_day_and_hot_key_history(spark, fact):
+    """Most rows on one day, revised in part: every row is still there once."""
+    upsert(facts(spark, T1, *((str(i), "m", D[0] if i % 10 else D[1], 1.0) for i in range(2000))), fact)
+    upsert(facts(spark, T2, *((str(i), "m", D[0], 2.0) for i in range(2000) if i % 10 and i % 3 == 0)), fact)
+    assert fact.read(spark).count() == 2000
+    assert fact.read(spark).where("spend = 2.0").count() == sum(1 for i in range(2000) if i % 10 and i % 3 == 0)
+
+
+def test_merge_statement_is_what_a_catalog_table_gets(spark, folder):
+    """No catalog here has row-level operations; the refusal shows that the MERGE was formed and sent."""
+    spark.sql(f"CREATE TABLE merge_probe ({DIM.ddl}) USING parquet LOCATION '{folder}/probe'")
+    try:
+        for null_safe in (False, True):
+            with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+                upsert(dims(spark, T1, ("1", "one", "2024-01-01T10:00:00Z")), CatalogTable(DIM, "merge_probe"), null_safe=null_safe)
+        upsert(dims(spark, T1).limit(0), CatalogTable(DIM, "merge_probe"))
+    finally:
+        spark.sql("DROP TABLE merge_probe")
+
+
 def test_null_in_key_never_matches(spark, fact):
     rows = [("a", None, D[0], 1.0), ("b", "m", D[0], 2.0), ("a", None, None, 3.0)]
     upsert(facts(spark, T1, *rows), fact)
