@@ -46,9 +46,10 @@ def created_between(df: DataFrame, column: str, start: date | str, end: date | s
     """
     begin, after = utc_instant(start), utc_instant(end) + timedelta(days=1)
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        begin, after = begin.replace(tzinfo=None), after.replace(tzinfo=None)
-        return df.where((F.col(column) >= F.lit(begin).cast("timestamp_ntz")) & (F.col(column) < F.lit(after).cast("timestamp_ntz")))
-    return df.where((F.col(column) >= F.lit(begin)) & (F.col(column) < F.lit(after)))
+        low, high = (F.lit(f"{t:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz") for t in (begin, after))
+    else:
+        low, high = F.lit(begin), F.lit(after)
+    return df.where((F.col(column) >= low) & (F.col(column) < high))
 
 
 def requested_accounts(df: DataFrame, csv: str) -> DataFrame:

@@ -15,8 +15,8 @@ from spendlake.operators.filters import is_final
 RUN_DEADLINE_SECONDS = 3600
 TIMED_OUT = "Timed Out"
 
-OUTCOME = "run_id STRING, status STRING, checks BIGINT, known_at TIMESTAMP"
-OUTCOME_COLUMNS = ["run_id", "status", "checks", "known_at"]
+OUTCOME = "run_id STRING, status STRING, checks BIGINT, known_ms BIGINT"
+OUTCOME_COLUMNS = ["run_id", "status", "checks", "known_ms"]
 STATE = "first_ms BIGINT, checks BIGINT, done BOOLEAN"
 
 
@@ -31,7 +31,7 @@ def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: st
     limit_ms = deadline * 1000
 
     def outcome(run_id: str, status: str, seen: int, at_ms: int) -> pd.DataFrame:
-        return pd.DataFrame([(run_id, status, seen, pd.Timestamp(at_ms, unit="ms"))], columns=OUTCOME_COLUMNS)
+        return pd.DataFrame([(run_id, status, seen, at_ms)], columns=OUTCOME_COLUMNS)
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         first_ms, seen, done = state.get if state.exists else (None, 0, False)
@@ -68,6 +68,7 @@ def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: st
         at_ms.alias("at_ms"),
         F.when(final, F.concat_ws(" ", F.lpad(at_ms.cast("string"), 15, "0"), "async_status")).alias("final"),
     )
-    return slim.groupBy("run_id").applyInPandasWithState(
+    told = slim.groupBy("run_id").applyInPandasWithState(
         follow, OUTCOME, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+    return told.select("run_id", "status", "checks", F.timestamp_millis("known_ms").alias("known_at"))
