@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake.functions.casts import to_double
 
@@ -11,6 +12,16 @@ from spendlake.functions.casts import to_double
 ACTION_LIST = "ARRAY<STRUCT<action_type: STRING, value: STRING>>"
 
 
+def exact_sum(df: DataFrame, amount: str) -> Column:
+    """Sum of an amount as a decimal, so the result does not depend on the order of the rows.
+
+    A decimal column keeps its scale; any other is taken to six places, which holds
+    charges far below a cent.
+    """
+    column = F.col(amount)
+    return F.sum(column if isinstance(df.schema[amount].dataType, T.DecimalType) else column.cast("decimal(28,6)"))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as DOUBLE, NULL when the denominator is zero or missing."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions.metrics import action_total, action_value, cost_per_action, parse_actions, ratio
+from spendlake.functions.metrics import action_total, action_value, cost_per_action, exact_sum, parse_actions, ratio
 
 VIDEO_STAGES = ("play", "p25", "p50", "p75", "p100")
 # Columns of a fact table that hold the stages of the video funnel.
@@ -25,7 +25,7 @@ def action_lists(events: DataFrame, grain: tuple[str, ...], action_type: str, am
     are types and no longer, however many events one entity has.
     """
     per_type = events.groupBy(*grain, F.col(action_type).alias("action_type")).agg(
-        F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount")
+        exact_sum(events, amount).cast("double").alias("amount")
     )
     pair = F.struct("action_type", F.col("amount").cast("string").alias("value"))
     pairs = F.array_sort(F.collect_list(pair))

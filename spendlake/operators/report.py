@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions.metrics import ratios
+from spendlake.functions.metrics import exact_sum, ratios
 
 # Ids that make up the grain of each report level, outermost first.
 LEVEL_IDS = {
@@ -29,7 +29,7 @@ def _level_ids(level: str) -> tuple[str, ...]:
 
 def _sums(df: DataFrame) -> list[Column]:
     """Sums of the additive metrics present. Money is added as decimals, so the result has no order."""
-    money = F.sum(F.col("spend").cast("decimal(18,2)")).cast("double").alias("spend")
+    money = exact_sum(df, "spend").cast("double").alias("spend")
     counts = [F.sum(m).cast("bigint").alias(m) for m in ADDITIVE[1:] if m in df.columns]
     return [money, *counts]
 
@@ -106,7 +106,7 @@ def reconcile(finer: DataFrame, coarser: DataFrame, level: str) -> DataFrame:
     def gap(m: str) -> Column:
         rolled, reported = (F.coalesce(F.col(f"{m}_{s}"), F.lit(0)) for s in ("rolled", "reported"))
         if m == "spend":
-            return (rolled.cast("decimal(38,2)") - reported.cast("decimal(38,2)")).cast("double").alias(f"{m}_diff")
+            return (rolled.cast("decimal(28,6)") - reported.cast("decimal(28,6)")).cast("double").alias(f"{m}_diff")
         return (rolled - reported).alias(f"{m}_diff")
 
     return left.join(right, grain, "full_outer").select(
@@ -135,5 +135,4 @@ def independent_breakdowns(delivery: DataFrame, level: str, breakdowns: tuple[st
 
 def _exact_sums(df: DataFrame) -> list[Column]:
     """Additive sums with money kept as a decimal, for sums that are summed again."""
-    money = F.sum(F.col("spend").cast("decimal(28,2)")).alias("spend")
-    return [money, *(F.sum(m).cast("bigint").alias(m) for m in ADDITIVE[1:] if m in df.columns)]
+    return [exact_sum(df, "spend").alias("spend"), *(F.sum(m).cast("bigint").alias(m) for m in ADDITIVE[1:] if m in df.columns)]

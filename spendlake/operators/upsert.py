@@ -275,9 +275,11 @@ def upsert(
     *,
     null_safe: bool = False,
     newest_first: Sequence[Column] | None = None,
-) -> None:
+) -> int:
     """Create the table if absent, then replace rows by key and add new ones; never deletes.
 
+    Returns the number of source rows; with none the table is neither touched nor created.
+
     Matched rows are replaced whole, NULLs and ``ingested_at`` included. A NULL in a key
     equals nothing, so such rows are added again on each run; ``null_safe`` lets NULLs match.
     A key twice in the source raises, unless ``newest_first`` says which of its rows to keep.
@@ -285,19 +287,21 @@ def upsert(
     if newest_first is not None:
         source = latest_per_key(source, table.spec.keys, newest_first, null_safe)
     if isinstance(table, CatalogTable):
-        _merge_into(source, table, null_safe)
-    else:
-        merge_staged(stage(source, table, null_safe), null_safe)
+        return _merge_into(source, table, null_safe)
+    staged = stage(source, table, null_safe)
+    merge_staged(staged, null_safe)
+    return staged.rows
 
 
-def _merge_into(source: DataFrame, table: CatalogTable, null_safe: bool) -> None:
+def _merge_into(source: DataFrame, table: CatalogTable, null_safe: bool) -> int:
     spark = source.sparkSession
     path = scratch_path(spark, "source")
     conform(source, table.spec).write.parquet(path)
     rows = spark.read.schema(table.spec.schema).parquet(path)
     _require_unique(rows, table.spec.keys, null_safe)
-    if rows.isEmpty():
-        return
+    count = rows.count()
+    if not count:
+        return 0
     if not table.exists(spark):
         rows.limit(0).writeTo(table.name).partitionedBy(F.partitioning.days(table.spec.day_of)).create()
     target = table.name.rsplit(".", 1)[-1]
@@ -307,6 +311,7 @@ def _merge_into(source: DataFrame, table: CatalogTable, null_safe: bool) -> None
         match = match & (theirs.eqNullSafe(ours) if null_safe else theirs == ours)
     rows.alias("source").mergeInto(table.name, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
     storage.delete(spark, path)
+    return count
 
 
 def replace(source: DataFrame, table: ParquetTable | CatalogTable) -> int:

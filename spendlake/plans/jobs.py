@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.operators.filters import allow_accounts, in_days, only_accounts, require_rows
+from spendlake.operators.filters import allow_accounts, in_days, only_accounts, require_rows, unknown_accounts
 from spendlake.operators.quality import broken_chains, gate, incomplete_runs, submission_failures
 from spendlake.operators.runs import last_submission, run_outcomes, run_status, started_runs
 from spendlake.operators.upsert import CatalogTable, ParquetTable, latest_per_key, merge_staged, stage, upsert
@@ -57,8 +57,8 @@ def run_facts(
     accounts: str | None = None,
     ingested_at: Column | datetime | None = None,
     dedupe: bool = False,
-) -> None:
-    """Gate the run, type its landed report pages and upsert them.
+) -> int:
+    """Gate the run, type its landed report pages and upsert them; returns the number of rows.
 
     Any failed submission, unfinished run or broken chain of pages raises before the write.
     Without a single row the table is not touched, nor created.
@@ -66,7 +66,9 @@ def run_facts(
     runs = only_accounts(completed_runs(only_accounts(submissions, accounts), checks), accounts)
     gate(broken_chains(page_chain_check(pages)), "page chain(s) broken")
     rows = fact_rows(pages, runs, table, window, ingested_at, keep=ARRIVAL if dedupe else ())
-    upsert(rows, table, newest_first=newest_first() if dedupe else None)
+    count = upsert(rows, table, newest_first=newest_first() if dedupe else None)
+    log.info("%s: %d row(s) from the run", table.spec.name, count)
+    return count
 
 
 def run_dimensions(
@@ -83,6 +85,10 @@ def run_dimensions(
 
     All listings are read, checked and staged before the first table is touched.
     """
+    # Bounded by the list the caller wrote.
+    unknown = [r.ad_account_id for r in unknown_accounts(visible_accounts, accounts).collect()]
+    if unknown:
+        log.warning("requested account(s) not visible, skipped: %s", unknown)
     wanted = require_rows(allow_accounts(visible_accounts, accounts), "ad accounts to pull").distinct()
     instant = {} if ingested_at is None else {"ingested_at": ingested_at}
     staged = []

@@ -151,10 +151,9 @@ def report_pages(rows: DataFrame, item: Column, number: str = "ad_id") -> DataFr
     return landed(rows, F.lit("unknown"), run, div(entity, PAGE) + 1, entity, item, None)
 
 
-def report_runs(rows: DataFrame) -> DataFrame:
+def report_runs(pages: DataFrame) -> DataFrame:
     """Which account each of those runs belongs to."""
-    run = F.concat_ws("/", "ad_account_id", F.col("stat_date").cast("string"))
-    return rows.select(run.alias("run_id"), "ad_account_id").distinct()
+    return pages.select("run_id", F.split_part("run_id", F.lit("/"), F.lit(1)).alias("ad_account_id")).distinct()
 
 
 def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,8 +175,9 @@ def _typed_facts(spec: TableSpec, rows: DataFrame, number: str = "ad_id") -> Dat
         if f.column in rows.columns and f.kind != "json"
     ]
     click = F.struct(F.lit("click").alias("action_type"), F.col("clicks").cast("string").alias("value"))
-    pages = L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")), number)
-    return portable(scan_report(pages, L.report_runs(rows), spec))
+    built = L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")), number)
+    pages = L.through_files(rows.sparkSession, built)
+    return portable(scan_report(pages, L.report_runs(pages), spec))
 
 
 AD_IDS = {

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.functions.days import LOOKBACK_DAYS, as_instant, local_day
+from spendlake.functions.metrics import exact_sum
 from spendlake.operators.upsert import CatalogTable, ParquetTable, upsert
 
 
@@ -30,7 +31,7 @@ def daily_totals(
     people = [] if person is None else [F.approx_count_distinct(person).alias("reach")]
     totals = timed.groupBy(*grain, F.window(instant, "1 day").alias("day")).agg(
         F.count("*").alias("events"),
-        F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("spend"),
+        exact_sum(events, amount).cast("double").alias("spend"),
         *people,
     )
     measures = [c for c in totals.columns if c not in (*grain, "day")]

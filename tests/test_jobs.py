@@ -52,7 +52,7 @@ WINDOW = (date(2024, 1, 17), date(2024, 1, 30))
 
 def test_fact_run(spark, folder, fact_inputs):
     table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
-    run_facts(*fact_inputs, table, window=WINDOW, ingested_at=RUN_AT)
+    assert run_facts(*fact_inputs, table, window=WINDOW, ingested_at=RUN_AT) == 3
     rows = table.read(spark).select("ad_account_id", "ad_id", "spend", F.unix_seconds("ingested_at").alias("at")).collect()
     at = int(RUN_AT.timestamp())
     assert sorted(tuple(r) for r in rows) == [("act_1", "a", 1.5, at), ("act_1", "b", 2.0, at), ("act_2", "c", 3.0, at)]
@@ -66,7 +66,7 @@ def test_fact_run_for_listed_accounts(spark, folder, fact_inputs):
 
 def test_fact_run_without_rows(spark, folder, fact_inputs):
     table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
-    run_facts(*fact_inputs, table, window=(date(2020, 1, 1), date(2020, 1, 2)))
+    assert run_facts(*fact_inputs, table, window=(date(2020, 1, 1), date(2020, 1, 2))) == 0
     assert not table.exists(spark)
 
 

@@ -95,6 +95,24 @@ def test_approximate_reach_is_close(spark):
     assert abs(reach - 5000) < 500
 
 
+def test_charges_below_a_cent_add_up(spark):
+    rows = spark.range(1000).select(
+        *(F.lit("x").alias(c) for c in ("ad_account_id", "campaign_id", "ad_set_id", "ad_id")),
+        F.lit(D1).alias("stat_date"), F.lit(0.0005).alias("spend"), F.lit(1).alias("impressions"), F.lit(0).alias("clicks"),
+        F.col("id").alias("person_id"),
+    )
+    assert R.report(rows, "ad").first().spend == 0.5
+
+
+def test_delivery_of_an_unknown_ad_is_kept(delivery):
+    hierarchy = delivery.where("ad_id <> 'a3'").select("ad_account_id", "campaign_id", "ad_set_id", "ad_id").distinct()
+    bare = delivery.drop("ad_account_id", "campaign_id", "ad_set_id")
+    for level in ("ad", "campaign"):
+        got = R.report(bare, level, hierarchy=hierarchy)
+        assert got.agg(F.round(F.sum("spend"), 2)).first()[0] == 3.6
+        assert got.where("campaign_id IS NULL").first().spend == 1.0
+
+
 def test_unknown_level(delivery):
     with pytest.raises(ValueError, match="unknown level"):
         R.report(delivery, "account")
