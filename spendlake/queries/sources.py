@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.functions.errors import error_detail
+from spendlake.functions.errors import DETAIL_LEAD_IN, error_detail
 from spendlake.operators.project import select_as
 from spendlake.operators.report import attach
 from spendlake.operators.runs import failed_submissions, last_submission, pair_responses, started_runs
@@ -307,11 +307,11 @@ def last_submission_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "error_detail",
-    """
+    f"""
 SELECT event_id, CASE event_id % 4
-  WHEN 0 THEN ' | Meta error: no ' || event_type || ', user_message=' || event_type || ', type=T, code=' || CAST(user_id AS VARCHAR)
+  WHEN 0 THEN '{DETAIL_LEAD_IN}no ' || event_type || ', user_message=' || event_type || ', type=T, code=' || CAST(user_id AS VARCHAR)
               || ', error_subcode=7, fbtrace_id=' || CAST(event_id AS VARCHAR)
-  WHEN 1 THEN ' | Meta error: code=' || CAST(user_id AS VARCHAR)
+  WHEN 1 THEN '{DETAIL_LEAD_IN}code=' || CAST(user_id AS VARCHAR)
   ELSE '' END AS detail
 FROM events""",
 )

@@ -51,7 +51,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENT_DAILY = TableSpec.of(
     "event_daily",
-    (("event_type", "event_type", "string"), ("date_start", "stat_date", "date"), ("events", "events", "bigint"), ("spend", "spend", "double")),
+    (("event_type", "event_type", "string"), ("date_start", "stat_date", "date"), ("events", "events", "bigint"), ("spend", "spend", "double"), ("reach", "reach", "bigint")),
     keys=("ad_account_id", "event_type", "stat_date"),
     day_of="stat_date",
 )
@@ -65,13 +65,36 @@ SELECT 'act_' || CAST(user_id % 5 AS VARCHAR) AS ad_account_id, event_type, CAST
 FROM events GROUP BY ALL""",
 )
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = stream_of(spark, sf_dir, "events")
-    events = events.withColumn("ad_account_id", F.concat(F.lit("act_"), (F.col("user_id") % 5).cast("string")))
+    return _daily_table(spark, sf_dir).drop("reach", "ingested_at")
+
+
+def _daily_table(spark: SparkSession, sf_dir: str, person: str | None = None) -> DataFrame:
     # The files of a backlog come in any order, so lateness has to cover the whole span of days.
-    totals = daily_totals(events, ("ad_account_id", "event_type"), late="3650 days")
+    totals = daily_totals(_with_account(stream_of(spark, sf_dir, "events")), ("ad_account_id", "event_type"), person=person, late="3650 days")
     target = new_table(spark, EVENT_DAILY)
     daily_stream(totals, target, scratch_path(spark, "checkpoint")).awaitTermination()
-    return target.read(spark).drop("ingested_at")
+    return target.read(spark)
+
+
+def _with_account(events: DataFrame) -> DataFrame:
+    return events.withColumn("ad_account_id", F.concat(F.lit("act_"), (F.col("user_id") % 5).cast("string")))
+
+
+@query(
+    "stream_daily_reach",
+    """
+SELECT 'act_' || CAST(user_id % 5 AS VARCHAR) AS ad_account_id, event_type, CAST(ts AS DATE) AS stat_date,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS reach, true AS streamed_is_close
+FROM events GROUP BY ALL""",
+)
+def stream_daily_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed sketch of reach next to the exact count: close means within a fifth, or one of a few."""
+    grain = ["ad_account_id", "event_type", "stat_date"]
+    streamed = _daily_table(spark, sf_dir, "user_id").select(*grain, F.col("reach").alias("sketch"))
+    events = _with_account(table(spark, sf_dir, "events")).withColumn("stat_date", F.col("ts").cast("date"))
+    exact = events.groupBy(*grain).agg(F.count_distinct("user_id").alias("reach"))
+    close = F.abs(F.col("sketch") - F.col("reach")) <= F.lit(1) + F.col("reach") * 0.2
+    return exact.join(streamed, grain, "left").select(*grain, "reach", F.coalesce(close, F.lit(False)).alias("streamed_is_close"))
 
 
 # Polling rounds a quarter of an hour apart.

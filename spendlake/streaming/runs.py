@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from spendlake.operators.filters import is_final
+from spendlake.operators.filters import FINAL_STATUSES, is_final
 
 # Fixed value: seconds a run may take before it counts as stuck.
 RUN_DEADLINE_SECONDS = 3600
@@ -18,6 +18,8 @@ TIMED_OUT = "Timed Out"
 OUTCOME = "run_id STRING, status STRING, checks BIGINT, known_ms BIGINT"
 OUTCOME_COLUMNS = ["run_id", "status", "checks", "known_ms"]
 STATE = "first_ms BIGINT, checks BIGINT, done BOOLEAN"
+COMBINED = "run_id STRING, first_ms BIGINT, last_ms BIGINT, checks BIGINT, final_key BIGINT"
+NO_FINAL = 2**63 - 1
 
 
 def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: str = "0 seconds") -> DataFrame:
@@ -25,33 +27,40 @@ def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: st
 
     ``checks`` streams (run_id, observed_at, async_status, error). A check that went wrong
     counts as pending. A run still pending ``deadline`` seconds of event time after its first
-    check times out, as does one that finished only after that. State is three values per run, whatever the number of its checks.
+    check times out, as does one that finished only after that. State is three values per
+    run, whatever the number of its checks.
     """
-
     limit_ms = deadline * 1000
+    kinds = len(FINAL_STATUSES)
+
+    # Both functions are local, so they travel to the executors whole and need no package there.
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One row per run and input batch, so a run with any number of checks sends few rows to its task."""
+        for batch in batches:
+            yield batch.groupby("run_id", sort=False, as_index=False).agg(
+                first_ms=("at_ms", "min"), last_ms=("at_ms", "max"), checks=("at_ms", "size"), final_key=("final_key", "min")
+            )
 
     def outcome(run_id: str, status: str, seen: int, at_ms: int) -> pd.DataFrame:
         return pd.DataFrame([(run_id, status, seen, at_ms)], columns=OUTCOME_COLUMNS)
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first_ms, seen, done = state.get if state.exists else (None, 0, False)
+        first_ms, seen, done = state.get if state.exists else (NO_FINAL, 0, False)
         if state.hasTimedOut:
             state.remove()
             if not done:
                 yield outcome(key[0], TIMED_OUT, seen, first_ms + limit_ms)
             return
-        finals = []
+        final_key = NO_FINAL
         for batch in batches:
             if not done:
-                seen += len(batch)
-                earliest = int(batch["at_ms"].to_numpy().min())
-                first_ms = earliest if first_ms is None else min(first_ms, earliest)
-                finals.extend(f for f in batch["final"].to_numpy() if f is not None)
-        if finals:
+                seen += int(batch["checks"].to_numpy().sum())
+                first_ms = min(first_ms, int(batch["first_ms"].to_numpy().min()))
+                final_key = min(final_key, int(batch["final_key"].to_numpy().min()))
+        if final_key != NO_FINAL:
             done = True
-            # Times are padded, so the smallest text is the earliest final status.
-            at_text, status = min(finals).split(" ", 1)
-            at_ms = int(at_text)
+            at_ms, kind = divmod(final_key, kinds)
+            status = FINAL_STATUSES[kind]
             if at_ms > first_ms + limit_ms:
                 at_ms, status = first_ms + limit_ms, TIMED_OUT
             yield outcome(key[0], status, seen, at_ms)
@@ -59,16 +68,17 @@ def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: st
         # A finished run is remembered until its deadline, so repeated checks do not report it again.
         state.setTimeoutTimestamp(max(first_ms + limit_ms, state.getCurrentWatermarkMs() + 1))
 
-    timed = checks.withColumn("observed_at", F.col("observed_at").cast("timestamp")).withWatermark("observed_at", late)
-    at_ms = F.unix_millis("observed_at")
+    at_ms = F.unix_millis(F.col("observed_at").cast("timestamp"))
+    final_statuses = F.array(*(F.lit(s) for s in FINAL_STATUSES))
+    status_no = F.array_position(final_statuses, F.col("async_status")) - 1
     final = (F.coalesce(F.col("error"), F.lit("")) == "") & is_final(F.col("async_status"))
-    slim = timed.select(
-        "run_id",
-        "observed_at",
-        at_ms.alias("at_ms"),
-        F.when(final, F.concat_ws(" ", F.lpad(at_ms.cast("string"), 15, "0"), "async_status")).alias("final"),
-    )
-    told = slim.groupBy("run_id").applyInPandasWithState(
-        follow, OUTCOME, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    # Time and status in one number: the smallest is the first final status.
+    final_key = F.when(final, at_ms * kinds + status_no).otherwise(F.lit(NO_FINAL))
+    slim = checks.select("run_id", at_ms.alias("at_ms"), final_key.alias("final_key"))
+    combined = slim.mapInPandas(combine, COMBINED).withColumn("observed_at", F.timestamp_millis("last_ms"))
+    told = (
+        combined.withWatermark("observed_at", late)
+        .groupBy("run_id")
+        .applyInPandasWithState(follow, OUTCOME, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
     return told.select("run_id", "status", "checks", F.timestamp_millis("known_ms").alias("known_at"))

@@ -11,7 +11,7 @@ from spendlake.queries.base import table
 SF = "/root/testdata/sf0.001"
 WRITES = {
     "upsert_facts", "upsert_twice", "upsert_dims", "upsert_dims_moved", "replace_table", "run_facts", "run_dimensions",
-    "stream_upsert", "stream_daily", "run_tracker", "scan_pages", "scan_ads",
+    "stream_upsert", "stream_daily", "stream_daily_reach", "run_tracker", "scan_pages", "scan_ads",
     "scan_report_ad", "scan_report_ad_market", "scan_report_ad_age_gender", "scan_report_ad_set", "scan_report_campaign",
 }
 

@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from spendlake.functions.errors import error_detail
+from spendlake.functions.errors import DETAIL_LEAD_IN, error_detail
 from spendlake.operators.runs import NO_RUN_ID, started_runs
 from spendlake.plans.tables import AD_DAILY, ADS
 from spendlake.sources.batches import unpack_batches
@@ -143,8 +143,8 @@ def test_batches(spark):
     "body, detail",
     [
         ('{"error": {"message": "m", "error_user_msg": "u", "type": "T", "code": 1, "error_subcode": 2, "fbtrace_id": "f"}}',
-         " | Meta error: m, user_message=u, type=T, code=1, error_subcode=2, fbtrace_id=f"),
-        ('{"error": {"code": 0}}', " | Meta error: code=0"),
+         "m, user_message=u, type=T, code=1, error_subcode=2, fbtrace_id=f"),
+        ('{"error": {"code": 0}}', "code=0"),
         ('{"error": {"message": "", "type": ""}}', ""),
         ('{"error": {}}', ""),
         ('{"error": null}', ""),
@@ -157,4 +157,4 @@ def test_batches(spark):
 )
 def test_error_detail(spark, body, detail):
     rows = spark.createDataFrame([(body,)], "body string")
-    assert rows.select(error_detail(F.col("body"))).first()[0] == detail
+    assert rows.select(error_detail(F.col("body"))).first()[0] == (DETAIL_LEAD_IN + detail if detail else "")

@@ -117,3 +117,20 @@ def test_stuck_run_times_out_once_the_clock_passes(spark, folder):
     )
     query.awaitTermination()
     assert [(r.run_id, r.status) for r in spark.read.parquet(f"{folder}/out").collect()] == [("stuck", TIMED_OUT)]
+
+
+def test_run_with_very_many_checks(spark, folder):
+    hot = spark.range(30000).select(
+        F.lit("hot").alias("run_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3000).alias("observed_at"),
+        F.when(F.col("id") % 3000 == 2500, "Job Skipped").when(F.col("id") % 3000 > 2600, "Job Completed").otherwise("Job Running").alias("async_status"),
+        F.lit("").alias("error"),
+    )
+    hot.repartition(4).write.parquet(f"{folder}/in")
+    query = (
+        track_runs(spark.readStream.schema(hot.schema).parquet(f"{folder}/in")).writeStream.format("parquet")
+        .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    row = spark.read.parquet(f"{folder}/out").select("run_id", "status", "checks", F.unix_seconds("known_at").alias("s")).collect()
+    assert [tuple(r) for r in row] == [("hot", "Job Skipped", 30000, 1704067200 + 2500)]
