@@ -51,7 +51,13 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENT_DAILY = TableSpec.of(
     "event_daily",
-    (("event_type", "event_type", "string"), ("date_start", "stat_date", "date"), ("events", "events", "bigint"), ("spend", "spend", "double"), ("reach", "reach", "bigint")),
+    (
+        ("event_type", "event_type", "string"),
+        ("date_start", "stat_date", "date"),
+        ("events", "events", "bigint"),
+        ("spend", "spend", "double"),
+        ("reach", "reach", "bigint"),
+    ),
     keys=("ad_account_id", "event_type", "stat_date"),
     day_of="stat_date",
 )
@@ -70,7 +76,8 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_table(spark: SparkSession, sf_dir: str, person: str | None = None) -> DataFrame:
     # The files of a backlog come in any order, so lateness has to cover the whole span of days.
-    totals = daily_totals(_with_account(stream_of(spark, sf_dir, "events")), ("ad_account_id", "event_type"), person=person, late="3650 days")
+    events = _with_account(stream_of(spark, sf_dir, "events"))
+    totals = daily_totals(events, ("ad_account_id", "event_type"), person=person, late="3650 days")
     target = new_table(spark, EVENT_DAILY)
     daily_stream(totals, target, scratch_path(spark, "checkpoint")).awaitTermination()
     return target.read(spark)
