@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spendlake.llm import bpe, mixing, ngram_join, quality, rollups, sharding, token_files
+from spendlake.llm import bpe, embed_join, html_text, mixing, ngram_join, quality, rollups, sharding, token_files
 from spendlake.session import scratch_path
 
 
@@ -99,3 +99,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_outliers")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_main_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_embedding_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
