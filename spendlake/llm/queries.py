@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spendlake.llm import bpe, embed_join, html_text, mixing, ngram_join, quality, rollups, sharding, token_files
+from spendlake.llm import bpe, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding, token_files
 from spendlake.session import scratch_path
 
 
@@ -49,6 +49,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"), shards=16)
 
 
+@query("op4_lm_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary(spark)
