@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from spendlake.llm import rans
 from spendlake.llm.common import row_slices, shuffle_parts, small_side, stored
-from spendlake.llm.words import hashes, spans, text_bytes
+from spendlake.llm.words import LOWER, hashes, spans, text_bytes
 
 #: Tokens of a row of a file, in whole documents; a longer document is a row of its own.
 ROW_TOKENS, TEXT_BYTES = 1 << 18, 1 << 21
-#: Different words a worker remembers the ids of.
+#: Different pieces a worker remembers the ids of.
 REMEMBERED = 1 << 20
 
 
@@ -34,9 +34,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Kinds of printable ASCII between which the tokenizer always cuts: letters, digits, signs. All else may depend on what
+#: stands beside it: an apostrophe (contractions), and whatever is not ASCII or not printable.
+KINDS = np.zeros(256, np.uint8)
+KINDS[0x21:0x7F] = 3
+KINDS[ord("0") : ord("9") + 1] = 2
+KINDS[ord("a") : ord("z") + 1] = KINDS[ord("A") : ord("Z") + 1] = 1
+KINDS[ord("'")] = 0
+
+
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space: it then treats each word by itself, so each word is encoded
-    once and remembered. Words are told apart by 64-bit hashes of their bytes."""
+    """Ids of texts by a tokenizer that drops white space, ignores case and cuts letters, digits and signs apart.
+
+    It then treats each such piece by itself, so each piece is encoded once and remembered. Pieces are told apart by
+    64-bit hashes of their bytes. Where a special token may be spelled out, whole words are encoded as they are.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -47,13 +59,14 @@ class WordIds:
     def _forget(self):
         self.keys, self.first, self.length, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) > REMEMBERED:
-            self._forget()
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        length = np.array([len(x) for x in found], np.int64)
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        # One call for all: tokens belong to the piece they begin in, as white space has none.
+        found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(x) + 1 for x in pieces[:-1])])
+        begins = np.array([a for a, _ in found.offsets], np.int64)
+        length = np.bincount(np.searchsorted(starts, begins, "right") - 1, minlength=len(pieces))
         first = len(self.ids) + np.concatenate([[0], np.cumsum(length)[:-1]])
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint16)])
+        self.ids = np.concatenate([self.ids, np.array(found.ids, np.uint16)])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys)
         self.keys = keys[order]
@@ -66,13 +79,18 @@ class WordIds:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
         data, offsets = text_bytes(texts)
-        starts, ends, ranges = spans(data, offsets)
+        raw = data.tobytes()
+        if b"<|" in raw:
+            found = [self.tokenizer.encode(x or "", add_special_tokens=False).ids for x in texts.to_pylist()]
+            return np.array([i for x in found for i in x], np.uint16), np.array([len(x) for x in found], np.int64)
+        data = LOWER[data]
+        raw = data.tobytes()
+        starts, ends, ranges = spans(data, offsets, KINDS)
         keys, first, inverse = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self._forget()
         new = ~self._known(keys)
         if new.any():
-            raw = data.tobytes()
             self._learn(keys[new], [raw[starts[i] : ends[i]].decode() for i in first[new]])
         at = np.searchsorted(self.keys, keys)[inverse]
         length = self.length[at]

@@ -50,13 +50,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and for each text the range of its words (one entry more than texts)."""
+def spans(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and for each text the range of its words (one entry more than texts).
+
+    With ``kinds`` (a small number per byte value, 0: as its neighbours) words are cut further between two different ones.
+    """
     inside = ~SEPARATOR[data]
     borders = offsets[(offsets > 0) & (offsets < len(data))]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
+    if kinds is not None and len(data):
+        kind = kinds[data]
+        cut = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        first[1:] |= cut
+        last[:-1] |= cut
     first[borders] = inside[borders]
     last[borders - 1] = inside[borders - 1]
     starts = np.flatnonzero(first)
