@@ -7,18 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LISTED_FAILURES = 1000
-
+from spendlake.session import scratch_path
 
 class GateClosed(RuntimeError):
     """Something failed before the write, so nothing was written.
 
-    The message names up to ``LISTED_FAILURES`` failures; ``failures`` is the DataFrame of all.
+    The message has their exact number, the first one's text, and the ``path`` of the table that lists all.
     """
 
-    def __init__(self, message: str, failures: DataFrame):
+    def __init__(self, message: str, failures: DataFrame, path: str):
         super().__init__(message)
-        self.failures = failures
+        self.failures, self.path = failures, path
 
 
 def incomplete_runs(outcomes: DataFrame) -> DataFrame:
@@ -46,18 +45,42 @@ def broken_chains(chains: DataFrame, chain: tuple[str, ...] = ("ad_account_id",
     return chains.where(~F.col("complete")).select(*chain, text.alias("detail"))
 
 
+def landing_failures(chains: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row per run (run_id, ad_account_id) whose pages did not all land: none at all, an error, or a broken chain."""
+    own = chains.drop("ad_account_id").withColumnRenamed("run_id", "chain")
+    found = runs.select("ad_account_id", "run_id").join(own, F.col("run_id") == F.col("chain"), "left")
+    reason = (
+        F.when(F.col("chain").isNull(), "no page landed")
+        .when(F.col("error_pages") > 0, "a page is an error")
+        .otherwise("page chain broken")
+    )
+    numbers = F.format_string(
+        " (%d page(s) numbered %d..%d, %d of them last)", "pages", "first_page", "last_page", "end_pages"
+    )
+    landed = F.when(F.col("chain").isNotNull(), numbers)
+    text = F.concat(F.concat_ws("/", "ad_account_id", "run_id"), F.lit(": "), reason, F.coalesce(landed, F.lit("")))
+    failed = found.where(F.col("chain").isNull() | ~F.col("complete"))
+    return failed.select("ad_account_id", "run_id", reason.alias("reason"), text.alias("detail"))
+
+
 def gate(failures: DataFrame, what: str) -> None:
-    """Raise when there is any failure: count and texts joined by "; ".
+    """Raise when there is any failure, whatever their number.
 
-    The count is exact; the texts are listed up to a bound, so the driver never holds more,
-    and the exception carries the whole DataFrame for everything beyond it.
+    All failures are written to a table in the shared folder; the driver holds their count and one text.
     """
-    listed = [r.detail for r in failures.select("detail").orderBy("detail").take(LISTED_FAILURES + 1)]
-    if not listed:
+    if failures.isEmpty():
         return
-    count = len(listed) if len(listed) <= LISTED_FAILURES else failures.count()
-    more = "" if count <= LISTED_FAILURES else f"; and {count - LISTED_FAILURES} more in .failures"
-    raise GateClosed(f"{count} {what} -- " + "; ".join(listed[:LISTED_FAILURES]) + more, failures)
+    path = scratch_path(failures.sparkSession, "failures")
+    failures.write.parquet(path)
+    listed = failures.sparkSession.read.schema(failures.schema).parquet(path)
+    found = listed.agg(F.count("*").alias("number"), F.min("detail").alias("first")).first()
+    raise GateClosed(f"{found.number} {what} -- {found.first}; all of them in {path}", listed, path)
+
+
+def collate(failures: DataFrame, by: str = "ad_account_id") -> DataFrame:
+    """Per account the number of failures and all their texts in order, joined by "; "."""
+    texts = F.array_join(F.array_sort(F.collect_list("detail")), "; ")
+    return failures.groupBy(by).agg(F.count("*").alias("failures"), texts.alias("detail"))
 
 
 def run_audit(rows: DataFrame, account: str = "ad_account_id") -> DataFrame:

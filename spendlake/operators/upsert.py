@@ -28,6 +28,8 @@ from spendlake.plans.spec import TableSpec
 from spendlake.session import scratch_path
 
 VERSION = "v-"
+# Inside a staging folder: the source's rows, the table's rows that stay, and the mark that both are whole.
+SOURCE, KEPT, READY = "source", "kept", "ready"
 
 
 class DuplicateKeys(ValueError):
@@ -80,6 +82,9 @@ class ParquetTable:
     def load(self, spark: SparkSession, *paths: str) -> DataFrame:
         return spark.read.schema(self.files_schema()).parquet(*paths)
 
+    def staging(self) -> str:
+        return f"{self.root}/_staging"
+
     def read(self, spark: SparkSession, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
         """The newest version, optionally only a window of days (which prunes partitions)."""
         versions = self.versions(spark)
@@ -109,10 +114,13 @@ class CatalogTable:
 
 @dataclass(frozen=True)
 class Staged:
-    """Typed rows written out ahead of a merge, so that the merge parses nothing again."""
+    """Typed rows written out ahead of a merge, so that the merge parses nothing again.
+
+    ``path`` is a folder of its own: the source's rows, later the rows to keep and the mark that both are whole.
+    """
 
     spark: SparkSession
-    table: ParquetTable
+    table: ParquetTable | CatalogTable
     path: str
     rows: int
     days: tuple[date | None, ...]
@@ -147,20 +155,31 @@ def _write_days(df: DataFrame, path: str, day: str, keys: Sequence[str], mode: s
     writer.mode("overwrite" if mode == "dynamic" else mode).parquet(path)
 
 
-def stage(source: DataFrame, table: ParquetTable, null_safe: bool = False) -> Staged:
-    """Write the typed source below the table's root and check its keys.
+def stage(source: DataFrame, table: ParquetTable | CatalogTable, null_safe: bool = False) -> Staged:
+    """Write the typed source to staging (below a Parquet table's root, else the shared folder) and check its keys.
 
-    Everything that can fail in reading and typing fails here, with the table untouched.
-    Raises ``DuplicateKeys`` when a key occurs twice.
+    Everything that can fail in reading and typing fails here, with the table untouched and
+    nothing left behind. Raises ``DuplicateKeys`` when a key occurs twice.
     """
-    spark = source.sparkSession
-    path = f"{table.root}/_staging/source-{uuid.uuid4().hex}"
-    table.with_day(source).write.parquet(path)
-    rows = table.load(spark, path)
-    _require_unique(rows, table.spec.keys, null_safe)
-    # One row per calendar day in the source, the only thing that comes to the driver.
-    per_day = rows.groupBy(table.day_column).count().collect()
-    return Staged(spark, table, path, sum(r["count"] for r in per_day), tuple(r[table.day_column] for r in per_day))
+    spark, owned = source.sparkSession, isinstance(table, ParquetTable)
+    path = f"{table.staging()}/{uuid.uuid4().hex}" if owned else scratch_path(spark, "source")
+    day = F.col(table.day_column) if owned else local_day(F.col(table.spec.day_of).cast("timestamp"), F.lit("UTC"))
+    try:
+        (table.with_day(source) if owned else conform(source, table.spec)).write.parquet(f"{path}/{SOURCE}")
+        rows = _staged_rows(spark, table, path)
+        _require_unique(rows, table.spec.keys, null_safe)
+        # One row per calendar day in the source, the only thing that comes to the driver.
+        per_day = rows.groupBy(day.alias("day")).count().collect()
+    except Exception:
+        storage.delete(spark, path)
+        raise
+    return Staged(spark, table, path, sum(r["count"] for r in per_day), tuple(r["day"] for r in per_day))
+
+
+def _staged_rows(spark: SparkSession, table: ParquetTable | CatalogTable, path: str) -> DataFrame:
+    if isinstance(table, ParquetTable):
+        return table.load(spark, f"{path}/{SOURCE}")
+    return spark.read.schema(table.spec.schema).parquet(f"{path}/{SOURCE}")
 
 
 def _require_unique(rows: DataFrame, keys: Sequence[str], null_safe: bool) -> None:
@@ -197,16 +216,22 @@ def merge_staged(staged: Staged, null_safe: bool = False) -> None:
 
     Only the day partitions in the source are rewritten. Their rows that stay are copied to
     staging first, so the final write reads nothing it overwrites; a lost executor only
-    repeats tasks, and a run that stops half-way is put right by running it again.
+    repeats tasks. A staging folder that holds both is marked ready before the first partition
+    is touched; a run that stops half-way is put right by the next one, which publishes ready
+    folders before anything else.
     """
     spark, table = staged.spark, staged.table
     if staged.is_empty:
         storage.delete(spark, staged.path)
         return
+    if isinstance(table, CatalogTable):
+        _merge_into(staged, null_safe)
+        storage.delete(spark, staged.path)
+        return
+    recover(spark, table)
     keys, day = table.spec.keys, table.day_column
-    source = table.load(spark, staged.path)
+    source = _staged_rows(spark, table, staged.path)
     versions = table.versions(spark)
-    scratch = [staged.path]
     if not versions:
         _write_days(source, table.path(1), day, keys, "overwrite")
     else:
@@ -217,14 +242,23 @@ def merge_staged(staged: Staged, null_safe: bool = False) -> None:
             stay = _unmatched(target, source.select(*keys), keys, null_safe)
             _new_version(stay.unionByName(source), table, versions)
         else:
-            scratch += _stage_kept(staged, target.where(touched), null_safe)
-            publish(spark, table, scratch)
-    for path in scratch:
-        storage.delete(spark, path)
+            _stage_kept(staged, target.where(touched), null_safe)
+            storage.touch(spark, f"{staged.path}/{READY}")
+            publish(spark, table, staged.path)
+    storage.delete(spark, staged.path)
+
 
+def recover(spark: SparkSession, table: ParquetTable) -> None:
+    """Publish what an upsert that stopped half-way had ready; its table version is still the newest."""
+    for name in storage.folders(spark, table.staging()):
+        path = f"{table.staging()}/{name}"
+        if storage.exists(spark, f"{path}/{READY}"):
+            publish(spark, table, path)
+            storage.delete(spark, path)
 
-def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> list[str]:
-    """Write out the target rows that no source row replaces; returns where, or nothing if there are none.
+
+def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> None:
+    """Write out the target rows that no source row replaces, next to the source's.
 
     Whole rows are wide and a re-pulled window replaces nearly all of them, so the rows to
     keep are first found by key columns alone. The rows themselves are then picked by the
@@ -232,8 +266,8 @@ def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> list[str]
     enough for the optimiser to broadcast.
     """
     spark, table, keys = staged.spark, staged.table, staged.table.spec.keys
-    source_keys = table.load(spark, staged.path).select(*keys)
-    keys_path, rows_path = (f"{table.root}/_staging/{what}-{uuid.uuid4().hex}" for what in ("kept-keys", "kept"))
+    source_keys = _staged_rows(spark, table, staged.path).select(*keys)
+    keys_path, rows_path = f"{staged.path}/kept-keys", f"{staged.path}/{KEPT}"
     target_keys, counted = target.select(*keys), Observation()
     unmatched = _unmatched(target_keys, source_keys, keys, null_safe)
     unmatched.observe(counted, F.count("*").alias("kept")).write.parquet(keys_path)
@@ -246,11 +280,11 @@ def _stage_kept(staged: Staged, target: DataFrame, null_safe: bool) -> list[str]
             kept = _unmatched(target, source_keys, keys, null_safe)
         kept.write.parquet(rows_path)
     storage.delete(spark, keys_path)
-    return [rows_path] if count else []
 
 
-def publish(spark: SparkSession, table: ParquetTable, paths: Sequence[str]) -> None:
-    """Overwrite the day partitions present in the staged paths; safe to repeat until it succeeds."""
+def publish(spark: SparkSession, table: ParquetTable, staged: str) -> None:
+    """Overwrite the day partitions present in a staging folder; safe to repeat until it succeeds."""
+    paths = [f"{staged}/{name}" for name in (SOURCE, KEPT) if storage.exists(spark, f"{staged}/{name}")]
     current = table.path(table.versions(spark)[-1])
     _write_days(table.load(spark, *paths), current, table.day_column, table.spec.keys, "dynamic")
 
@@ -286,22 +320,17 @@ def upsert(
     """
     if newest_first is not None:
         source = latest_per_key(source, table.spec.keys, newest_first, null_safe)
-    if isinstance(table, CatalogTable):
-        return _merge_into(source, table, null_safe)
+    if isinstance(table, ParquetTable):
+        recover(source.sparkSession, table)
     staged = stage(source, table, null_safe)
     merge_staged(staged, null_safe)
     return staged.rows
 
 
-def _merge_into(source: DataFrame, table: CatalogTable, null_safe: bool) -> int:
-    spark = source.sparkSession
-    path = scratch_path(spark, "source")
-    conform(source, table.spec).write.parquet(path)
-    rows = spark.read.schema(table.spec.schema).parquet(path)
-    _require_unique(rows, table.spec.keys, null_safe)
-    count = rows.count()
-    if not count:
-        return 0
+def _merge_into(staged: Staged, null_safe: bool) -> None:
+    """One MERGE of staged rows. Where the day is in the key, the span of days bounds the scan of the target."""
+    spark, table = staged.spark, staged.table
+    rows = _staged_rows(spark, table, staged.path)
     if not table.exists(spark):
         rows.limit(0).writeTo(table.name).partitionedBy(F.partitioning.days(table.spec.day_of)).create()
     target = table.name.rsplit(".", 1)[-1]
@@ -309,9 +338,10 @@ def _merge_into(source: DataFrame, table: CatalogTable, null_safe: bool) -> int:
     for key in table.spec.keys:
         ours, theirs = F.col(f"source.{key}"), F.col(f"{target}.{key}")
         match = match & (theirs.eqNullSafe(ours) if null_safe else theirs == ours)
+    day, known = table.spec.day_of, [d for d in staged.days if d is not None]
+    if day in table.spec.keys and known and len(known) == len(staged.days):
+        match = match & F.col(f"{target}.{day}").between(F.lit(min(known)), F.lit(max(known)))
     rows.alias("source").mergeInto(table.name, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-    storage.delete(spark, path)
-    return count
 
 
 def replace(source: DataFrame, table: ParquetTable | CatalogTable) -> int:

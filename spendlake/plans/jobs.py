@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.operators.filters import allow_accounts, in_days, only_accounts, require_rows, unknown_accounts
-from spendlake.operators.quality import broken_chains, gate, incomplete_runs, submission_failures
+from spendlake.operators.quality import broken_chains, gate, incomplete_runs, landing_failures, run_audit, submission_failures
 from spendlake.operators.runs import last_submission, run_outcomes, run_status, started_runs
 from spendlake.operators.upsert import CatalogTable, ParquetTable, latest_per_key, merge_staged, stage, upsert
 from spendlake.sources.pages import page_chain_check, scan_entities, scan_report
@@ -55,25 +55,47 @@ def run_facts(
     *,
     window: tuple[date, date] | None = None,
     accounts: str | None = None,
+    visible_accounts: DataFrame | None = None,
     ingested_at: Column | datetime | None = None,
     dedupe: bool = False,
+    audit: str | None = None,
 ) -> int:
     """Gate the run, type its landed report pages and upsert them; returns the number of rows.
 
-    Any failed submission, unfinished run or broken chain of pages raises before the write.
-    Without a single row the table is not touched, nor created.
+    Any failed submission, unfinished run, or run whose pages did not all land (none, an error
+    among them, a broken chain) raises before the write. Without a single row the table is not
+    touched, nor created. With ``visible_accounts`` the wanted accounts are those of them that
+    ``accounts`` names (all if it names none): unknown ones are warned of, and none at all raises.
+    ``audit`` is a folder for the rows per account.
     """
+    if visible_accounts is not None:
+        wanted = _wanted(visible_accounts, accounts)
+        submissions = submissions.join(wanted, "ad_account_id", "left_semi")
     runs = only_accounts(completed_runs(only_accounts(submissions, accounts), checks), accounts)
-    gate(broken_chains(page_chain_check(pages)), "page chain(s) broken")
+    # Only the run's own pages are looked at, and every run has to have landed whole.
+    pages = pages.join(runs.select("run_id"), "run_id", "left_semi")
+    gate(landing_failures(page_chain_check(pages), runs), "run(s) did not land whole")
     rows = fact_rows(pages, runs, table, window, ingested_at, keep=ARRIVAL if dedupe else ())
+    if audit is not None:
+        run_audit(rows).write.mode("overwrite").parquet(audit)
     count = upsert(rows, table, newest_first=newest_first() if dedupe else None)
     log.info("%s: %d row(s) from the run", table.spec.name, count)
     return count
 
 
+def _wanted(visible_accounts: DataFrame, accounts: str | None) -> DataFrame:
+    """The visible accounts to pull, each once; warns of those asked for in vain, raises if there are none."""
+    # Bounded by the list the caller wrote.
+    unknown = [r.ad_account_id for r in unknown_accounts(visible_accounts, accounts).collect()]
+    if unknown:
+        log.warning("requested account(s) not visible, skipped: %s", unknown)
+    wanted = require_rows(allow_accounts(visible_accounts, accounts), "ad accounts to pull")
+    return wanted.select("ad_account_id").distinct()
+
+
 def run_dimensions(
     pages: dict[str, DataFrame],
-    tables: dict[str, ParquetTable],
+    tables: dict[str, ParquetTable | CatalogTable],
     visible_accounts: DataFrame,
     *,
     window: tuple[date, date] | None = None,
@@ -85,16 +107,16 @@ def run_dimensions(
 
     All listings are read, checked and staged before the first table is touched.
     """
-    # Bounded by the list the caller wrote.
-    unknown = [r.ad_account_id for r in unknown_accounts(visible_accounts, accounts).collect()]
-    if unknown:
-        log.warning("requested account(s) not visible, skipped: %s", unknown)
-    wanted = require_rows(allow_accounts(visible_accounts, accounts), "ad accounts to pull").distinct()
+    wanted = _wanted(visible_accounts, accounts)
     instant = {} if ingested_at is None else {"ingested_at": ingested_at}
     staged = []
     for name, table in tables.items():
         own = pages[name].join(wanted, "ad_account_id", "left_semi")
-        gate(broken_chains(page_chain_check(own)), f"page chain(s) of {name} broken")
+        chains = page_chain_check(own)
+        gate(broken_chains(chains), f"page chain(s) of {name} broken")
+        silent = wanted.join(chains, "ad_account_id", "left_anti")
+        missing = silent.select("ad_account_id", F.concat("ad_account_id", F.lit(": no page landed")).alias("detail"))
+        gate(missing, f"account(s) without {name}")
         rows = scan_entities(own, table.spec, window, keep=ARRIVAL if dedupe else (), **instant)
         if dedupe:
             rows = latest_per_key(rows, table.spec.keys, newest_first())

@@ -15,7 +15,8 @@ from spendlake.operators.filters import (
     unknown_accounts,
     with_local_day,
 )
-from spendlake.operators.quality import incomplete_runs, null_key_audit, submission_failures
+from spendlake.sources.pages import page_chain_check
+from spendlake.operators.quality import collate, incomplete_runs, landing_failures, null_key_audit, submission_failures
 from spendlake.operators.runs import poll_rounds, run_outcomes, run_status, started_runs
 from spendlake.queries import landing as L
 from spendlake.queries.base import query, table
@@ -211,6 +212,41 @@ def submission_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return submission_failures(started_runs(_paired(spark, sf_dir)))
 
 
+@query(
+    "failure_texts",
+    f"""WITH {OUTCOMES_SQL},
+failures AS (SELECT ad_account_id, ad_account_id || ' (run ' || run_id || '): ' || coalesce(final_status, 'None') AS detail
+             FROM outcomes WHERE NOT completed)
+SELECT ad_account_id, CAST(count(*) AS BIGINT) AS failures, string_agg(detail, '; ' ORDER BY detail) AS detail
+FROM failures GROUP BY ad_account_id""",
+)
+def failure_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All failures of an account in one text."""
+    outcomes = run_outcomes(submitted_runs(spark, sf_dir), run_status(status_checks(spark, sf_dir)))
+    return collate(incomplete_runs(outcomes))
+
+
+@query(
+    "landing_gate",
+    """SELECT 'act_' || CAST(c_custkey AS VARCHAR) AS ad_account_id, 'run-' || CAST(c_custkey AS VARCHAR) AS run_id,
+       CASE c_custkey % 4 WHEN 0 THEN 'no page landed' WHEN 1 THEN 'a page is an error' ELSE 'page chain broken' END AS reason
+FROM customer WHERE c_custkey % 4 < 3""",
+)
+def landing_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as runs with a page each: of every four one has none, one an error, one a page that has a next."""
+    key = F.col("c_custkey")
+    runs = table(spark, sf_dir, "customer").select(
+        key.alias("no"), F.concat(F.lit("act_"), key.cast("string")).alias("ad_account_id"), F.concat(F.lit("run-"), key.cast("string")).alias("run_id")
+    )
+    body = (
+        F.when(F.col("no") % 4 == 1, '{"error": {"message": "too many calls"}}')
+        .when(F.col("no") % 4 == 2, '{"data": [], "paging": {"next": "https://next"}}')
+        .otherwise('{"data": [{"id": "1"}], "paging": {"cursors": {"after": "c"}}}')
+    )
+    pages = runs.where("no % 4 <> 0").select("ad_account_id", "run_id", F.lit(1).cast("long").alias("page_no"), body.alias("body"))
+    return landing_failures(page_chain_check(pages), runs).drop("detail")
+
+
 @query(
     "poll_rounds",
     f"""WITH {CHECKS_SQL},

@@ -52,6 +52,7 @@ ends AS (SELECT ad_account_id, max(page_no) AS last FROM listed GROUP BY ad_acco
 pages AS (SELECT * FROM listed JOIN ends USING (ad_account_id) WHERE NOT (ad_account_id = 'act_2' AND page_no = 2))
 SELECT ad_account_id, 'ads' AS run_id, CAST(count(*) AS BIGINT) AS pages, CAST(min(page_no) AS BIGINT) AS first_page,
        CAST(max(page_no) AS BIGINT) AS last_page, CAST(count(*) FILTER (page_no = last) AS BIGINT) AS end_pages,
+       CAST(0 AS BIGINT) AS error_pages,
        (min(page_no) = 1 AND count(*) = max(page_no) AND max(page_no) = any_value(last)) AS complete
 FROM pages GROUP BY ad_account_id""",
 )

@@ -13,6 +13,7 @@ from spendlake.queries.filters import CHECKS_SQL, status_checks
 from spendlake.queries.sources import ACCOUNT_OF_AD
 from spendlake.queries.tables import new_table
 from spendlake.session import scratch_path
+from spendlake.streaming.finish import finish
 from spendlake.streaming.daily import daily_stream, daily_totals
 from spendlake.streaming.runs import track_runs
 from spendlake.streaming.upsert import landed_stream, upsert_stream
@@ -67,19 +68,27 @@ EVENT_DAILY = TableSpec.of(
     "stream_daily",
     """
 SELECT 'act_' || CAST(user_id % 5 AS VARCHAR) AS ad_account_id, event_type, CAST(ts AS DATE) AS stat_date,
-       CAST(count(*) AS BIGINT) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend
+       CAST(count(*) AS BIGINT) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend,
+       CAST(max((CAST(ts AS DATE) - DATE '1970-01-01') // 7 * 604800 + 604800) AS BIGINT) AS ingested_at
 FROM events GROUP BY ALL""",
 )
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_table(spark, sf_dir).drop("reach", "ingested_at")
+    """Events land week by week, each week a batch or more, under the lookback's own lateness."""
+    return portable(_daily_table(spark, sf_dir).drop("reach"))
 
 
 def _daily_table(spark: SparkSession, sf_dir: str, person: str | None = None) -> DataFrame:
-    # The files of a backlog come in any order, so lateness has to cover the whole span of days.
-    events = _with_account(stream_of(spark, sf_dir, "events"))
-    totals = daily_totals(events, ("ad_account_id", "event_type"), person=person, late="3650 days")
+    events, landing, checkpoint = table(spark, sf_dir, "events"), scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    week = F.floor(F.unix_date(F.col("ts").cast("date")) / 7)
+    landed = _with_account(events).withColumn("week", week).withColumn("landed_at", F.timestamp_seconds((F.col("week") + 1) * 604800))
     target = new_table(spark, EVENT_DAILY)
-    daily_stream(totals, target, scratch_path(spark, "checkpoint")).awaitTermination()
+    weeks = [r.week for r in landed.select("week").distinct().orderBy("week").collect()]  # bounded by the calendar
+    arrived = landed.drop("week")
+    for w in weeks:
+        landed.where(F.col("week") == w).drop("week").write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(arrived.schema).parquet(landing)
+        totals = daily_totals(stream, ("ad_account_id", "event_type"), person=person, landed="landed_at")
+        finish(daily_stream(totals, target, checkpoint))
     return target.read(spark)
 
 
@@ -104,8 +113,8 @@ def stream_daily_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.join(streamed, grain, "left").select(*grain, "reach", F.coalesce(close, F.lit(False)).alias("streamed_is_close"))
 
 
-# Polling rounds a quarter of an hour apart.
-ROUND_SECONDS = 900
+# Polling rounds half an hour apart.
+ROUND_SECONDS = 1800
 LOG_START = 1704067200
 
 
@@ -120,14 +129,19 @@ SELECT run_id,
        CASE WHEN e.seen <= first_seen + 3600 THEN e.status ELSE 'Timed Out' END AS status,
        CAST(CASE WHEN e.seen <= first_seen + 3600 THEN e.seen ELSE first_seen + 3600 END AS BIGINT) AS known_at
 FROM firsts LEFT JOIN ends e USING (run_id)
-WHERE e.seen IS NOT NULL OR first_seen + 3600 < (SELECT max(seen) FROM timed)""",
+WHERE e.seen IS NOT NULL OR first_seen + 3600 < (SELECT max(seen) FROM timed) - 3600""",
 )
 def run_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as status checks; runs still inside their deadline at the end of the log are not reported."""
-    lines = stream_of(spark, sf_dir, "lineitem")
+    """Order lines as status checks, round by round in files of their own, over several micro-batches.
+
+    Runs for which the log ends within their deadline and the lateness are not reported.
+    """
     at = F.timestamp_seconds(F.lit(LOG_START) + F.col("round") * ROUND_SECONDS)
-    checks = status_checks(spark, sf_dir, lines).withColumn("observed_at", at)
-    out, checkpoint = scratch_path(spark, "outcomes"), scratch_path(spark, "checkpoint")
-    writer = track_runs(checks).writeStream.outputMode("append").format("parquet").option("path", out)
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    checks = status_checks(spark, sf_dir).withColumn("observed_at", at)
+    landing, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "outcomes", "checkpoint"))
+    for low, high in ((1, 2), (3, 4), (5, 2**31 - 1)):
+        checks.where(F.col("round").between(low, high)).drop("round").write.mode("append").parquet(landing)
+        landed = spark.readStream.schema(checks.drop("round").schema).option("maxFilesPerTrigger", 64).parquet(landing)
+        writer = track_runs(landed).writeStream.outputMode("append").format("parquet").option("path", out)
+        finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return portable(spark.read.schema("run_id STRING, status STRING, checks BIGINT, known_at TIMESTAMP").parquet(out)).drop("checks")

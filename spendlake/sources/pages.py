@@ -86,20 +86,22 @@ def page_chain_check(
 ) -> DataFrame:
     """One row per chain of pages with what is needed to trust it, and ``complete``.
 
-    Complete means: pages numbered from ``first_page`` without gap or repeat, and only the
-    last one lacks ``paging.next`` (a short last page may still carry cursors).
+    Complete means: pages numbered from ``first_page`` without gap or repeat, only the last one
+    lacks ``paging.next`` (a short last page may still carry cursors), and none is an error.
     """
-    following = F.from_json(F.col(body), "paging STRUCT<next: STRING>", STRICT)["paging"]["next"]
+    envelope = F.from_json(F.col(body), "paging STRUCT<next: STRING>, error STRING", STRICT)
     per_page = (
-        pages.select(*chain, "page_no", F.coalesce(following, F.lit("")).alias("following"))
+        pages.select(*chain, "page_no", envelope.alias("e"))
+        .select(*chain, "page_no", F.coalesce("e.paging.next", F.lit("")).alias("following"), F.col("e.error").isNotNull().alias("failed"))
         .groupBy(*chain, "page_no")
-        .agg(F.count("*").alias("copies"), F.count_if(F.col("following") == "").alias("ends"))
+        .agg(F.count("*").alias("copies"), F.count_if(F.col("following") == "").alias("ends"), F.count_if("failed").alias("errors"))
     )
     checked = per_page.groupBy(*chain).agg(
         F.sum("copies").alias("pages"),
         F.min("page_no").alias("first_page"),
         F.max("page_no").alias("last_page"),
         F.sum("ends").alias("end_pages"),
+        F.sum("errors").alias("error_pages"),
         F.count("*").alias("numbers"),
         F.max(F.when(F.col("ends") > 0, F.col("page_no"))).alias("end_at"),
     )
@@ -109,9 +111,10 @@ def page_chain_check(
         & (F.col("pages") == F.col("numbers"))
         & (F.col("end_pages") == 1)
         & (F.col("end_at") == F.col("last_page"))
+        & (F.col("error_pages") == 0)
     )
     return checked.select(
-        *chain, "pages", "first_page", "last_page", "end_pages", F.coalesce(complete, F.lit(False)).alias("complete")
+        *chain, "pages", "first_page", "last_page", "end_pages", "error_pages", F.coalesce(complete, F.lit(False)).alias("complete")
     )
 
 

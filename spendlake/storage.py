@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    fs, where = _at(spark, path)
+    fs.create(where, True).close()
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path, none when it does not exist."""
     fs, where = _at(spark, path)

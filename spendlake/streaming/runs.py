@@ -22,14 +22,19 @@ COMBINED = "run_id STRING, first_ms BIGINT, last_ms BIGINT, checks BIGINT, final
 NO_FINAL = 2**63 - 1
 
 
-def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: str = "0 seconds") -> DataFrame:
+def track_runs(checks: DataFrame, deadline: int = RUN_DEADLINE_SECONDS, late: str | None = None) -> DataFrame:
     """One row per run once its fate is known: first final status, or timed out.
 
     ``checks`` streams (run_id, observed_at, async_status, error). A check that went wrong
     counts as pending. A run still pending ``deadline`` seconds of event time after its first
     check times out, as does one that finished only after that. State is three values per
     run, whatever the number of its checks.
+
+    ``late`` says how far a check may lag behind the newest one of the batches before; a run times
+    out only when the stream is that much past its deadline. By default it covers the deadline. A
+    backlog that is more out of order needs more: ``streaming.finish`` raises if a check came later.
     """
+    late = f"{deadline} seconds" if late is None else late
     limit_ms = deadline * 1000
     kinds = len(FINAL_STATUSES)
 

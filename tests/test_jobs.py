@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators.filters import NothingToDo
 from spendlake.operators.quality import GateClosed
-from spendlake.operators.upsert import DuplicateKeys, ParquetTable
+from spendlake.operators.upsert import CatalogTable, DuplicateKeys, ParquetTable
 from spendlake.plans import tables as T
 from spendlake.plans.jobs import run_dimensions, run_facts
 from spendlake.sources.pages import LANDED_PAGE
@@ -78,7 +78,7 @@ def test_fact_run_stops_before_writing(spark, folder, fact_inputs):
     refused = submissions.withColumn("error", F.when(F.col("seq") == 2, "HTTP 400 -- no").otherwise(""))
     with pytest.raises(GateClosed, match=r"1 account\(s\) without a report run -- act_2: HTTP 400 -- no"):
         run_facts(pages, refused, checks, table)
-    with pytest.raises(GateClosed, match=r"page chain\(s\) broken -- act_1/r1"):
+    with pytest.raises(GateClosed, match=r"1 run\(s\) did not land whole -- act_1/r1: page chain broken"):
         run_facts(pages.where("page_no <> 1 OR run_id <> 'r1'"), submissions, checks, table)
     assert not table.exists(spark)
 
@@ -117,3 +117,54 @@ def test_dimension_run_is_all_or_nothing_while_reading(spark, folder):
         run_dimensions({"campaigns": good, "ad_sets": good, "ads": twice}, tables, visible)
     assert not any(t.exists(spark) for t in tables.values())
     assert run_dimensions({"campaigns": good, "ad_sets": good, "ads": twice}, tables, visible, dedupe=True) == ["campaigns", "ad_sets", "ads"]
+
+
+@pytest.mark.parametrize(
+    "change, reason",
+    [
+        (lambda p: p.where("run_id <> 'r2'"), "act_2/r2: no page landed"),
+        (lambda p: p.where("run_id <> 'r1' OR page_no = 1"), "act_1/r1: page chain broken"),
+        (lambda p: p.withColumn("body", F.when(F.col("run_id") == "r2", '{"error": {"code": 1}}').otherwise(F.col("body"))), "act_2/r2: a page is an error"),
+    ],
+)
+def test_fact_run_needs_every_run_whole(spark, folder, fact_inputs, change, reason):
+    pages, submissions, checks = fact_inputs
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    with pytest.raises(GateClosed, match=rf"1 run\(s\) did not land whole -- {reason}"):
+        run_facts(change(pages), submissions, checks, table)
+    assert not table.exists(spark)
+
+
+def test_fact_run_ignores_chains_of_others(spark, folder, fact_inputs):
+    pages, submissions, checks = fact_inputs
+    foreign = pages_of(spark, ("act_7", "gone", 3, True, []))
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    assert run_facts(pages.union(foreign), submissions, checks, table, audit=f"{folder}/audit") == 4
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{folder}/audit").collect()) == [("act_1", 3), ("act_2", 1)]
+
+
+def test_fact_run_for_visible_accounts(spark, folder, fact_inputs, caplog):
+    visible = spark.createDataFrame([("act_2",), ("act_2",)], "ad_account_id string")
+    table = ParquetTable(T.AD_DAILY, f"{folder}/ads")
+    assert run_facts(*fact_inputs, table, accounts="2, 77", visible_accounts=visible) == 1
+    assert "act_77" in caplog.text
+    with pytest.raises(NothingToDo, match="no ad accounts"):
+        run_facts(*fact_inputs, table, accounts="77", visible_accounts=visible)
+
+
+def test_dimension_run_needs_a_page_of_every_account(spark, folder):
+    tables = {"ads": ParquetTable(T.ADS, f"{folder}/ads")}
+    pages = {"ads": pages_of(spark, ("act_1", "a", 1, False, [entity("3", "2024-01-30T00:00:00+0000")]))}
+    visible = spark.createDataFrame([("act_1",), ("act_2",)], "ad_account_id string")
+    with pytest.raises(GateClosed, match=r"1 account\(s\) without ads -- act_2: no page landed"):
+        run_dimensions(pages, tables, visible)
+
+
+def test_dimension_run_into_catalog_tables(spark, folder, monkeypatch):
+    """Only up to the MERGE: there is no catalog with row-level operations here."""
+    merged = []
+    monkeypatch.setattr("spendlake.operators.upsert._merge_into", lambda staged, null_safe: merged.append((staged.table.name, staged.rows)))
+    pages = {"ads": pages_of(spark, ("act_1", "a", 1, False, [entity("3", "2024-01-30T00:00:00+0000")]))}
+    visible = spark.createDataFrame([("act_1",)], "ad_account_id string")
+    assert run_dimensions(pages, {"ads": CatalogTable(T.ADS, "lake.mkt.ads")}, visible) == ["ads"]
+    assert merged == [("lake.mkt.ads", 1)]

@@ -1,6 +1,6 @@
 import pytest
 
-from spendlake.operators.quality import GateClosed, broken_chains, gate, incomplete_runs, null_key_audit, observed, run_audit, submission_failures
+from spendlake.operators.quality import GateClosed, broken_chains, collate, gate, incomplete_runs, null_key_audit, observed, run_audit, submission_failures
 from spendlake.operators.runs import last_submission, pair_responses, poll_rounds, run_outcomes, run_status, started_runs
 
 DONE, FAILED, SKIPPED, RUNNING = "Job Completed", "Job Failed", "Job Skipped", "Job Running"
@@ -39,18 +39,23 @@ def test_outcomes_and_gate(spark):
     assert {r.run_id: r.completed for r in outcomes.collect()} == {"a": True, "b": False, "c": False}
     with pytest.raises(GateClosed) as closed:
         gate(incomplete_runs(outcomes), "report run(s) did not complete")
-    assert str(closed.value) == (
-        "2 report run(s) did not complete -- act_2 (run b): Job Failed; act_3 (run c): None"
-    )
+    assert str(closed.value) == f"2 report run(s) did not complete -- act_2 (run b): Job Failed; all of them in {closed.value.path}"
     assert closed.value.failures.count() == 2
     gate(incomplete_runs(outcomes.where("completed")), "report run(s) did not complete")
 
 
-def test_gate_counts_beyond_what_it_lists(spark):
-    many = spark.range(1500).selectExpr("concat('act_', id) AS ad_account_id", "'x' AS failure")
-    with pytest.raises(GateClosed, match=r"^1500 submission\(s\) -- .*; and 500 more") as closed:
+@pytest.mark.parametrize("number", [1, 5000])
+def test_gate_lists_all_failures_whatever_their_number(spark, number):
+    many = spark.range(number).selectExpr("concat('act_', id) AS ad_account_id", "'x' AS failure")
+    with pytest.raises(GateClosed, match=rf"^{number} submission\(s\) -- act_0: x; all of them in ") as closed:
         gate(submission_failures(many), "submission(s)")
-    assert closed.value.failures.count() == 1500
+    listed = spark.read.parquet(closed.value.path)
+    assert closed.value.failures.count() == listed.select("detail").distinct().count() == number
+
+
+def test_collated_texts(spark):
+    rows = spark.createDataFrame([("a", "2"), ("a", "1"), ("b", "3")], "ad_account_id string, detail string")
+    assert sorted(tuple(r) for r in collate(rows).collect()) == [("a", 2, "1; 2"), ("b", 1, "3")]
 
 
 def test_last_submission_per_account(spark):

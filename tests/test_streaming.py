@@ -1,3 +1,4 @@
+import pytest
 import json
 from datetime import datetime, timedelta, timezone
 
@@ -8,6 +9,7 @@ from spendlake.plans.jobs import ARRIVAL, newest_first
 from spendlake.plans.spec import TableSpec
 from spendlake.sources.pages import LANDED_PAGE, scan_entities
 from spendlake.streaming.daily import daily_stream, daily_totals
+from spendlake.streaming.finish import LateRows, finish
 from spendlake.streaming.runs import TIMED_OUT, track_runs
 from spendlake.streaming.upsert import landed_stream, upsert_stream
 
@@ -69,8 +71,8 @@ def test_daily_stream_equals_batch(spark, folder):
         events.where(F.floor(F.col("ts").cast("bigint") % 86400 / 28800) == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     table = ParquetTable(DAILY, f"{folder}/daily")
-    totals = daily_totals(stream, ("ad_account_id", "kind"), person="user_id", late="60 days")
-    daily_stream(totals, table, f"{folder}/cp").awaitTermination()
+    totals = daily_totals(stream, ("ad_account_id", "kind"), person="user_id", late="60 days", landed="ts")
+    finish(daily_stream(totals, table, f"{folder}/cp"))
     got = {(r.kind, r.stat_date): (r.events, r.spend) for r in table.read(spark).collect()}
     want = {(r.kind, r.stat_date): (r.events, r.spend) for r in daily_totals(events, ("ad_account_id", "kind")).collect()}
     assert got == want
@@ -112,7 +114,7 @@ def test_stuck_run_times_out_once_the_clock_passes(spark, folder):
         spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     query = (
-        track_runs(stream).writeStream.format("parquet").option("path", f"{folder}/out")
+        track_runs(stream, late="0 seconds").writeStream.format("parquet").option("path", f"{folder}/out")
         .option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -134,3 +136,24 @@ def test_run_with_very_many_checks(spark, folder):
     query.awaitTermination()
     row = spark.read.parquet(f"{folder}/out").select("run_id", "status", "checks", F.unix_seconds("known_at").alias("s")).collect()
     assert [tuple(r) for r in row] == [("hot", "Job Skipped", 30000, 1704067200 + 2500)]
+
+
+CHECK = "run_id string, observed_at timestamp, async_status string, error string"
+
+
+def _tracked(spark, folder, name, per_trigger, **options):
+    stream = spark.readStream.schema(CHECK).option("maxFilesPerTrigger", per_trigger).parquet(f"{folder}/in")
+    writer = track_runs(stream, **options).writeStream.format("parquet").option("path", f"{folder}/{name}")
+    finish(writer.option("checkpointLocation", f"{folder}/cp-{name}").trigger(availableNow=True).start())
+    return sorted((r.run_id, r.status, r.checks) for r in spark.read.parquet(f"{folder}/{name}").collect())
+
+
+def test_run_tracker_loses_no_check_over_several_batches(spark, folder):
+    for run in "abcdef":
+        rows = [(run, AT + timedelta(seconds=s), k, "") for s, k in ((0, "Job Started"), (900, "Job Running"), (1800, "Job Completed"))]
+        spark.createDataFrame(rows, CHECK).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    at_once = _tracked(spark, folder, "one", 100)
+    assert at_once == [(run, "Job Completed", 3) for run in "abcdef"]
+    assert _tracked(spark, folder, "many", 1) == at_once
+    with pytest.raises(LateRows):
+        _tracked(spark, folder, "late", 1, late="0 seconds")

@@ -201,3 +201,32 @@ def test_stage_then_merge(spark, fact):
     assert staged.rows == 1 and not fact.exists(spark)
     merge_staged(staged)
     assert content(fact, spark) == [("a", "m", D[0], 1.0)]
+
+
+def test_crash_while_publishing_loses_nothing(spark, fact, monkeypatch):
+    """A day is deleted before its new files are moved in; the next upsert puts it right."""
+    import spendlake.operators.upsert as module
+
+    upsert(facts(spark, T1, ("kept", "m", D[0], 1.0), ("a", "m", D[0], 2.0)), fact)
+    write = module._write_days
+
+    def crash(df, path, day, keys, mode="error"):
+        if mode == "dynamic":
+            storage.delete(spark, f"{path}/stat_date=2024-01-01")
+            raise RuntimeError("lost")
+        write(df, path, day, keys, mode)
+
+    monkeypatch.setattr(module, "_write_days", crash)
+    again = facts(spark, T2, ("a", "m", D[0], 3.0))
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(again, fact)
+    monkeypatch.setattr(module, "_write_days", write)
+    upsert(again, fact)
+    assert content(fact, spark) == [("a", "m", D[0], 3.0), ("kept", "m", D[0], 1.0)]
+    assert storage.folders(spark, f"{fact.root}/_staging") == []
+
+
+def test_failed_staging_leaves_no_files(spark, fact):
+    with pytest.raises(DuplicateKeys):
+        upsert(facts(spark, T1, ("a", "m", D[0], 1.0), ("a", "m", D[0], 2.0)), fact)
+    assert storage.folders(spark, f"{fact.root}/_staging") == []
