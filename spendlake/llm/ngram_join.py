@@ -168,13 +168,13 @@ def _merge_keys(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate([tied, *(x[0] for x in known)]), "b": np.concatenate([heads, *(x[1] for x in known)])})
 
 
-def _with_class(text_col: str, words: int):
+def _with_class(text_col: str, words: int, column: str):
     def run(batches):
         for b in batches:
             for begin, end in row_slices(b.column(text_col), TEXT_BYTES):
                 rows = b.slice(begin, end - begin)
                 classes = [class_of(s) if len(s) else None for s in shingle_sets(rows.column(text_col), words)]
-                names = [*rows.schema.names, "cls"]
+                names = [*rows.schema.names, column]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(classes, pa.int64())], names=names)
 
     return run
@@ -344,7 +344,7 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     once = docs.join(small_side(again, others), held, "left_anti").join(small_side(gone), own == gone[gone.columns[0]], "left_anti")
     name = free_name(docs, "cls")
     more = docs.join(small_side(again, others), held, "left_semi")
-    more = more.mapInArrow(_with_class(text_col, words), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    more = more.mapInArrow(_with_class(text_col, words, name), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
     first = keepers.withColumnsRenamed({"id": "k_id", "cls": "k_cls"})
     named = more.where(F.col(name).isNotNull())
     named = named.join(first, (named[name] == first.k_cls) & named[id_col].eqNullSafe(first.k_id), "left_semi")
