@@ -201,8 +201,12 @@ def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text", lan
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they are. Verdicts need no key: rows are judged in place."""
+    """The rows of ``docs`` that the rules keep, all columns as they are. Verdicts need no key: rows are judged in place.
+
+    Rows are stored with their statistics first, so a filter on the verdict cannot be pushed below them, which would
+    compute every statistic again for each time the filter names it.
+    """
     keep = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(lang).alias("lang"), F.col(source).alias("source")]
-    rows = text_stats(docs, F.col(text), keep)
-    slim = stored(rows.where("not base_failed").select("lang", "source", *VECTOR), "vectors")
+    rows = stored(text_stats(docs, F.col(text), keep), "judged")
+    slim = rows.where("not base_failed").select("lang", "source", *VECTOR)
     return with_verdict(rows, *robust_models(slim)).where("kept").select("doc.*")
