@@ -14,12 +14,23 @@ from spendlake.session import scratch_path
 
 #: A side is broadcast only if it was counted and has at most this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
+#: Spark's setting that removes a query's shuffle files when the query ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to a new table in the shared folder and read back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """The rows written to a new table in the shared folder and read back: cuts lineage, survives lost executors.
+
+    Once the table is whole, nothing reads the shuffles that led to it, so their files go at once; the session's own
+    setting for that is put back.
+    """
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEAN_SHUFFLES, None)
+    conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEAN_SHUFFLES) if before is None else conf.set(CLEAN_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
