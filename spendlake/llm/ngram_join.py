@@ -35,7 +35,7 @@ from spendlake.llm.words import mix, shingle_sets
 #: Bytes of text turned into sets at a time, and keys gathered before they are handed on.
 TEXT_BYTES, KEYS = 1 << 21, 1 << 20
 #: N-grams of the sets that a tile's block may hold on average; a block is sent once for each of its tiles.
-BLOCK = 500_000
+BLOCK = 2_000_000
 
 
 class Bands:
@@ -272,10 +272,13 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     large = blocks.where("not small").select("cluster", "band", "blocks")
     one = large.select("cluster", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     two = one.select(F.col("cluster"), F.col("band").alias("band2"), F.col("block").alias("block2"))
-    near = (F.col("band2") == F.col("band") + 1) | ((F.col("band2") == F.col("band")) & (F.col("block2") >= F.col("block")))
+    near = (F.col("band2") == F.col("band") + 1) | ((F.col("band2") == F.col("band")) & (F.col("block2") > F.col("block")))
     pairs = one.join(two, "cluster").where(near)
     named = pairs.withColumn("tile", F.xxhash64("cluster", "band", "block", "band2", "block2"))
     ends = named.select("cluster", "band", "block", "tile").union(named.select("cluster", "band2", "block2", "tile")).distinct()
+    # A tile compares each of its blocks with itself too; only a block without a partner needs a tile of its own.
+    lone = one.join(ends, ["cluster", "band", "block"], "left_anti")
+    ends = ends.union(lone.select("cluster", "band", "block", F.xxhash64("cluster", "band", "block").alias("tile")))
     of_small = banded.join(small, ["cluster", "band"]).select("cls", "id", F.xxhash64("cluster").alias("tile"))
     in_blocks = banded.join(large, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     of_large = in_blocks.join(ends, ["cluster", "band", "block"]).select("cls", "id", "tile")
