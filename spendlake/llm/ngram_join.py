@@ -10,7 +10,9 @@
 3. Tied classes form clusters. A cluster is compared in tiles: whole if it is small, else in pairs of blocks of one size
    band or two that adjoin. In a tile, hashed bitmaps bound every overlap from above by their bit counts, and only sets
    that pass the bound are intersected exactly. A set already reached in the tile is not compared again, so a tile yields
-   fewer links than it has members, however many pairs are similar.
+   fewer links than it has members, however many pairs are similar. A set is sent once to each of its tiles; tiles are
+   worked off in waves that send about as many n-grams as all sets have, so the disk in use does not grow with the number
+   of tiles a set is in.
 4. Components of the links, over classes; their smallest document id goes to every document.
 
 Exact but for collisions of 64-bit hashes. Empty sets link with nothing.
@@ -36,6 +38,8 @@ from spendlake.llm.words import mix, shingle_sets
 TEXT_BYTES, KEYS = 1 << 21, 1 << 20
 #: N-grams of the sets that a tile's block may hold on average; a block is sent once for each of its tiles.
 BLOCK = 2_000_000
+#: N-grams that a wave of tiles may be sent at least, however few all sets have.
+WAVE = 8_000_000
 
 
 class Bands:
@@ -285,6 +289,24 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     return of_small.union(of_large)
 
 
+def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``a, b`` found in all tiles, a wave of tiles at a time; each wave's shuffle goes once its links are stored."""
+    tiles = stored(_tiles(members, percent), "tiles")
+    sizes = members.select("cls", "n")
+    own = members.agg(F.sum("n")).first()[0] or 0
+    sent = tiles.join(small_side(sizes), "cls").agg(F.sum("n")).first()[0] or 0
+    waves = max(1, math.ceil(sent / max(own, WAVE)))
+    found = []
+    for wave in range(waves):
+        mine = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(waves)) == wave) if waves > 1 else tiles
+        owner = small_side(mine.withColumnsRenamed({"cls": "cls2", "id": "id2"}))
+        grams = texts.where("text is not null").mapInArrow(_grams(words), "id bigint, cls bigint, grams binary")
+        rows = grams.join(owner, (F.col("cls") == F.col("cls2")) & F.col("id").eqNullSafe(F.col("id2")))
+        links = rows.select("tile", "cls", "grams").groupBy("tile").applyInArrow(_tile(percent), "a bigint, b bigint")
+        found.append(stored(links, "tile-links"))
+    return functools.reduce(DataFrame.union, found)
+
+
 def classes_and_components(docs: DataFrame, id_col: str, text_col: str, words: int = 5, percent: int = 80) -> DataFrame:
     """``id, n, cls`` of every row, and ``grp``: the class that names the row's component (its own if it has no links)."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -297,11 +319,7 @@ def classes_and_components(docs: DataFrame, id_col: str, text_col: str, words: i
     clusters = stored(components(ties, "a", "b").withColumnRenamed("node", "cls"), "clusters")
     owners = sets.where("cls is not null").groupBy("cls", "n").agg(F.min("id").alias("id"))
     members = owners.join(clusters, "cls").withColumnRenamed("component", "cluster")
-    tiles = stored(_tiles(stored(members, "members"), percent), "tiles")
-    grams = texts.where("text is not null").mapInArrow(_grams(words), "id bigint, cls bigint, grams binary")
-    owner = small_side(tiles.withColumnsRenamed({"cls": "cls2", "id": "id2"}))
-    sent = grams.join(owner, (F.col("cls") == F.col("cls2")) & F.col("id").eqNullSafe(F.col("id2")))
-    links = sent.select("tile", "cls", "grams").groupBy("tile").applyInArrow(_tile(percent), "a bigint, b bigint")
+    links = _links(texts, stored(members, "members"), words, percent)
     joined = stored(components(links, "a", "b"), "components")
     named = joined.select(F.col("node").alias("cls"), F.col("component").alias("grp"))
     return sets.join(small_side(named), "cls", "left").select("id", "n", "cls", F.coalesce("grp", "cls").alias("grp"))
