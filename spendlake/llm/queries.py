@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spendlake.llm import bpe, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding, token_files
+from spendlake.llm.common import stored
 from spendlake.session import scratch_path
 
 
@@ -90,14 +91,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(1, rollups.counted(docs))
     hashed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
     keepers = hashed.groupBy("h").agg(F.min("doc_id").alias("keeper"))
-    copies = hashed.join(keepers, "h").where("doc_id <> keeper").select("doc_id")
+    copies = stored(hashed.join(keepers, "h").where("doc_id <> keeper").select("doc_id"), "copies")
     mail = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+"
-    kept = docs.where(F.col("text").rlike(mail)).join(copies, "doc_id", "left_anti")
-    revised = kept.withColumn("text", F.regexp_replace("text", mail, ""))
+    kept = docs.where(F.col("text").contains("@")).where(F.col("text").rlike(mail)).join(copies, "doc_id", "left_anti")
+    revised = stored(rollups.counted(kept.withColumn("text", F.regexp_replace("text", mail, ""))), "revised")
     for _ in range(2):
         rollup.commit(2, deletes=copies)
     for _ in range(2):
-        rollup.commit(3, rollups.counted(revised))
+        rollup.commit(3, revised)
     return rollup.totals(3)
 
 

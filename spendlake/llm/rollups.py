@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import small_side
+from spendlake.llm.common import small_side, stored
 
 GROUP = ("source", "lang", "version")
 ENTRY = "doc_id bigint, version string, source string, lang string, tokens bigint, live boolean, seq bigint"
@@ -69,12 +69,15 @@ class Rollup:
         best = F.min(F.struct((-F.col("tokens")).alias("t"), "source", "lang")).alias("e")
         new = (none if upserts is None else upserts).groupBy("doc_id", "version").agg(best)
         new = new.select("doc_id", "version", F.struct("e.source", "e.lang", (-F.col("e.t")).alias("tokens"), F.lit(True).alias("live")).alias("e"), F.lit(1).alias("rank"))
+        # Both are read more than once below: what they came from, whole texts perhaps, is not.
+        new = stored(new, "upserts")
+        deletes = None if deletes is None else stored(deletes.select("doc_id").distinct(), "deletes")
         changed = new.select("doc_id") if deletes is None else new.select("doc_id").union(deletes.select("doc_id"))
         old = self._current(batch, changed).select("doc_id", "version", F.struct("source", "lang", "tokens", "live").alias("e"), F.lit(0).alias("rank"))
         pick = lambda rank: F.max_by(F.col("e"), F.when(F.col("rank") == rank, 1))
         both = old.union(new).groupBy("doc_id", "version").agg(pick(0).alias("old"), pick(1).alias("new"))
         if deletes is not None:
-            gone = deletes.select(F.col("doc_id").alias("gone_id")).distinct().withColumn("gone", F.lit(True))
+            gone = deletes.select(F.col("doc_id").alias("gone_id")).withColumn("gone", F.lit(True))
             both = both.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
         else:
             both = both.withColumn("gone", F.lit(False))
