@@ -88,6 +88,7 @@ def test_ngram_join_of_blocks(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     monkeypatch.setattr(ngram_join, "BLOCK", 300)
+    monkeypatch.setattr(ngram_join, "WAVE", 1)
     got = sorted((tuple(r) for r in ngram_join.ngram_components(df, words=4, percent=85).collect()), key=repr)
     assert got == brute_components(rows, 4, 85)[0]
 
