@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import small_side, stored
 
 SPACE = r"\x20\x09-\x0D"
-#: The step coordinates are rounded to, and the least standard deviation assumed of each, in steps.
-STEP, FLOORS = 1e-4, (600, 300, 300, 300)
+#: The step coordinates are rounded to, and the least standard deviation assumed of each, in steps: about a third of what
+#: one sign, line or window more makes in a text of 50 words, and the spread of such a text's mean word length.
+STEP, FLOORS = 1e-4, (600, 1000, 400, 300)
 #: A language and source with fewer rows is judged by the language's model, then by that of all rows; if even those are
 #: fewer, nothing is rejected.
 LEAST_ROWS = 60
-#: Median of chi square with four degrees of freedom, which distances are scaled to, and the cutoff of the squared
-#: distance: twenty standard deviations, far outside what heavier tails than normal give clean text.
-CHI_MEDIAN, CUTOFF = 3.35669, 400.0
+#: Median and 0.9999 quantile of chi square with four degrees of freedom. Distances are scaled to the median; the margin
+#: for heavier tails than normal is twice the quantile's distance. In floors that is 9.7, within the range of each
+#: coordinate: 0.58 of mean word length's logarithm, 0.97 of signs', 0.39 of duplicate lines, 0.29 of repeated words.
+CHI_MEDIAN, CHI_HIGH, MARGIN = 3.35669, 23.5127, 2.0
+CUTOFF = CHI_HIGH * MARGIN**2
 ROUNDS, BINS_PER_UNIT = 6, 32
 P = len(FLOORS)
 PAIRS = list(combinations_with_replacement(range(P), 2))

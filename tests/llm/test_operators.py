@@ -367,6 +367,27 @@ def test_quality_outliers(spark):
     assert good.columns == clashing.columns and {r.doc_id for r in good.collect()} == {i for i, k in kept.items() if k}
 
 
+def test_quality_rejects_by_each_coordinate(spark):
+    """One text that is odd in a single coordinate is rejected, ordinary texts with some boilerplate are kept."""
+    draw = np.random.default_rng(8)
+    words = lambda n, low=3, high=8: ["".join(draw.choice(list("abcdefghijklmnop"), int(draw.integers(low, high)))) for _ in range(n)]
+    lines = lambda n: [" ".join(words(10)) for _ in range(n)]
+    clean = {i: "\n".join(lines(10 + i % 9)) for i in range(120)}
+    notice, phrase = " ".join(words(4)), " ".join(words(3))
+    clean |= {200 + i: "\n".join([notice, *lines(12), notice]) for i in range(5)}
+    clean |= {300 + i: "\n".join([f"{phrase} {x}" if k % 6 == 0 else x for k, x in enumerate(lines(14))]) for i in range(5)}
+    clean |= {400 + i: "\n".join([*lines(9), "5% & more"]) for i in range(5)}
+    odd = {1000: "\n".join(" ".join(words(10, 18, 24)) for _ in range(12)), 1001: "\n".join(x.replace(" ", " # ") for x in lines(12))}
+    # 10 of 24 lines are duplicates, of one word each, so no three words in a row occur twice.
+    odd[1002] = "\n".join(x for pair in zip(lines(12), [["oh"], ["ah"]] * 6) for x in (pair[0], pair[1][0]))
+    odd[1003] = "\n".join(lines(11)) + " " + " ".join([" ".join(words(10))] * 9)
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in (clean | odd).items()], "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_report(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert got[1002].n_repeat_words == 0 and 0.4 < got[1003].n_repeat_words / got[1003].n_words <= 0.5
+    assert {i for i, r in got.items() if not r.kept} == set(odd)
+
+
 def test_quality_without_python(docs):
     plan = quality.quality_report(docs)._jdf.queryExecution().toString() + mixing.mix_report(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
