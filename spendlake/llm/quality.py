@@ -1,7 +1,7 @@
 """Quality rules: statistics of whole texts, and robust outliers of their transformed vectors. DataFrame functions only.
 
 The statistics of a text are computed in its row with array functions. Their transformed vectors are compared within a
-language and source: the minimum covariance determinant estimate is found by concentration steps (start at medians and
+language and source, or one of few rows blended with its language: the minimum covariance determinant estimate is found by concentration steps (start at medians and
 quartile ranges; keep the half of the rows nearest in Mahalanobis distance; mean and covariance of that half; again),
 and rows beyond a cutoff are rejected. A step is one scan of the vectors: distances are ranked by a histogram whose bins
 also carry the sums for mean and covariance, so a hot group is combined before it is shuffled and never gathered. Vectors
@@ -21,9 +21,10 @@ SPACE = r"\x20\x09-\x0D"
 #: The step coordinates are rounded to, and the least standard deviation assumed of each, in steps: about a third of what
 #: one sign, line or window more makes in a text of 50 words, and the spread of such a text's mean word length.
 STEP, FLOORS = 1e-4, (600, 1000, 400, 300)
-#: A language and source with fewer rows is judged by the language's model, then by that of all rows; if even those are
-#: fewer, nothing is rejected.
-LEAST_ROWS = 60
+#: Rows from which a language and source is judged by its own estimate alone, five a dimension. With n fewer, its own
+#: counts n parts and the language's the rest (that of a small language likewise blended with all rows'), so no verdict
+#: hangs on one row more or less. With fewer in all, nothing is rejected.
+FULL_ROWS = 20
 #: Median and 0.9999 quantile of chi square with four degrees of freedom. Distances are scaled to the median; the margin
 #: for heavier tails than normal is twice the quantile's distance. In floors that is 9.7, within the range of each
 #: coordinate: 0.58 of mean word length's logarithm, 0.97 of signs', 0.39 of duplicate lines, 0.29 of repeated words.
@@ -86,16 +87,32 @@ def _level(n: int, *columns: str) -> Column:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """The group whose model judges each language and source: their own, else the language's, else that of all rows."""
+    """Languages and sources, the groups whose estimates make up their model, and the parts that the first two have."""
     counts = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     of_lang = F.sum("n").over(Window.partitionBy("lang"))
-    best = F.when(F.col("n") >= LEAST_ROWS, _level(2, "lang", "source")).when(of_lang >= LEAST_ROWS, _level(1, "lang"))
-    return counts.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), F.coalesce(best, _level(0)).alias("g"))
+    part = lambda n: F.least(F.lit(1.0), n / FULL_ROWS)
+    groups = counts.select("lang", "source", part(F.col("n")).alias("own"), part(of_lang).alias("of_lang"))
+    return groups.select(
+        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "own", "of_lang", _level(2, "lang", "source").alias("g"),
+        F.when(F.col("own") < 1, _level(1, "lang")).alias("g1"), F.when((F.col("own") < 1) & (F.col("of_lang") < 1), _level(0)).alias("g0"),
+    )
 
 
 def _of_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     same = rows["lang"].eqNullSafe(groups["g_lang"]) & rows["source"].eqNullSafe(groups["g_source"])
-    return rows.join(small_side(groups), same, "left").drop("g_lang", "g_source")
+    return rows.join(small_side(groups.select("g_lang", "g_source", "g")), same, "left").drop("g_lang", "g_source")
+
+
+def _blended(groups: DataFrame, model: DataFrame) -> DataFrame:
+    """Model of each language and source: its own estimate, and with few rows its language's and that of all rows."""
+    parts = {"g": F.col("own"), "g1": (1 - F.col("own")) * F.col("of_lang"), "g0": (1 - F.col("own")) * (1 - F.col("of_lang"))}
+    numbers = [c for c in model.columns if c != "g"]
+    out = groups.withColumns({f"{g}_part": p for g, p in parts.items()})
+    for g in parts:
+        own = model.select(F.col("g").alias("of"), *(F.col(c).alias(f"{g}_{c}") for c in numbers))
+        out = out.join(small_side(own), F.col(g) == F.col("of"), "left").drop("of")
+    mixed = (sum((F.coalesce(F.col(f"{g}_part") * F.col(f"{g}_{c}"), F.lit(0.0)) for g in parts), F.lit(0.0)).alias(c) for c in numbers)
+    return out.select("g", *mixed)
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -171,15 +188,16 @@ def robust_models(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = stored(_grouped(rows), "groups")
     # A row counts in every group it belongs to that judges some language and source.
     every = F.explode(F.array(_level(2, "lang", "source"), _level(1, "lang"), _level(0))).alias("g")
-    used = groups.select("g").distinct()
+    used = groups.select(F.explode(F.array("g", "g1", "g0")).alias("g")).where("g is not null").distinct()
+    enough = rows.count() >= FULL_ROWS
     rows = rows.select(every, *VECTOR).join(small_side(used), "g", "left_semi")
-    model = stored(_factored(_start(rows)), "model")
+    model = stored(_start(rows), "model")
     for _ in range(ROUNDS):
-        model = stored(_factored(_concentrate(rows, model)), "model")
+        model = stored(_concentrate(rows, _factored(model)), "model")
     # The last scale is that of the distances under the model before; once more for its own.
-    scale = _concentrate(rows, model).select("g", "scale")
-    count = rows.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= LEAST_ROWS).select("g")
-    return groups, stored(model.drop("scale").join(scale, "g").join(count, "g"), "model")
+    scale = _concentrate(rows, _factored(model)).select("g", "scale")
+    model = stored(model.drop("scale").join(scale, "g"), "model")
+    return groups, stored(_factored(_blended(groups, model).where(F.lit(enough))), "model")
 
 
 def with_verdict(rows: DataFrame, groups: DataFrame, models: DataFrame) -> DataFrame:

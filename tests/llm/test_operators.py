@@ -388,6 +388,24 @@ def test_quality_rejects_by_each_coordinate(spark):
     assert {i for i, r in got.items() if not r.kept} == set(odd)
 
 
+def test_quality_judges_small_sources_by_their_own_rows(spark):
+    """30 texts of one kind are judged by their own estimate beside a hot source of another; verdicts hold from 19 rows to 20."""
+    draw = np.random.default_rng(9)
+    words = lambda n, low, high: ["".join(draw.choice(list("abcdefghijklmnop"), int(draw.integers(low, high)))) for _ in range(n)]
+    text = lambda low, high: " ".join(words(150, low, high))
+    hot = [(i, text(3, 8), "en", "hot") for i in range(300)]
+    long = [(1000 + i, text(14, 22), "en", "long") for i in range(30)] + [(2000, text(3, 8), "en", "long")]
+    few = [(3000 + i, text(3, 8), "en", "few") for i in range(18)] + [(4000, text(14, 22), "en", "few")]
+    one = [(5000, text(14, 22), "en", "one"), (5001, text(3, 8), "en", "two")]
+    verdicts = []
+    for more in ([], [(3900, text(3, 8), "en", "few")]):
+        df = spark.createDataFrame([*hot, *long, *few, *one, *more], "doc_id bigint, text string, lang string, source string")
+        kept = {r.doc_id: r.kept for r in quality.quality_report(df).collect()}
+        assert {i for i, k in kept.items() if not k} == {2000, 4000, 5000}
+        verdicts.append({i: k for i, k in kept.items() if i != 3900})
+    assert verdicts[0] == verdicts[1]
+
+
 def test_quality_without_python(docs):
     plan = quality.quality_report(docs)._jdf.queryExecution().toString() + mixing.mix_report(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
