@@ -30,7 +30,9 @@ MAIN, REST, BOTH = 0, 1, 2
 
 # Element names of HTML by how they are read.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe svg math select object head".split())
+RAW = set("script style title textarea noscript template iframe svg select head".split())
+#: Of these, the ones that without an end tag take the rest of the page as their own text.
+TO_END = set("script style title textarea".split())
 BLOCK = set(
     "html body div p section article main nav header footer aside form ul ol li table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5"
     " h6 blockquote pre figure figcaption details summary dl dt dd address fieldset legend dialog menu center button label hgroup search".split()
@@ -72,7 +74,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.kinds, self.text, self.linked = [-1], ["#page"], [0], [""], [0]
-        self._stack, self._run, self._links, self._in_link = [0], [], 0, 0
+        self._stack, self._run, self._links, self._in_link, self._endless = [0], [], 0, 0, set()
         at, size = 0, len(source)
         while at < size:
             m = _TOKEN.search(source, at)
@@ -110,11 +112,14 @@ class Page:
         name, closing = m[2].lower(), bool(m[1])
         if name in RAW:
             if not closing and not m[3].rstrip().endswith("/"):
-                # A head without its end ends where the body begins.
+                # A head without its end ends where the body begins; others that hold elements are read on after their tag.
                 ends = r"</head\s*>|(?=<body[\s>])" if name == "head" else rf"</{re.escape(name)}\s*>"
-                end = re.compile(ends, re.I).search(source, at)
+                # Without an end here there is none further on; the page is not searched for it again.
+                end = None if name in self._endless else re.compile(ends, re.I).search(source, at)
+                if not end:
+                    self._endless.add(name)
                 self._run.append(" ")
-                return end.end() if end else (at if name == "head" else len(source))
+                return end.end() if end else (len(source) if name in TO_END else at)
         elif name == "a":
             self._in_link = 0 if closing else 1
         elif name in ("br", "hr", "img", "wbr"):

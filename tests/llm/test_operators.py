@@ -430,6 +430,21 @@ def test_main_text(model, wrap):
     assert html_text.main_text(PAGE % (wrap % BODY), model) == TEXT
 
 
+@pytest.mark.parametrize("tag", "select svg iframe noscript template math object".split())
+def test_unclosed_elements_do_not_end_the_page(tag):
+    assert [t for t in html_text.Page(f"<p>One</p><{tag} a=b><p>Two</p><p>Three</p>").text if t] == ["One", "Two", "Three"]
+
+
+def test_raw_elements_and_embedded_content():
+    texts = lambda source: [t for t in html_text.Page(source).text if t]
+    for tag in "script style title textarea".split():
+        assert texts(f"<p>One</p><{tag}><p>Two</p>") == ["One"]
+    for tag in "select svg iframe noscript template script".split():
+        assert texts(f"<p>One<{tag}>two</{tag}> three</p>") == ["One three"]
+    assert texts("<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["As x=2 holds"]
+    assert texts("<p>A <object data=x><b>fallback</b></object> here</p>") == ["A fallback here"]
+
+
 def test_main_text_of_pages(spark, model):
     odd = [(1, "u", None, 1), (2, "u", "", 1), (None, None, "<p", 1), (4, "u", "&amp; <<>> </div></p><b", 1), (5, "u", PAGE % f"<article>{BODY * 300}</article>", 1)]
     df = spark.createDataFrame(odd, "page_id bigint, url string, html string, text int")
