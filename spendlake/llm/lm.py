@@ -136,7 +136,7 @@ def _answer(kind: int):
             totals = np.bincount(at, counts[seen], len(names)).astype(np.int64)
         n, more = len(keys), len(names)
         part = table["part"].to_pylist()[0]
-        answers = [pack(np.minimum(x, 0xFFFFFFFF).astype(np.uint32)) for x in np.split(found, borders)]
+        answers = [pack(x) for x in np.split(found, borders)]
         return pa.Table.from_arrays([
             pa.array([*table["block"].to_pylist(), *[None] * more], pa.int64()), pa.array([part] * (n + more), pa.int64()),
             pa.array([kind] * (n + more), pa.int32()), pa.array([*answers, *[None] * more], pa.binary()),
@@ -171,7 +171,7 @@ def _pairs(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 def _word_counts(answers: list[dict]) -> np.ndarray:
     own = sorted((r for r in answers if r["kind"] == 0), key=lambda r: r["part"])
-    return np.concatenate([unpack(r["counts"], np.uint32) for r in own]).astype(np.int64)
+    return np.concatenate([unpack(r["counts"], np.int64) for r in own])
 
 
 def _ask_bigrams(parts: int):
@@ -217,8 +217,8 @@ def _score(weights: np.ndarray, tokens: int, types: int):
         counts = _word_counts(answers)
         context, word, _, pair = _pairs(block)
         _, inverse = np.unique(pair, return_inverse=True)
-        both = np.concatenate([unpack(r["counts"], np.uint32) for r in sorted((r for r in answers if r["kind"] == 1), key=lambda r: r["part"])])
-        c_h, c_w, c_hw = counts[context], counts[word], both[inverse].astype(np.int64)
+        both = np.concatenate([unpack(r["counts"], np.int64) for r in sorted((r for r in answers if r["kind"] == 1), key=lambda r: r["part"])])
+        c_h, c_w, c_hw = counts[context], counts[word], both[inverse]
         w = weights[np.minimum(np.maximum(quarter(counts) - 1, 0) // QUARTERS, BUCKETS - 1)][context]
         known = c_h > 0
         # A context never seen says nothing: the other two share its weight.

@@ -211,6 +211,12 @@ def test_lm(docs, rows):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_lm_counts_beyond_32_bits():
+    ask = lambda n: {"part": 0, "block": n, "keys": lm.low48(np.array([5, 9], np.uint64)).tobytes(), "counts": lm.pack(np.array([3_000_000_000, n], np.uint32)), "codes": b""}
+    answers = [r for r in lm._answer(0)(pa.Table.from_pylist([ask(1), ask(2)])).to_pylist() if r["block"] is not None]
+    assert [lm._word_counts([r]).tolist() for r in answers] == [[6_000_000_000, 3]] * 2
+
+
 def test_lm_beats_its_base_on_held_out_texts(spark, monkeypatch):
     draw = np.random.default_rng(2)
     follow = {w: draw.permutation(200)[:6] for w in range(200)}
