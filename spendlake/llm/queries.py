@@ -82,19 +82,18 @@ FROM counts GROUP BY ALL
 """
 
 
-@query("op7_token_rollups", ROLLUP_SQL)
-def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _rolled_up(spark: SparkSession, sf_dir: str, counted: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All documents come in; exact copies but the first are deleted; texts with mail addresses are counted anew without
     them. The last two batches are committed twice, as after a crash."""
     docs = table(spark, sf_dir, "documents")
     rollup = rollups.Rollup(spark, scratch_path(spark, "rollup"))
-    rollup.commit(1, rollups.counted(docs))
+    rollup.commit(1, counted(docs))
     hashed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
     keepers = hashed.groupBy("h").agg(F.min("doc_id").alias("keeper"))
     copies = stored(hashed.join(keepers, "h").where("doc_id <> keeper").select("doc_id"), "copies")
     mail = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+"
     kept = docs.where(F.col("text").contains("@")).where(F.col("text").rlike(mail)).join(copies, "doc_id", "left_anti")
-    revised = stored(rollups.counted(kept.withColumn("text", F.regexp_replace("text", mail, ""))), "revised")
+    revised = stored(counted(kept.withColumn("text", F.regexp_replace("text", mail, ""))), "revised")
     for _ in range(2):
         rollup.commit(2, deletes=copies)
     for _ in range(2):
@@ -102,6 +101,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals(3)
 
 
+@query("op7_token_rollups", ROLLUP_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rolled_up(spark, sf_dir, rollups.counted)
+
+
+@query("op7_tokenizer_rollups")
+def op7_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches, counted by the tokenizers of ops 5 and 6; SQL has neither."""
+    vocabulary = bpe.Vocabulary(spark)
+    return _rolled_up(spark, sf_dir, lambda docs: rollups.counted_ids(docs, vocabulary))
+
+
 @query("op8_quality_outliers")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))

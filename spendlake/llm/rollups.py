@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlake.llm import bpe, token_files
 from spendlake.llm.common import small_side, stored
 
 GROUP = ("source", "lang", "version")
@@ -34,6 +35,15 @@ def counted(docs: DataFrame, versions: tuple[str, ...] = tuple(VERSIONS), key: s
     return docs.select(F.col(key).alias("doc_id"), "source", "lang", F.explode(each).alias("e")).select("doc_id", "e.version", "source", "lang", "e.tokens")
 
 
+def counted_ids(docs: DataFrame, vocabulary: bpe.Vocabulary | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Entries as from ``counted``, with the number of ids that each of the two tokenizers gives, its end id not counted."""
+    rows = docs.select(F.struct(F.col(key).alias("doc_id"), "source", "lang").alias("row"), F.col(text).alias("text"))
+    ids = [("byte-bpe", bpe.encode(rows, "row", "text", vocabulary), 4, 0), ("word-bpe", token_files.tokenize(rows, "row", "text"), 2, 1)]
+    number = lambda width, ends: (F.octet_length("ids") / width).cast("long") - ends
+    each = (x.select("doc_id.doc_id", F.lit(v).alias("version"), "doc_id.source", "doc_id.lang", number(w, e).alias("tokens")) for v, x, w, e in ids)
+    return reduce(DataFrame.union, each)
+
+
 @dataclass
 class Rollup:
     """Totals under ``root``, a folder every executor reaches. One writer at a time; batches are numbered from 1."""

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake.llm import rans
 from spendlake.llm.common import row_slices, shuffle_parts, small_side, stored
@@ -104,9 +105,6 @@ def _word_ids(spec: str) -> WordIds:
     return WordIds(spec)
 
 
-TOKENS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-
-
 def _tokenize(spec, end: int):
     def run(batches):
         word_ids = _word_ids(spec.value)
@@ -116,17 +114,21 @@ def _tokenize(spec, end: int):
                 borders = np.cumsum(counts)
                 ids = np.insert(ids, borders, end)
                 parts = np.split(ids, borders[:-1] + np.arange(1, len(borders)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(low, high - low), pa.array([x.tobytes() for x in parts], pa.binary())], schema=TOKENS)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(low, high - low), pa.array([x.tobytes() for x in parts], pa.binary())], names=["doc_id", "ids"])
 
     return run
 
 
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, end: int = 2) -> DataFrame:
-    """``doc_id, ids`` of every row: the ids of the whole text and the end id, as little-endian 16-bit numbers."""
+    """``doc_id, ids`` of every row: the ids of the whole text and the end id, as little-endian 16-bit numbers.
+
+    A key that is a struct comes back as it is, any other as a long.
+    """
     with open(path or tokenizer_path()) as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_tokenize(spec, end), "doc_id bigint, ids binary")
+    whole = isinstance(docs.schema[key].dataType, T.StructType)
+    rows = docs.select((F.col(key) if whole else F.col(key).cast("long")).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(_tokenize(spec, end), T.StructType([rows.schema["doc_id"], T.StructField("ids", T.BinaryType())]))
 
 
 def _count(batches):

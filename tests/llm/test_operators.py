@@ -339,6 +339,23 @@ def test_rollup(spark, folder):
     assert (None, "en", "words-1", 1, 2) in total(4)
 
 
+def test_rollup_of_tokenizer_counts(spark, folder, tiktoken_ids):
+    from tokenizers import Tokenizer
+
+    words = Tokenizer.from_file(token_files.tokenizer_path())
+    texts = [(1, "It's a test, isn't it? 12345", "en", "s"), (2, "gar  nicht so \u00fcbel \u2014 \u4e2d\u6587", "de", "s"), (3, "word and more " * 4000, "en", "s"), (4, None, "en", "t"), (None, "", None, None)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string")
+    want = Counter()
+    for _, t, lang, source in texts:
+        want[source, lang, "byte-bpe"] += len(tiktoken_ids(t or ""))
+        want[source, lang, "word-bpe"] += len(words.encode(t or "", add_special_tokens=False).ids)
+    rollup = rollups.Rollup(spark, f"{folder}/r")
+    for _ in range(2):
+        rollup.commit(1, rollups.counted_ids(df))
+    got = {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in rollup.totals(1).collect()}
+    assert got == {k: (2 if k[:2] == ("s", "en") else 1, n) for k, n in want.items()}
+
+
 def brute_stats(text):
     words = WORD.findall(text or "")
     seen = Counter(zip(words, words[1:], words[2:]))
