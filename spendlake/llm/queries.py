@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spendlake.llm import bpe, collocations, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding, token_files
+from spendlake.llm import bpe, collocations, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding, token_files, whitening
 from spendlake.llm.common import stored
 from spendlake.session import scratch_path
 
@@ -128,6 +128,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_collocations", collocations.COLLOCATION_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
