@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spendlake.llm import bpe, collocations, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding, token_files, whitening
+from spendlake.llm import bpe, collocations, embed_join, html_text, lm, mixing, ngram_join, quality, rollups, sharding
+from spendlake.llm import token_files, toxicity, whitening
 from spendlake.llm.common import stored
 from spendlake.session import scratch_path
 
@@ -128,6 +129,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op12_embedding_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
