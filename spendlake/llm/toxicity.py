@@ -4,7 +4,7 @@ Texts are folded first: case, accents, look-alike letters of other scripts, invi
 of letters. What is left of l, i, 1, | and ! is one letter. The lexicon holds the folded words that labelled toxic texts
 have much more often than clean ones, weighted by the lower bound of their log odds ratio; exception phrases are the
 neighbours of such a word with which it is found in clean texts. Copies would make any word look toxic, so texts are told
-apart by the least hash of their words and counted once each. One automaton finds words and exceptions in a single pass; the
+apart by the least hash of their windows of five words and counted once each. One automaton finds words and exceptions in a single pass; the
 weights found, as a sum and per word of the text, go into a logistic curve, fitted on training texts whose own label was
 taken out of the counts behind their weights.
 """
@@ -173,15 +173,17 @@ def fitted_curve(cells: Iterable[tuple[float, float, int, int]]) -> tuple[float,
 ITEMS = "toxic int, mark bigint, items array<string>"
 
 
-def _mark(words: set[str]) -> int:
-    """The least hash of a text's words: equal for copies, and mostly for near copies."""
-    return min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=0)
+def _mark(line: str) -> int:
+    """The least hash of a text's windows of five words: equal for copies, and mostly for near copies."""
+    words = line.split()
+    return min(xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) >> 1 for i in range(max(1, len(words) - 4)))
 
 
 def _words(batches) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        every = [{w for part in folded_words(x or "") for w in part.split()} for x in b.column(1).to_pylist()]
-        columns = [pa.array([_mark(w) for w in every], pa.int64()), pa.array([sorted(w) for w in every], pa.list_(pa.string()))]
+        folded = [folded_words(x or "") for x in b.column(1).to_pylist()]
+        every = [sorted({w for part in f for w in part.split()}) for f in folded]
+        columns = [pa.array([_mark(f[0]) for f in folded], pa.int64()), pa.array(every, pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["toxic", "mark", "items"])
 
 
@@ -192,7 +194,7 @@ def _neighbours(lexicon):
         for b in batches:
             every, marks = [], []
             for x in b.column(1).to_pylist():
-                words, signed = folded_words(x or "")
+                words, _ = folded_words(x or "")
                 line, found = f" {words} ", set()
                 for w, end in lexicon.value.hits(words):
                     # Blanks in front of the word, in front of the word before it, and behind the one after it.
@@ -202,7 +204,7 @@ def _neighbours(lexicon):
                     if end < len(line) - 1:
                         found.add(line[begin + 1 : line.find(" ", end + 1)])
                 every.append(sorted(found))
-                marks.append(_mark({w for part in (words, signed) for w in part.split()}))
+                marks.append(_mark(words))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks, pa.int64()), pa.array(every, pa.list_(pa.string()))], names=["toxic", "mark", "items"])
 
     return run
