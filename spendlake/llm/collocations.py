@@ -28,14 +28,14 @@ from spendlake.llm.lm import pack, unpack
 from spendlake.llm.words import LOWER, hashes, text_bytes
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Phrases of a trie, which is what is broadcast: at most some 100 MB with all its arrays.
 SHARD = 500_000
 #: Bytes that separate words, and bytes that end a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
-_IN_WORD, _BREAK = np.ones(256, bool), np.zeros(256, np.int64)
-_BREAK[list(BREAKS)] = 1
+_IN_WORD, _BREAK = np.ones(256, bool), np.zeros(256, bool)
+_BREAK[list(BREAKS)] = True
 _IN_WORD[list(BLANKS + BREAKS)] = False
 
 BLOCK = "block bigint, lang string, n bigint, body binary, words array<string>, counts array<bigint>"
@@ -53,7 +53,7 @@ def _numbered(data: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
         return np.zeros(0, np.uint32), [], np.zeros(0, np.int64)
-    piece = np.cumsum(_BREAK[data])[starts]
+    piece = np.cumsum(_BREAK[data], dtype=np.uint32)[starts]
     _, first, number, counts = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
     new = np.diff(piece, prepend=piece[0]) != 0
     out = np.zeros(len(starts) + int(new.sum()), np.uint32)
