@@ -32,6 +32,8 @@ FIT_ROWS = 900_000
 TERMS = 100_000
 #: Standard errors taken off a log odds ratio; least texts that a word or phrase counts from.
 BOUND, LEAST = 2.0, 3
+#: Least weight of a word or phrase: it has to be twice as frequent in texts of one label.
+WEIGHT = math.log(2)
 #: Width of the cells that training texts are counted in.
 CELL = 0.1
 #: Score from which a text is called toxic.
@@ -170,7 +172,7 @@ def fitted_curve(cells: Iterable[tuple[float, float, int, int]]) -> tuple[float,
         use[1 + int(np.argmin(out[1:]))] = False
 
 
-ITEMS = "toxic int, mark bigint, items array<string>"
+ITEMS = "row bigint, toxic int, mark bigint, items array<string>"
 
 
 def _mark(line: str) -> int:
@@ -181,10 +183,10 @@ def _mark(line: str) -> int:
 
 def _words(batches) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        folded = [folded_words(x or "") for x in b.column(1).to_pylist()]
+        folded = [folded_words(x or "") for x in b.column(2).to_pylist()]
         every = [sorted({w for part in f for w in part.split()}) for f in folded]
         columns = [pa.array([_mark(f[0]) for f in folded], pa.int64()), pa.array(every, pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["toxic", "mark", "items"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=["row", "toxic", "mark", "items"])
 
 
 def _neighbours(lexicon):
@@ -192,7 +194,7 @@ def _neighbours(lexicon):
 
     def run(batches):
         for b in batches:
-            every, marks = [], []
+            every = []
             for x in b.column(1).to_pylist():
                 words, _ = folded_words(x or "")
                 line, found = f" {words} ", set()
@@ -204,8 +206,7 @@ def _neighbours(lexicon):
                     if end < len(line) - 1:
                         found.add(line[begin + 1 : line.find(" ", end + 1)])
                 every.append(sorted(found))
-                marks.append(_mark(words))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks, pa.int64()), pa.array(every, pa.list_(pa.string()))], names=["toxic", "mark", "items"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(every, pa.list_(pa.string()))], names=["toxic", "items"])
 
     return run
 
@@ -230,10 +231,10 @@ def _scores(lexicon):
     return run
 
 
-def _apart(df: DataFrame) -> DataFrame:
-    """Per item the texts with different marks that have it, toxic (``a``) and clean (``b``)."""
-    pairs = df.select(F.explode("items").alias("item"), "toxic", "mark").distinct()
-    return pairs.groupBy("item").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
+def _texts_with(df: DataFrame) -> DataFrame:
+    """Per item the toxic (``a``) and clean (``b``) texts that have it."""
+    each = df.select(F.explode("items").alias("item"), "toxic")
+    return each.groupBy("item").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
 
 
 def _bound(more: str, less: str, more_all: int, less_all: int):
@@ -243,22 +244,24 @@ def _bound(more: str, less: str, more_all: int, less_all: int):
 
 
 def learn(train: DataFrame, given: dict[str, float] | None = None, exceptions: Iterable[str] = ()) -> Lexicon:
-    """Lexicon and curve from ``toxic`` (0 or 1) and ``text``, a stored table."""
+    """Lexicon and curve from ``row`` (a number of its own), ``toxic`` (0 or 1) and ``text``, a stored table."""
     spark = train.sparkSession
-    worded = stored(train.select("toxic", "text").mapInArrow(_words, ITEMS), "toxic-words")
-    texts = worded.select("toxic", "mark").distinct().groupBy("toxic").count()
-    sizes = {r.toxic: r["count"] for r in texts.collect()}
+    worded = stored(train.select("row", "toxic", "text").mapInArrow(_words, ITEMS), "toxic-words")
+    # One text of each mark; as many rows as training texts at most.
+    own = stored(worded.groupBy("toxic", "mark").agg(F.min("row").alias("row")), "toxic-texts")
+    sizes = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
+    own = small_side(own.select("row"), sum(sizes.values()))
     folded = {folded_words(w)[0]: float(x) for w, x in (given or {}).items()}
     # Words of a given lexicon are matched one by one; phrases of it are not.
     lexicon = Lexicon(sizes.get(1, 0), sizes.get(0, 0), given={w: x for w, x in folded.items() if w and " " not in w})
-    counts = _apart(worded).withColumn("w", _bound("a", "b", lexicon.toxic, lexicon.clean))
-    counts = counts.where((F.col("a") >= LEAST) & (F.col("w") > 0)).orderBy(F.desc("w"), "item").limit(TERMS)
+    counts = _texts_with(worded.join(own, "row")).withColumn("w", _bound("a", "b", lexicon.toxic, lexicon.clean))
+    counts = counts.where((F.col("a") >= LEAST) & (F.col("w") >= WEIGHT)).orderBy(F.desc("w"), "item").limit(TERMS)
     lexicon.counts = {r.item: (r.a, r.b) for r in counts.collect()}
     if lexicon.counts or lexicon.given:
         first = spark.sparkContext.broadcast(lexicon)
-        near = train.select("toxic", "text").mapInArrow(_neighbours(first), ITEMS)
-        found = _apart(near).withColumn("w", _bound("b", "a", lexicon.clean, lexicon.toxic))
-        found = found.where((F.col("b") >= LEAST) & (F.col("w") > 0)).orderBy(F.desc("w"), "item").limit(TERMS)
+        near = train.join(own, "row").select("toxic", "text").mapInArrow(_neighbours(first), "toxic int, items array<string>")
+        found = _texts_with(near).withColumn("w", _bound("b", "a", lexicon.clean, lexicon.toxic))
+        found = found.where((F.col("b") >= LEAST) & (F.col("w") >= WEIGHT)).orderBy(F.desc("w"), "item").limit(TERMS)
         lexicon.exceptions = [r.item for r in found.select("item").collect()]
     lexicon.exceptions += [folded_words(e)[0] for e in exceptions]
     lexicon = Lexicon(lexicon.toxic, lexicon.clean, lexicon.counts, lexicon.given, lexicon.exceptions)
@@ -275,7 +278,7 @@ def held_out(key: str):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """``toxic, text`` of labelled rows that are not held out, about ``FIT_ROWS`` of them at most.
+    """``row, toxic, text`` of labelled rows that are not held out, about ``FIT_ROWS`` of them at most.
 
     Labels other than 0 and 1 and null ids are ignored; an id with both labels is left out, one labelled twice alike is
     taken once for every row of that id.
@@ -288,7 +291,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         known = stored(known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(FIT_ROWS * (1 << 20) // rows)), "labels")
         rows = known.count()
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return stored(own.join(small_side(known, rows), "id").select("toxic", "text"), "training")
+    return stored(own.join(small_side(known, rows), "id").select(F.monotonically_increasing_id().alias("row"), "toxic", "text"), "training")
 
 
 def toxicity(

@@ -108,7 +108,7 @@ def test_awkward_rows(spark):
     got = toxicity.toxicity(docs, labels).collect()
     assert len(got) == len(rows) and all(r.predicted in (0, 1) for r in got)
     assert not next(r for r in got if r.doc_id is None).held_out
-    train = [tuple(r) for r in toxicity.training_rows(docs, labels).collect()]
+    train = [(r.toxic, r.text) for r in toxicity.training_rows(docs, labels).collect()]
     assert sorted(train, key=repr) == sorted(((x, t) for i, t in rows for j, x in ((3, 0), (4, 1)) if i == j and not out_of_training(i)), key=repr)
     assert toxicity.toxicity(docs, labels.limit(0)).count() == len(rows)
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
