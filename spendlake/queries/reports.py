@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendlake.operators import report as R
 from spendlake.operators.enrich import never_seen, with_dimension
 from spendlake.operators.quality import run_audit
+from spendlake.operators.reach import merge_reach, reach_of, relative_error, with_sketch
 from spendlake.queries.base import (
     ADDITIVE_SQL,
     DELIVERY_SQL,
@@ -21,6 +22,7 @@ from spendlake.queries.base import (
     report_sql,
     table,
 )
+from spendlake.session import scratch_path
 
 AD_GRAIN = "ad_account_id, campaign_id, ad_set_id, ad_id, ad_name, ad_set_name, campaign_name"
 
@@ -183,3 +185,33 @@ WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MA
 def never_seen_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension = table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").withColumnRenamed("c_custkey", "ad_id")
     return ad_id_as_text(never_seen(raw_delivery(spark, sf_dir), dimension, ("ad_id",)))
+
+
+@query(
+    "rollup_reach",
+    f"""WITH {DELIVERY_SQL}
+SELECT ad_account_id, campaign_id, stat_date, CAST(count(DISTINCT person_id) AS BIGINT) AS reach, true AS sketch_is_close
+FROM delivery GROUP BY ALL
+UNION ALL
+SELECT ad_account_id, campaign_id, CAST(NULL AS DATE), CAST(count(DISTINCT person_id) AS BIGINT), true
+FROM delivery GROUP BY ad_account_id, campaign_id""",
+)
+def rollup_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored with the daily ad facts, merged to campaigns per day and over all days, next to the exact counts.
+
+    Close means within five standard errors of the sketch, and one person."""
+    ids = ["ad_account_id", "campaign_id"]
+    delivery = raw_delivery(spark, sf_dir).join(hierarchy(spark, sf_dir).select(*ids, "ad_id"), "ad_id")
+    path = scratch_path(spark, "ad_reach")
+    with_sketch(delivery, (*ids, "ad_id", "stat_date")).write.parquet(path)
+    facts = spark.read.parquet(path)
+    daily = merge_reach(facts, (*ids, "stat_date"))
+    ever = merge_reach(daily, tuple(ids)).withColumn("stat_date", F.lit(None).cast("date"))
+    merged = daily.unionByName(ever).withColumn("sketched", reach_of())
+    exact = delivery.groupBy(*ids, "stat_date").agg(F.count_distinct("person_id").alias("reach"))
+    exact = exact.unionByName(delivery.groupBy(*ids).agg(F.count_distinct("person_id").alias("reach")).withColumn("stat_date", F.lit(None).cast("date")))
+    grain = [*ids, "stat_date"]
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"m.{c}")) for c in grain]
+    both = exact.alias("e").join(merged.alias("m"), same, "left")
+    close = F.abs(F.col("sketched") - F.col("reach")) <= F.lit(1) + F.col("reach") * relative_error()
+    return both.select(*(F.col(f"e.{c}").alias(c) for c in grain), "reach", F.coalesce(close, F.lit(False)).alias("sketch_is_close"))

@@ -14,8 +14,11 @@ from spendlake.queries.sources import ACCOUNT_OF_AD
 from spendlake.queries.tables import new_table
 from spendlake.session import scratch_path
 from spendlake.streaming.finish import finish
+from spendlake.streaming.chains import chain_stream, newest_reports, track_chains
 from spendlake.streaming.daily import daily_stream, daily_totals
-from spendlake.streaming.runs import track_runs
+from spendlake.streaming.gated import gated_stream, with_outcomes
+from spendlake.streaming.late import accept, accepted
+from spendlake.streaming.runs import RUN_DEADLINE_SECONDS, track_runs
 from spendlake.streaming.upsert import landed_stream, upsert_stream
 
 
@@ -64,6 +67,10 @@ EVENT_DAILY = TableSpec.of(
 )
 
 
+#: Files of a micro-batch where the order of landing is that of time.
+FILES_PER_BATCH = 4
+
+
 @query(
     "stream_daily",
     """
@@ -83,12 +90,11 @@ def _daily_table(spark: SparkSession, sf_dir: str, person: str | None = None) ->
     landed = _with_account(events).withColumn("week", week).withColumn("landed_at", F.timestamp_seconds((F.col("week") + 1) * 604800))
     target = new_table(spark, EVENT_DAILY)
     weeks = [r.week for r in landed.select("week").distinct().orderBy("week").collect()]  # bounded by the calendar
-    arrived = landed.drop("week")
     for w in weeks:
         landed.where(F.col("week") == w).drop("week").write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(arrived.schema).parquet(landing)
-        totals = daily_totals(stream, ("ad_account_id", "event_type"), person=person, landed="landed_at")
-        finish(daily_stream(totals, target, checkpoint))
+    stream = spark.readStream.schema(landed.drop("week").schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(landing)
+    totals = daily_totals(stream, ("ad_account_id", "event_type"), person=person, landed="landed_at")
+    finish(daily_stream(totals, target, checkpoint), checkpoint=checkpoint)
     return target.read(spark)
 
 
@@ -138,10 +144,95 @@ def run_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     at = F.timestamp_seconds(F.lit(LOG_START) + F.col("round") * ROUND_SECONDS)
     checks = status_checks(spark, sf_dir).withColumn("observed_at", at)
-    landing, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "outcomes", "checkpoint"))
+    checks, rounds = checks.drop("round"), checks
+    landing, gate, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "gate", "outcomes", "checkpoint"))
     for low, high in ((1, 2), (3, 4), (5, 2**31 - 1)):
-        checks.where(F.col("round").between(low, high)).drop("round").write.mode("append").parquet(landing)
-        landed = spark.readStream.schema(checks.drop("round").schema).option("maxFilesPerTrigger", 64).parquet(landing)
-        writer = track_runs(landed).writeStream.outputMode("append").format("parquet").option("path", out)
-        finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        rounds.where(F.col("round").between(low, high)).drop("round").write.mode("append").parquet(landing)
+        landed = spark.readStream.schema(checks.schema).option("maxFilesPerTrigger", 64).parquet(landing)
+        # Rounds of up to an hour and a half in one batch, the tracker's own lateness.
+        finish(accept(landed, "observed_at", f"{RUN_DEADLINE_SECONDS} seconds", gate, f"{checkpoint}/gate"))
+        writer = track_runs(accepted(spark, gate, checks.schema)).writeStream.outputMode("append").format("parquet").option("path", out)
+        finish(writer.option("checkpointLocation", f"{checkpoint}/runs").trigger(availableNow=True).start(), checkpoint=f"{checkpoint}/runs")
     return portable(spark.read.schema("run_id STRING, status STRING, checks BIGINT, known_at TIMESTAMP").parquet(out)).drop("checks")
+
+
+@query(
+    "stream_chain_check",
+    f"""
+WITH listed AS (SELECT DISTINCT {ACCOUNT_OF_AD} AS ad_account_id, c_custkey // {L.PAGE} + 1 AS page_no FROM customer),
+ends AS (SELECT ad_account_id, max(page_no) AS last FROM listed GROUP BY ad_account_id),
+pages AS (SELECT * FROM listed JOIN ends USING (ad_account_id) WHERE NOT (ad_account_id = 'act_2' AND page_no = 2)),
+chains AS (
+  SELECT ad_account_id, 'ads' AS run_id, CAST(count(*) AS BIGINT) AS pages, CAST(min(page_no) AS BIGINT) AS first_page,
+         CAST(max(page_no) AS BIGINT) AS last_page, CAST(count(*) FILTER (page_no = last) AS BIGINT) AS end_pages,
+         CAST(max(page_no) - least(min(page_no), 1) + 1 - count(*) AS BIGINT) AS missing,
+         (min(page_no) = 1 AND count(*) = max(page_no) AND max(page_no) = any_value(last)) AS complete
+  FROM pages GROUP BY ad_account_id)
+SELECT *, NOT complete AS overdue FROM chains""",
+)
+def stream_chain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ad listing lands out of order over three rounds hours apart, one account's second page never; a chain is overdue
+    once another round has landed. The last account's pages come in the last round."""
+    pages = L.ad_listing(spark, sf_dir).where("NOT (ad_account_id = 'act_2' AND page_no = 2)")
+    round_ = F.when(F.col("ad_account_id") == "act_4", 2).otherwise(1 - F.col("page_no") % 2)
+    pages = pages.withColumn("round", round_).withColumn("landed_at", F.col("landed_at") + F.col("round") * F.expr("INTERVAL 3 HOURS"))
+    landing, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "chains", "checkpoint"))
+    for number in range(3):
+        pages.where(F.col("round") == number).drop("round").write.mode("append").parquet(landing)
+        found = track_chains(landed_stream(spark, landing, files_per_batch=1_000_000))
+        finish(chain_stream(found, out, checkpoint), checkpoint=checkpoint)
+    return newest_reports(spark.read.parquet(out)).drop("error_pages", "seen_at")
+
+
+#: Of every four runs one failed and of one nothing is heard; a page is a run of its own.
+_RUN_KIND_SQL = f"(c_custkey // {L.PAGE} + 1 + c_nationkey % 5) % 4"
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Ads of the listing, a run for every page, landed on three days with what became of the runs; and the list of pages held.
+
+    Outcomes are known ten minutes after the page. A last day without runs lets the streams pass the others."""
+    number = F.substring("ad_account_id", 5, 1).cast("int")
+    kind, day = (F.col("page_no") + number) % 4, F.col("page_no") % 3
+    pages = L.ad_listing(spark, sf_dir).withColumn("run_id", F.concat_ws("/", "ad_account_id", F.col("page_no").cast("string")))
+    pages = pages.withColumns({"kind": kind, "day": day, "landed_at": F.col("landed_at") + day * F.expr("INTERVAL 1 DAY")})
+    status = F.when(F.col("kind") == 0, "Job Failed").otherwise("Job Completed")
+    outcomes = pages.where("kind <> 1").select("run_id", status.alias("status"), (F.col("landed_at") + F.expr("INTERVAL 10 MINUTES")).alias("known_at"), "day")
+    clock = spark.range(1).select(F.lit("none").alias("run_id"), F.lit("Job Completed").alias("status"), (F.lit(L.LANDED_AT).cast("timestamp") + F.expr("INTERVAL 9 DAYS")).alias("known_at"), F.lit(3).alias("day"))
+    idle = clock.select(F.lit("act_0").alias("ad_account_id"), "run_id", F.lit(1).cast("bigint").alias("page_no"), F.col("known_at").alias("landed_at"), F.lit('{"data":[]}').alias("body"), "day")
+    pages, outcomes = pages.drop("kind").unionByName(idle), outcomes.unionByName(clock)
+    landing, known, held, checkpoint = (scratch_path(spark, name) for name in ("landing", "outcomes", "held", "checkpoint"))
+    target = new_table(spark, T.ADS)
+    for d in range(4):
+        pages.where(F.col("day") == d).drop("day").write.mode("append").parquet(landing)
+        outcomes.where(F.col("day") == d).drop("day").write.mode("append").parquet(known)
+    left = spark.readStream.schema(pages.drop("day").schema).parquet(landing)
+    right = spark.readStream.schema(outcomes.drop("day").schema).parquet(known)
+    # All days in one batch, then the batch without rows that their watermark calls for.
+    finish(gated_stream(with_outcomes(left, right, late="5 days"), target, held, checkpoint), checkpoint=checkpoint)
+    return target.read(spark), held
+
+
+@query(
+    "stream_gated_upsert",
+    f"""
+SELECT {ACCOUNT_OF_AD} AS ad_account_id, CAST(c_custkey AS VARCHAR) AS ad_id, c_name AS name
+FROM customer WHERE {_RUN_KIND_SQL} IN (2, 3)""",
+)
+def stream_gated_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only ads of runs that completed get in."""
+    return _gated(spark, sf_dir)[0].select("ad_account_id", "ad_id", "name")
+
+
+@query(
+    "stream_gate_held",
+    f"""
+SELECT DISTINCT {ACCOUNT_OF_AD} AS ad_account_id, {ACCOUNT_OF_AD} || '/' || CAST(c_custkey // {L.PAGE} + 1 AS VARCHAR) AS run_id,
+       CAST(c_custkey // {L.PAGE} + 1 AS BIGINT) AS page_no,
+       CASE {_RUN_KIND_SQL} WHEN 0 THEN 'Job Failed' ELSE 'no outcome in time' END AS reason
+FROM customer WHERE {_RUN_KIND_SQL} IN (0, 1)""",
+)
+def stream_gate_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages kept out, and why."""
+    held = spark.read.parquet(_gated(spark, sf_dir)[1])
+    return held.select("ad_account_id", "run_id", "page_no", "reason")
