@@ -27,6 +27,8 @@ MARGIN = 1e-6
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    # The largest component is 1 first, so squares neither overflow nor vanish, whatever the scale of a vector.
+    vectors = vectors / np.abs(vectors).max(1, keepdims=True)
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
@@ -84,7 +86,7 @@ def _cells(epsilon: float):
             cells, places = [], []
             for body, axes in zip(b.column("body").to_pylist(), b.column("axes").to_pylist()):
                 v = np.frombuffer(body)
-                place = np.frombuffer(axes).reshape(-1, len(v)) @ (v / np.sqrt(v @ v))
+                place = np.frombuffer(axes).reshape(-1, len(v)) @ _unit(v[None])[0]
                 cells.append(np.floor(place / epsilon).astype(np.int64).tolist())
                 places.append(place.tolist())
             kept = [c for c in b.schema.names if c != "axes"]
