@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,8 @@ KINDS = list(WORDS)
 _KIND = {w: sum(1 << k for k, words in enumerate(WORDS.values()) if w in words.split()) for words in WORDS.values() for w in words.split()}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none""", re.I)
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
+# An empty comment may be as short as <!-->; others end with --> or --!>.
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 
 
 def _kinds(tag: str, attributes: str) -> int:
@@ -75,6 +77,7 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.tag, self.kinds, self.text, self.linked = [-1], ["#page"], [0], [""], [0]
         self._stack, self._run, self._links, self._in_link, self._endless = [0], [], 0, 0, set()
+        self._open: Counter[str] = Counter()
         at, size = 0, len(source)
         while at < size:
             m = _TOKEN.search(source, at)
@@ -111,7 +114,8 @@ class Page:
     def _tag(self, source: str, m: re.Match, at: int) -> int:
         name, closing = m[2].lower(), bool(m[1])
         if name in RAW:
-            if not closing and not m[3].rstrip().endswith("/"):
+            # Only a foreign element closes itself.
+            if not closing and not (name == "svg" and m[3].endswith("/")):
                 # A head without its end ends where the body begins; others that hold elements are read on after their tag.
                 ends = r"</head\s*>|(?=<body[\s>])" if name == "head" else rf"</{re.escape(name)}\s*>"
                 # Without an end here there is none further on; the page is not searched for it again.
@@ -129,23 +133,30 @@ class Page:
             self._in_link = 0 if closing else self._in_link
             stack = self._stack
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] == name:
-                        del stack[i:]
-                        break
+                # The stack is searched only for what is on it, so every step takes an element off.
+                if self._open[name]:
+                    self._close(next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == name))
                 return at
             if self.tag[stack[-1]] == "p":
-                stack.pop()
-            for i in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[i]] in CLOSED_BY.get(name, ()):
-                    del stack[i:]
-                    break
-                if self.tag[stack[i]] in LISTS:
-                    break
+                self._close(len(stack) - 1)
+            ends = CLOSED_BY.get(name, ())
+            if any(self._open[x] for x in ends):
+                for i in range(len(stack) - 1, 0, -1):
+                    if self.tag[stack[i]] in ends:
+                        self._close(i)
+                        break
+                    if self.tag[stack[i]] in LISTS:
+                        break
             kinds = _kinds(name, m[3]) | (1 << KINDS.index("note") if m[3] and _HIDDEN.search(m[3]) else 0)
             stack.append(self._add(name, kinds))
+            self._open[name] += 1
         return at
 
+    def _close(self, depth: int) -> None:
+        for node in self._stack[depth:]:
+            self._open[self.tag[node]] -= 1
+        del self._stack[depth:]
+
     def features(self) -> np.ndarray:
         n = len(self.tag)
         size, linked, runs, paragraphs, words, stops, below = ([0] * n for _ in range(7))
