@@ -119,13 +119,15 @@ def mix_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", **opt
     joined = docs.join(limits, docs[source].eqNullSafe(limits[names["source"]]))
     copies = F.col(names["base"]) + (place(docs[key]) <= F.col(names["last"])).cast("long")
     repeated = joined.withColumn(names["copy"], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-    return repeated.select(*(docs[c] for c in docs.columns))
+    # Quoted: a name may hold dots.
+    return repeated.select(*(docs["`" + c.replace("`", "``") + "`"] for c in docs.columns))
 
 
 #: The same mix in SQL: budgets by running sums in hash order.
 MIX_SQL = r"""
 WITH rows AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS BIGINT) AS size,
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS BIGINT) AS size,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place
   FROM documents
 ),
