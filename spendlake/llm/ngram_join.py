@@ -38,6 +38,10 @@ from spendlake.llm.words import mix, shingle_sets
 TEXT_BYTES, KEYS = 1 << 21, 1 << 20
 #: N-grams of the sets that a tile's block may hold on average; a block is sent once for each of its tiles.
 BLOCK = 2_000_000
+#: N-grams whose repeats are counted together, and repeats from which an n-gram is left out of the keys; such n-grams at most.
+CHUNK, COMMON, MOST_COMMON = 2_000_000, 50, 1_000_000
+#: Bytes of a tile's bitmaps, and of what is compared of them at a time.
+BITMAP_BYTES, SLICE_BYTES = 64 << 20, 8 << 20
 #: N-grams that a wave of tiles may be sent at least, however few all sets have.
 WAVE = 8_000_000
 
@@ -83,14 +87,22 @@ def class_of(grams: np.ndarray) -> np.int64:
     return mix(np.array([total], np.uint64)).view(np.int64)[0]
 
 
-def range_keys(grams: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of a sorted set: one for each range of its bands that holds n-grams.
+def without(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """A sorted set less the n-grams of another one."""
+    if not len(common) or not len(grams):
+        return grams
+    return grams[common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] != grams]
+
+
+def range_keys(grams: np.ndarray, bands: Bands, common: np.ndarray = np.zeros(0, np.uint64)) -> np.ndarray:
+    """Keys of a sorted set: one for each range of its bands that holds n-grams, those of ``common`` left out.
 
     Only a set with more empty ranges than a similar pair is sure to share gets keys for those too.
     """
-    out = []
+    out, size = [], len(grams)
+    grams = without(grams, common)
     content = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams + np.uint64(0x2545F4914F6CDD1D)), dtype=np.uint64)])
-    for band in bands.of(len(grams)):
+    for band in bands.of(size):
         count, differ = bands.ranges(band)
         if not count:
             continue
@@ -104,22 +116,50 @@ def range_keys(grams: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])
+SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("gram", pa.int64()), ("times", pa.int64())])
 KEY_BATCH = pa.schema([("part", pa.int64()), ("keys", pa.binary()), ("classes", pa.binary()), ("tied", pa.binary())])
-SET_ROWS = "id bigint, n bigint, cls bigint"
+SET_ROWS = "id bigint, n bigint, cls bigint, gram bigint, times bigint"
 
 
 def _sets(words: int):
+    """Rows of two kinds: each text's id, size and class; and n-grams that several different sets of a chunk share."""
+
+    def repeated(sets) -> pa.RecordBatch:
+        grams, times = np.unique(np.concatenate(list(sets)), return_counts=True)
+        grams, times = grams[times > 1].view(np.int64), times[times > 1]
+        none = [None] * len(grams)
+        return batch(SETS, none, none, none, grams, times)
+
     def run(batches):
+        chunk: dict[int, np.ndarray] = {}
+        held = 0
         for b in batches:
             for begin, end in row_slices(b.column(1), TEXT_BYTES):
                 sets = shingle_sets(b.column(1).slice(begin, end - begin), words)
                 classes = [class_of(s) if len(s) else None for s in sets]
-                yield batch(SETS, b.column(0).slice(begin, end - begin), [len(s) for s in sets], classes)
+                none = [None] * len(sets)
+                yield batch(SETS, b.column(0).slice(begin, end - begin), [len(s) for s in sets], classes, none, none)
+                for c, s in zip(classes, sets):
+                    if c is not None and int(c) not in chunk:
+                        chunk[int(c)] = s
+                        held += len(s)
+                if held >= CHUNK:
+                    yield repeated(chunk.values())
+                    chunk, held = {}, 0
+        if chunk:
+            yield repeated(chunk.values())
 
     return run
 
 
+def _common(counted: DataFrame):
+    """Broadcast sorted n-grams that are repeated most. Whichever they are, no similar pair loses its key; the fewest
+    repeats go up until they are few enough."""
+    totals = counted.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
+    grams = totals.orderBy(F.desc("times"), "gram").limit(MOST_COMMON).select("gram").toArrow().column(0).to_numpy()
+    return counted.sparkSession.sparkContext.broadcast(np.sort(grams.view(np.uint64)))
+
+
 def _tie(keys: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys with their smallest class, and (class, smallest class) for the other classes of a key."""
     if not len(keys):
@@ -134,7 +174,7 @@ def _tie(keys: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[first], classes[first], pairs[:, 0], pairs[:, 1]
 
 
-def _key_batches(words: int, percent: int, parts: int):
+def _key_batches(words: int, percent: int, parts: int, common):
     def flush(keys, classes):
         keys, classes, tied, heads = _tie(np.concatenate(keys), np.concatenate(classes))
         part = by_part(keys, parts)  # ascending, as the keys are
@@ -151,7 +191,7 @@ def _key_batches(words: int, percent: int, parts: int):
             for begin, end in row_slices(b.column(0), TEXT_BYTES):
                 for grams in shingle_sets(b.column(0).slice(begin, end - begin), words):
                     if len(grams):
-                        own = range_keys(grams, bands)
+                        own = range_keys(grams, bands, common.value)
                         keys.append(own)
                         classes.append(np.full(len(own), class_of(grams)))
                         held += len(own)
@@ -206,7 +246,8 @@ def _grams(words: int):
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     """One hashed bitmap per set, as rows of 64-bit words, wide enough that few bits of the largest set coincide."""
     bits = 1 << max(8, math.ceil(math.log2(4 * max(map(len, sets)))))
-    bits = min(bits, 1 << 16)
+    # A bound from narrower ones is still a bound; many sets beside a few large ones must not fill the memory.
+    bits = max(256, min(bits, 1 << 16, 1 << int(math.log2(8 * BITMAP_BYTES / len(sets)))))
     out = np.zeros((len(sets), bits // 64), np.uint64)
     for row, grams in zip(out, sets):
         bit = grams & np.uint64(bits - 1)
@@ -235,7 +276,8 @@ def tile_links(classes: np.ndarray, sets: list[np.ndarray], percent: int) -> lis
             other = low + np.flatnonzero(rest[low:high])
             if not len(other):
                 continue
-            differ = np.bitwise_count(marks[other] ^ marks[x]).sum(1, dtype=np.int64)
+            step = max(1, SLICE_BYTES // marks[0].nbytes)
+            differ = np.concatenate([np.bitwise_count(marks[other[i : i + step]] ^ marks[x]).sum(1, dtype=np.int64) for i in range(0, len(other), step)])
             both = sizes[other] + sizes[x]
             other = other[200 * ((both - differ) // 2) >= percent * 2 * (both - (both - differ) // 2)]
             if not len(other):
@@ -310,10 +352,11 @@ def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> Da
 def classes_and_components(docs: DataFrame, id_col: str, text_col: str, words: int = 5, percent: int = 80) -> DataFrame:
     """``id, n, cls`` of every row, and ``grp``: the class that names the row's component (its own if it has no links)."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = stored(texts.mapInArrow(_sets(words), SET_ROWS), "sets")
+    counted = stored(texts.mapInArrow(_sets(words), SET_ROWS), "sets")
+    sets, common = counted.where("n is not null").select("id", "n", "cls"), _common(counted)
     parts = shuffle_parts(docs.sparkSession)
     keys = texts.select("text").where("text is not null").mapInArrow(
-        _key_batches(words, percent, parts), "part bigint, keys binary, classes binary, tied binary"
+        _key_batches(words, percent, parts, common), "part bigint, keys binary, classes binary, tied binary"
     )
     ties = keys.groupBy("part").applyInArrow(_merge_keys, "a bigint, b bigint")
     clusters = stored(components(ties, "a", "b").withColumnRenamed("node", "cls"), "clusters")
