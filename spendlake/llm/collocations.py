@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import stored
+from spendlake.llm.common import row_slices, stored
 from spendlake.llm.lm import pack, unpack
 from spendlake.llm.words import LOWER, hashes, text_bytes
 
@@ -78,14 +78,16 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
         langs = b.column(0).dictionary_encode()
         for k, lang in enumerate(langs.dictionary.to_pylist()):
             rows = np.flatnonzero(langs.indices.to_numpy(zero_copy_only=False) == k)
-            data, offsets = text_bytes(b.column(1).take(pa.array(rows)))
-            # A line feed ends each text, so no piece goes on in the next one.
-            data = np.insert(data, offsets[1:], 10)
-            held.setdefault(lang, []).append(data)
-            sizes[lang] = sizes.get(lang, 0) + len(data)
-            while sizes and (sizes.get(lang, 0) >= BLOCK_BYTES or sum(sizes.values()) >= 4 * BLOCK_BYTES):
-                yield block(max(sizes, key=sizes.get))
-                number += 1
+            own = b.column(1).take(pa.array(rows))
+            for begin, end in row_slices(own, BLOCK_BYTES):
+                data, offsets = text_bytes(own.slice(begin, end - begin))
+                # A line feed ends each text, so no piece goes on in the next one.
+                data = np.insert(data, offsets[1:], 10)
+                held.setdefault(lang, []).append(data)
+                sizes[lang] = sizes.get(lang, 0) + len(data)
+                while sizes and (sizes.get(lang, 0) >= BLOCK_BYTES or sum(sizes.values()) >= 4 * BLOCK_BYTES):
+                    yield block(max(sizes, key=sizes.get))
+                    number += 1
     for lang in list(held):
         yield block(lang)
         number += 1
