@@ -28,7 +28,9 @@ from spendlake.llm.lm import pack, unpack
 from spendlake.llm.words import LOWER, hashes, text_bytes
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Rows of texts or blocks that a task takes into memory at a time, and Spark's setting for it.
+ROWS, ROWS_AT_A_TIME = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Phrases of a trie, which is what is broadcast: at most some 100 MB with all its arrays.
 SHARD = 500_000
 #: Bytes that separate words, and bytes that end a piece.
@@ -69,6 +71,7 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
     def block(lang):
         body, words, counts = _numbered(np.concatenate(held.pop(lang)))
         del sizes[lang]
+        pa.default_memory_pool().release_unused()
         columns = [[(task << 32) + number], [lang], [int(counts.sum())], [pack(body)], [words], [counts]]
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
         names = ["block", "lang", "n", "body", "words", "counts"]
@@ -201,8 +204,8 @@ def _grow(words: int, trie=None, alone: bool = True):
 
     def run(batches):
         for b in batches:
-            for body in b.column(0).to_pylist():
-                ids = unpack(body, np.int64)
+            for body in b.column(0):
+                ids = unpack(body.as_py(), np.int64)
                 names, number = np.unique(ids, return_inverse=True)
                 left, right = np.where(ids > 0, number, -1), np.where(ids > 0, number, -1)
                 step = 1
@@ -228,8 +231,8 @@ def _occurrences(trie):
         t = trie.value
         counts = np.zeros(len(t.phrases), np.int64)
         for b in batches:
-            for body in b.column(0).to_pylist():
-                for _, _, states in t.walk(unpack(body, np.int64)):
+            for body in b.column(0):
+                for _, _, states in t.walk(unpack(body.as_py(), np.int64)):
                     ended = t.accept[states]
                     counts += np.bincount(ended[ended >= 0], minlength=len(counts))
         some = np.flatnonzero(counts)
@@ -256,6 +259,17 @@ def _over_tries(blocks: DataFrame, candidates: DataFrame, words: int, job, name:
     return [stored(blocks.mapInArrow(job(t, alone), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), name) for t, alone in _tries(candidates, words)]
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, with few rows at a time going to Python; the session's own setting is put back."""
+    conf = df.sparkSession.conf
+    before = conf.get(ROWS_AT_A_TIME, None)
+    conf.set(ROWS_AT_A_TIME, str(ROWS))
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(ROWS_AT_A_TIME) if before is None else conf.set(ROWS_AT_A_TIME, before)
+
+
 def _key(column: str):
     return F.unhex(F.lpad(F.hex(column), 16, "0"))
 
@@ -276,7 +290,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
         raise ValueError("phrases need at least 1 occurrence and 2 words")
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    blocks = stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
+    blocks = _stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("f"))
     frequent = each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
