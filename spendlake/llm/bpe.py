@@ -129,6 +129,14 @@ def _joined(table: pa.Table) -> pa.Table:
     return pa.table({"uid": table["uid"].slice(0, 1), "ids": pa.array([b"".join(table["ids"].to_pylist())], pa.binary())})
 
 
+def _joined_digests(vocabulary: Vocabulary):
+    def run(table: pa.Table) -> pa.Table:
+        whole = _joined(table).combine_chunks().to_batches()
+        return pa.Table.from_batches(_with_digests(vocabulary, "ids")(whole))
+
+    return run
+
+
 def _pieces(longs: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """``uid, piece, body`` of the long texts (``uid, text``): what is encoded on its own."""
     windows = stored(longs.mapInArrow(_chunks(chunk, overlap), "uid bigint, k bigint, window string").repartition("uid", "k"), "chunks")
@@ -158,15 +166,35 @@ def encode(
     often. Only the two named columns are read; an empty table gives no rows.
     """
     vocabulary = vocabulary or Vocabulary(docs.sparkSession)
+    return _whole_texts(docs, key, text, vocabulary, chunk, overlap, _encode(vocabulary), _joined, "ids binary")
+
+
+def encode_digests(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: Vocabulary | None = None,
+    chunk: int = CHUNK, overlap: int = OVERLAP,
+) -> DataFrame:
+    """``digests(encode(...))`` with one Python worker a task: ids are digested where they arise and go nowhere else."""
+    vocabulary = vocabulary or Vocabulary(docs.sparkSession)
+    ids, digest = _encode(vocabulary), _with_digests(vocabulary, "ids")
+    return _whole_texts(docs, key, text, vocabulary, chunk, overlap, lambda b: digest(ids(b)), _joined_digests(vocabulary), DIGESTS)
+
+
+def _whole_texts(
+    docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, chunk: int, overlap: int, of_short, of_pieces, columns: str
+) -> DataFrame:
+    """``doc_id`` and the columns that ``of_short`` gives for texts and ``of_pieces`` for the encoded pieces of one long text."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.BinaryType())])
-    short = rows.where(F.length("text") <= chunk).mapInArrow(_encode(vocabulary), schema)
+    fields = T.StructType.fromDDL(columns).fields
+    short = rows.where(F.length("text") <= chunk).mapInArrow(of_short, T.StructType([rows.schema["doc_id"], *fields]))
     # Long rows are named by a number that is fixed once written.
     longs = stored(rows.where(F.length("text") > chunk).withColumn("uid", F.monotonically_increasing_id()), "long-texts")
     pieces = _pieces(longs.select("uid", "text"), vocabulary.pattern, chunk, overlap)
     ids = pieces.mapInArrow(_encode(vocabulary), "uid bigint, piece bigint, ids binary")
-    whole = ids.groupBy("uid").applyInArrow(_joined, "uid bigint, ids binary")
-    return short.union(longs.select("uid", "doc_id").join(whole, "uid").select("doc_id", "ids"))
+    whole = ids.groupBy("uid").applyInArrow(of_pieces, f"uid bigint, {columns}")
+    return short.union(longs.select("uid", "doc_id").join(whole, "uid").select("doc_id", *(f.name for f in fields)))
+
+
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def _with_digests(vocabulary: Vocabulary, column: str):
@@ -207,5 +235,5 @@ def decode(rows: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "id
 def digests(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: of the ids in decimal, and of the bytes they decode to."""
     vocabulary = vocabulary or Vocabulary(encoded.sparkSession)
-    fields = [encoded.schema["doc_id"], *T.StructType.fromDDL("n_tokens bigint, ids_sha256 string, decoded_sha256 string").fields]
+    fields = [encoded.schema["doc_id"], *T.StructType.fromDDL(DIGESTS).fields]
     return encoded.select("doc_id", "ids").mapInArrow(_with_digests(vocabulary, "ids"), T.StructType(fields))

@@ -58,8 +58,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = bpe.Vocabulary(spark)
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary=vocabulary), vocabulary)
+    return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
 @query("op6_token_files")

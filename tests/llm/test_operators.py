@@ -254,6 +254,8 @@ def tiktoken_ids():
 @pytest.mark.parametrize("chunk, overlap", [(1 << 15, 512), (300, 40), (64, 9)])
 def test_byte_bpe(docs, rows, tiktoken_ids, chunk, overlap):
     got = bpe.digests(bpe.encode(docs, chunk=chunk, overlap=overlap)).collect()
+    at_once = bpe.encode_digests(docs, chunk=chunk, overlap=overlap)
+    assert sorted(at_once.collect(), key=str) == sorted(got, key=str)
     want = []
     for i, t, *_ in rows:
         ids = tiktoken_ids(t or "")
@@ -536,6 +538,7 @@ def test_empty_tables(spark, empty, folder):
     assert mixing.mix_report(empty).count() == mixing.mix_rows(empty).count() == 0
     assert sharding.shard_report(empty).count() == lm.score_texts(empty).count() == 0
     assert bpe.digests(bpe.encode(empty)).count() == 0
+    assert bpe.encode_digests(empty).count() == 0
     assert token_files.token_file_report(empty, f"{folder}/e").count() == 0
     assert quality.quality_report(empty).count() == quality.keep_good(empty).count() == 0
     assert embed_join.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
