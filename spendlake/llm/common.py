@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.session import scratch_path
+from spendlake.storage import delete
 
 #: A side is broadcast only if it was counted and has at most this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
@@ -31,7 +32,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         conf.unset(CLEAN_SHUFFLES) if before is None else conf.set(CLEAN_SHUFFLES, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables, as ``stored`` returned them, that no later result reads: what was made of them is stored itself."""
+    for table in tables:
+        delete(table.sparkSession, table.stored_at)
 
 
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 Alternating star contraction: every round ties each node's neighbours to the smallest of them, first upwards, then
 downwards, until only stars are left. A round is two grouped minima (combined before they are shuffled) and two joins,
 whose hot side adaptive execution can split; its links are written to the shared folder, so nothing has to be repeated
-when executors are lost.
+when executors are lost, and those of the round before are removed.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import stored
+from spendlake.llm.common import discard, stored
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -34,7 +34,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         small = small.select("a", F.col("m").alias("b")).union(
             small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
-        edges = stored(small.distinct(), "links")
+        last, edges = edges, stored(small.distinct(), "links")
+        discard(last)
         before, mark = mark, _mark(edges)
         if mark == before:
             break

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlake.llm.common import batch, by_part, free_name, longs, row_slices, shuffle_parts, small_side, stored
+from spendlake.llm.common import batch, by_part, discard, free_name, longs, row_slices, shuffle_parts, small_side, stored
 from spendlake.llm.components import components
 from spendlake.llm.words import mix, shingle_sets
 
@@ -318,8 +318,8 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     large = blocks.where("not small").select("cluster", "band", "blocks")
     one = large.select("cluster", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
     two = one.select(F.col("cluster"), F.col("band").alias("band2"), F.col("block").alias("block2"))
-    near = (F.col("band2") == F.col("band") + 1) | ((F.col("band2") == F.col("band")) & (F.col("block2") > F.col("block")))
-    pairs = one.join(two, "cluster").where(near)
+    beside = one.join(two.withColumn("band", F.col("band2") - 1), ["cluster", "band"])
+    pairs = beside.union(one.join(two.withColumn("band", F.col("band2")), ["cluster", "band"]).where("block2 > block"))
     named = pairs.withColumn("tile", F.xxhash64("cluster", "band", "block", "band2", "block2"))
     ends = named.select("cluster", "band", "block", "tile").union(named.select("cluster", "band2", "block2", "tile")).distinct()
     # A tile compares each of its blocks with itself too; only a block without a partner needs a tile of its own.
@@ -331,8 +331,8 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     return of_small.union(of_large)
 
 
-def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links ``a, b`` found in all tiles, a wave of tiles at a time; each wave's shuffle goes once its links are stored."""
+def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> list[DataFrame]:
+    """Links ``a, b`` found in all tiles, a stored table for each wave of tiles; its shuffle goes once they are stored."""
     tiles = stored(_tiles(members, percent), "tiles")
     sizes = members.select("cls", "n")
     own = members.agg(F.sum("n")).first()[0] or 0
@@ -346,11 +346,15 @@ def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> Da
         rows = grams.join(owner, (F.col("cls") == F.col("cls2")) & F.col("id").eqNullSafe(F.col("id2")))
         links = rows.select("tile", "cls", "grams").groupBy("tile").applyInArrow(_tile(percent), "a bigint, b bigint")
         found.append(stored(links, "tile-links"))
-    return functools.reduce(DataFrame.union, found)
+    discard(tiles)
+    return found
 
 
 def classes_and_components(docs: DataFrame, id_col: str, text_col: str, words: int = 5, percent: int = 80) -> DataFrame:
-    """``id, n, cls`` of every row, and ``grp``: the class that names the row's component (its own if it has no links)."""
+    """``id, n, cls`` of every row, and ``grp``: the class that names the row's component (its own if it has no links).
+
+    Stored; the tables it was made of are removed.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counted = stored(texts.mapInArrow(_sets(words), SET_ROWS), "sets")
     sets, common = counted.where("n is not null").select("id", "n", "cls"), _common(counted)
@@ -362,10 +366,14 @@ def classes_and_components(docs: DataFrame, id_col: str, text_col: str, words: i
     clusters = stored(components(ties, "a", "b").withColumnRenamed("node", "cls"), "clusters")
     owners = sets.where("cls is not null").groupBy("cls", "n").agg(F.min("id").alias("id"))
     members = owners.join(clusters, "cls").withColumnRenamed("component", "cluster")
-    links = _links(texts, stored(members, "members"), words, percent)
-    joined = stored(components(links, "a", "b"), "components")
+    members = stored(members, "members")
+    links = _links(texts, members, words, percent)
+    joined = stored(components(functools.reduce(DataFrame.union, links), "a", "b"), "components")
     named = joined.select(F.col("node").alias("cls"), F.col("component").alias("grp"))
-    return sets.join(small_side(named), "cls", "left").select("id", "n", "cls", F.coalesce("grp", "cls").alias("grp"))
+    rows = sets.join(small_side(named), "cls", "left").select("id", "n", "cls", F.coalesce("grp", "cls").alias("grp"))
+    rows = stored(rows, "grouped")
+    discard(counted, clusters, members, joined, *links)
+    return rows
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -376,7 +384,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links with nothing and keeps its own id. Repeated rows come back as often. Null ids never become a component's id
     unless all ids of the component are null. Only the two named columns are read. No rows: no rows.
     """
-    rows = stored(classes_and_components(docs, id_col, text_col, words, percent), "grouped")
+    rows = classes_and_components(docs, id_col, text_col, words, percent)
     least = rows.where("grp is not null").groupBy("grp").agg(F.min("id").alias("least"))
     linked = rows.join(least, "grp", "left")
     return linked.select(
@@ -392,7 +400,7 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows without n-grams link with nothing and all stay. Where an id occurs once, a row is known by its id; only rows
     with repeated or null ids are told apart by their set as well.
     """
-    rows = stored(classes_and_components(docs, id_col, text_col, words, percent), "grouped")
+    rows = classes_and_components(docs, id_col, text_col, words, percent)
     best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("cls"))).alias("k")
     keepers = stored(rows.where("grp is not null").groupBy("grp").agg(best).select("k.id", "k.cls"), "keepers")
     repeated = stored(rows.groupBy("id").count().where("count > 1 or id is null").select("id"), "repeated")

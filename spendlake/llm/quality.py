@@ -15,7 +15,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import small_side, stored
+from spendlake.llm.common import discard, small_side, stored
 
 SPACE = r"\x20\x09-\x0D"
 #: The step coordinates are rounded to, and the least standard deviation assumed of each, in steps: about a third of what
@@ -193,7 +193,8 @@ def robust_models(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.select(every, *VECTOR).join(small_side(used), "g", "left_semi")
     model = stored(_start(rows), "model")
     for _ in range(ROUNDS):
-        model = stored(_concentrate(rows, _factored(model)), "model")
+        last, model = model, stored(_concentrate(rows, _factored(model)), "model")
+        discard(last)
     # The last scale is that of the distances under the model before; once more for its own.
     scale = _concentrate(rows, _factored(model)).select("g", "scale")
     model = stored(model.drop("scale").join(scale, "g"), "model")
