@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.llm import bpe, mixing, ngram_join, quality
-from spendlake.llm.common import stored
+from spendlake.llm.common import discard, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    vocabulary = bpe.Vocabulary(spark)
-    return bpe.digests(bpe.encode(docs, vocabulary=vocabulary), vocabulary)
+    return bpe.encode_digests(docs)
 
 
 STAGES = [
@@ -42,6 +41,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last = []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(*last)
+        last = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
