@@ -15,12 +15,13 @@ from spendlake.operators.filters import (
     unknown_accounts,
     with_local_day,
 )
-from spendlake.sources.pages import page_chain_check
+from spendlake.operators.numbering import text_blocks
 from spendlake.operators.quality import collate, incomplete_runs, landing_failures, null_key_audit, submission_failures
 from spendlake.operators.runs import poll_rounds, run_outcomes, run_status, started_runs
 from spendlake.queries import landing as L
 from spendlake.queries.base import query, table
 from spendlake.queries.sources import _paired
+from spendlake.sources.pages import page_chain_check
 
 AS_OF = "1999-07-01"
 
@@ -226,6 +227,25 @@ def failure_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collate(incomplete_runs(outcomes))
 
 
+#: Texts in a row.
+TEXTS = 100
+
+
+@query(
+    "failure_text_blocks",
+    f"""WITH {OUTCOMES_SQL},
+failures AS (SELECT ad_account_id, ad_account_id || ' (run ' || run_id || '): ' || coalesce(final_status, 'None') AS detail
+             FROM outcomes WHERE NOT completed),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY ad_account_id ORDER BY detail) - 1) // {TEXTS} AS block FROM failures)
+SELECT ad_account_id, CAST(block AS BIGINT) AS block, CAST(count(*) AS BIGINT) AS failures, string_agg(detail, '; ' ORDER BY detail) AS detail
+FROM numbered GROUP BY ad_account_id, block""",
+)
+def failure_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All failures of an account in rows of bounded size."""
+    outcomes = run_outcomes(submitted_runs(spark, sf_dir), run_status(status_checks(spark, sf_dir)))
+    return text_blocks(incomplete_runs(outcomes), size=TEXTS)
+
+
 @query(
     "landing_gate",
     """SELECT 'act_' || CAST(c_custkey AS VARCHAR) AS ad_account_id, 'run-' || CAST(c_custkey AS VARCHAR) AS run_id,

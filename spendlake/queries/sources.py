@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.functions.errors import DETAIL_LEAD_IN, error_detail
+from spendlake.operators.numbering import numbered
 from spendlake.operators.project import select_as
 from spendlake.operators.report import attach
 from spendlake.operators.runs import failed_submissions, last_submission, pair_responses, started_runs
@@ -234,6 +235,17 @@ def arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("ad_account_id", F.get_json_object("item", "$.id").alias("id"))
 
 
+@query(
+    "arrival_numbers",
+    f"""SELECT {ACCOUNT_OF_AD} AS ad_account_id, CAST(c_custkey AS VARCHAR) AS id,
+       CAST(row_number() OVER (ORDER BY {ACCOUNT_OF_AD}, c_custkey) AS BIGINT) AS number FROM customer""",
+)
+def arrival_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed object's number in the order of arrival, without gaps."""
+    items = scan_pages(L.ad_listing(spark, sf_dir)).select("ad_account_id", "run_id", "page_no", "pos", F.get_json_object("item", "$.id").alias("id"))
+    return numbered(items, ("ad_account_id", "run_id", "page_no", "pos")).select("ad_account_id", "id", "number")
+
+
 @query(
     "append_listings",
     f"""SELECT {ACCOUNT_OF_AD} AS ad_account_id, 'ads' AS run_id, CAST(c_custkey AS VARCHAR) AS id FROM customer

@@ -13,11 +13,14 @@ from spendlake.queries.filters import CHECKS_SQL, status_checks
 from spendlake.queries.sources import ACCOUNT_OF_AD
 from spendlake.queries.tables import new_table
 from spendlake.session import scratch_path
+from spendlake.sources.pages import scan_pages
 from spendlake.streaming.finish import finish
 from spendlake.streaming.chains import chain_stream, newest_reports, track_chains
 from spendlake.streaming.daily import daily_stream, daily_totals
 from spendlake.streaming.gated import gated_stream, with_outcomes
 from spendlake.streaming.late import accept, accepted
+from spendlake.streaming.reach import daily_people, people_stream
+from spendlake.streaming.replay import pages_once
 from spendlake.streaming.runs import RUN_DEADLINE_SECONDS, track_runs
 from spendlake.streaming.upsert import landed_stream, upsert_stream
 
@@ -119,6 +122,48 @@ def stream_daily_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.join(streamed, grain, "left").select(*grain, "reach", F.coalesce(close, F.lit(False)).alias("streamed_is_close"))
 
 
+@query(
+    "stream_exact_reach",
+    """
+SELECT 'act_' || CAST(user_id % 5 AS VARCHAR) AS ad_account_id, event_type, CAST(ts AS DATE) AS stat_date,
+       CAST(count(*) AS BIGINT) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS reach
+FROM events WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 14 DAY GROUP BY ALL""",
+)
+def stream_exact_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land quarter by quarter, each followed by a run on the same state; the days closed at the end."""
+    events = _with_account(table(spark, sf_dir, "events"))
+    landing, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "reach", "checkpoint"))
+    quarter = F.year("ts") * 4 + F.quarter("ts")
+    for q in [r.q for r in events.select(quarter.alias("q")).distinct().orderBy("q").collect()]:  # bounded by the calendar
+        events.where(quarter == q).write.mode("append").parquet(landing)
+        people = daily_people(spark.readStream.schema(events.schema).parquet(landing), ("ad_account_id", "event_type"), "user_id")
+        finish(people_stream(people, out, checkpoint), checkpoint=checkpoint)
+    return spark.read.parquet(out)
+
+
+@query(
+    "stream_replay_proof",
+    f"""
+WITH ads AS (SELECT {ACCOUNT_OF_AD} AS ad_account_id, CAST(c_custkey AS VARCHAR) AS id, c_custkey // {L.PAGE} + 1 AS page_no FROM customer)
+SELECT ad_account_id, id, CAST({L.LANDED_EPOCH} AS BIGINT) AS landed_at FROM ads
+UNION ALL SELECT ad_account_id, id, CAST({L.LANDED_EPOCH} + 86400 AS BIGINT) FROM ads WHERE page_no % 2 = 1""",
+)
+def stream_replay_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects appended as their pages land; all pages land a second time in other files, every other page anew a day
+    later, that twice as well. Without keys, only the source keeps an object from being there twice."""
+    landing, out, checkpoint = (scratch_path(spark, name) for name in ("landing", "objects", "checkpoint"))
+    pages = L.ad_listing(spark, sf_dir)
+    anew = pages.where("page_no % 2 = 1").withColumn("landed_at", F.col("landed_at") + F.expr("INTERVAL 1 DAY"))
+    for arriving in (pages, pages.unionByName(anew), anew):
+        arriving.write.mode("append").parquet(landing)
+        items = scan_pages(pages_once(landed_stream(spark, landing)))
+        objects = items.select("ad_account_id", F.get_json_object("item", "$.id").alias("id"), F.unix_seconds("landed_at").alias("landed_at"))
+        writer = objects.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        finish(writer.trigger(availableNow=True).start(), checkpoint=checkpoint)
+    return spark.read.parquet(out)
+
+
 # Polling rounds half an hour apart.
 ROUND_SECONDS = 1800
 LOG_START = 1704067200
