@@ -23,6 +23,8 @@ LANDED_PAGE = (
     .add("landed_at", T.TimestampType())
     .add("body", T.StringType())
 )
+#: A run list is sent to every executor if its ids were measured to take at most this many bytes.
+RUN_LIST_BYTES = 64 << 20
 ONLY_ID = T.StructType().add("id", T.StringType())
 # Malformed responses stop the job instead of turning into missing rows.
 STRICT = {"mode": "FAILFAST"}
@@ -121,9 +123,14 @@ def page_chain_check(
 def scan_report(pages: DataFrame, runs: DataFrame, spec: TableSpec, **projection) -> DataFrame:
     """Typed rows of the reports in ``runs`` (run_id, ad_account_id), tagged with the run's account.
 
-    Which side is broadcast is left to the size the optimiser sees; the run list may be long.
+    The ids of the runs are measured first, so bodies are parsed where they are read whenever the list is short, whatever the
+    optimiser's estimate of it; a longer list is joined as the optimiser sees fit.
     """
     runs = runs.select("run_id", "ad_account_id")
+    # A row of its own takes some bytes beside its ids.
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in runs.columns), F.lit(64))
+    if (runs.agg(F.sum(size)).first()[0] or 0) <= RUN_LIST_BYTES:
+        runs = F.broadcast(runs)
     own = pages.drop("ad_account_id").join(runs, "run_id")
     projection.setdefault("ingested_at", F.col("landed_at"))
     return project(scan_pages(own, spec.input_schema), spec, **projection)

@@ -101,6 +101,29 @@ def test_report_rows_carry_the_runs_account(spark):
     assert json.loads(row.actions_json) == record["actions"] and str(row.stat_date) == "2024-01-05" and row.clicks is None
 
 
+def test_bodies_stay_where_they_are_read_if_the_run_list_is_short(spark, monkeypatch):
+    record = {"ad_id": "1", "date_start": "2024-01-05", "spend": "1.25"}
+    landed_pages = landed(spark, *(page("?", f"r{i}", 1, [record]) for i in range(4)))
+    runs = spark.createDataFrame([("r1", "act_7"), ("r3", None), (None, "act_8")], "run_id string, ad_account_id string")
+
+    def plan_and_rows():
+        rows = scan_report(landed_pages, runs, AD_DAILY).select("ad_account_id", "ad_id")
+        return rows._jdf.queryExecution().sparkPlan().toString(), sorted(map(tuple, rows.collect()), key=str)
+
+    # As if the optimiser took the list for a long one.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan, rows = plan_and_rows()
+        assert "BroadcastHashJoin" in plan
+        monkeypatch.setattr("spendlake.sources.pages.RUN_LIST_BYTES", 64)
+        long_plan, long_rows = plan_and_rows()
+        assert "SortMergeJoin" in long_plan and "BroadcastHashJoin" not in long_plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows == long_rows == [("act_7", "1"), (None, "1")]
+
+
 def test_entities_created_in_window(spark):
     times = {
         "first": "2024-01-05T00:00:00+0000", "last": "2024-01-06T23:59:59+0000",
