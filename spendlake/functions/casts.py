@@ -69,4 +69,6 @@ def convert(leaf: Column, kind: str, column: str) -> Column:
             return to_timestamp_or_null(leaf)
         case "json":
             return json_text(leaf)
+        case "variant":
+            return F.when(~F.is_variant_null(leaf), leaf)
     raise ValueError(f"column {column}: unknown kind {kind!r}")

@@ -15,13 +15,14 @@ TABLE_TYPES: dict[str, T.DataType] = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "json": T.StringType(),
+    "variant": T.VariantType(),
 }
 
 # Type the field is read with from the JSON text. Scalars come in as text so the
 # casts can be strict; VARIANT keeps what text would lose, namely whether a
-# value was quoted (booleans) and the shape of nested values (json).
+# value was quoted (booleans) and the shape of nested values (json, variant).
 INPUT_TYPES: dict[str, T.DataType] = {
-    kind: T.VariantType() if kind in ("boolean", "json") else T.StringType() for kind in TABLE_TYPES
+    kind: T.VariantType() if kind in ("boolean", "json", "variant") else T.StringType() for kind in TABLE_TYPES
 }
 
 ACCOUNT = "ad_account_id"
@@ -103,3 +104,8 @@ class TableSpec:
     def with_field(self, api: str, column: str, kind: str) -> TableSpec:
         """The same table with one more column before ``ingested_at``."""
         return replace(self, fields=(*self.fields, FieldSpec(api, column, kind)))
+
+    def with_variants(self) -> TableSpec:
+        """The same table with its JSON columns stored as VARIANT instead of text, so paths are read without a parse."""
+        stored = (replace(f, kind="variant") if f.kind == "json" else f for f in self.fields)
+        return replace(self, fields=tuple(stored))

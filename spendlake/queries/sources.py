@@ -10,11 +10,14 @@ from spendlake.operators.numbering import numbered
 from spendlake.operators.project import select_as
 from spendlake.operators.report import attach
 from spendlake.operators.runs import failed_submissions, last_submission, pair_responses, started_runs
+from spendlake.operators.upsert import ParquetTable, upsert
+from spendlake.operators.variants import at_paths, key_audit, undeclared_keys
 from spendlake.plans import tables as T
 from spendlake.plans.spec import TableSpec
 from spendlake.queries import landing as L
 from spendlake.queries.base import DELIVERY_SQL, campaign_names, portable, query, report_sql, sql_columns, table
 from spendlake.queries.reports import AD_GRAIN, ad_report, level_report
+from spendlake.session import scratch_path
 from spendlake.sources.batches import unpack_batches
 from spendlake.sources.pages import (
     append,
@@ -366,3 +369,69 @@ def json_path_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A value inside a JSON column by its path."""
     k = F.variant_get(F.parse_json("props"), "$.k", "double").alias("k")
     return table(spark, sf_dir, "events").select("event_id", k)
+
+
+def _listed_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.through_files(spark, L.ad_listing(spark, sf_dir))
+
+
+@query(
+    "variant_paths",
+    f"""
+SELECT {ACCOUNT_OF_AD} AS ad_account_id, CAST(c_custkey AS VARCHAR) AS ad_id, c_mktsegment AS kind,
+       CAST(c_nationkey AS BIGINT) AS first_part, CAST(c_custkey AS BIGINT) AS second_part, CAST(NULL AS VARCHAR) AS missing
+FROM customer""",
+)
+def variant_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads upserted into a table that stores nested values as VARIANT, read by path without parsing any text."""
+    target = ParquetTable(T.ADS.with_variants(), scratch_path(spark, "ads"))
+    upsert(scan_entities(_listed_ads(spark, sf_dir), target.spec), target)
+    return at_paths(
+        target.read(spark),
+        ("ad_account_id", "ad_id"),
+        {
+            "kind": ("creative_json", "$.kind", "string"),
+            "first_part": ("creative_json", "$.parts[0]", "bigint"),
+            "second_part": ("creative_json", "$.parts[1]", "bigint"),
+            "missing": ("creative_json", "$.parts[2].name", "string"),
+        },
+    )
+
+
+# Keys of the listed ads with the condition they occur under and the type of their values.
+AD_KEYS = (
+    ("id", "true", "STRING"),
+    ("name", "true", "STRING"),
+    ("adset_id", "true", "STRING"),
+    ("campaign_id", "true", "BIGINT"),
+    ("bid_amount", "true", "STRING"),
+    ("priority", "c_custkey % 3 > 0", "BIGINT"),
+    ("created_time", "true", "STRING"),
+    ("updated_time", "true", "STRING"),
+    ("is_autobid", "true", "BOOLEAN"),
+    ("effective_status", "c_custkey % 5 <= 2", "STRING"),
+    ("creative", "true", "OBJECT<kind: STRING, parts: ARRAY<BIGINT>>"),
+    ("recommendations", "c_custkey % 4 = 0", "ARRAY<VOID>"),
+    ("account_id", "true", "STRING"),
+)
+DECLARED_ADS = {f.api for f in T.ADS.fields}
+
+
+def _key_sql(keys, flag: bool) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {ACCOUNT_OF_AD} AS ad_account_id, '{key}' AS key, {f'{key in DECLARED_ADS} AS declared, ' if flag else ''}"
+        f"CAST(count(*) AS BIGINT) AS objects, CAST(0 AS BIGINT) AS nulls, '{shape}' AS shape FROM customer WHERE {when} GROUP BY ALL"
+        for key, when, shape in keys
+    )
+
+
+@query("landed_keys", _key_sql(AD_KEYS, True))
+def landed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key that the listed ads hold, per account."""
+    return key_audit(scan_pages(_listed_ads(spark, sf_dir)), T.ADS, ("ad_account_id",))
+
+
+@query("undeclared_keys", _key_sql([k for k in AD_KEYS if k[0] not in DECLARED_ADS], False))
+def undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that the service sends and no column takes."""
+    return undeclared_keys(scan_pages(_listed_ads(spark, sf_dir)), T.ADS, ("ad_account_id",))

@@ -14,6 +14,7 @@ from spendlake.queries.sources import ACCOUNT_OF_AD
 from spendlake.queries.tables import new_table
 from spendlake.session import scratch_path
 from spendlake.sources.pages import scan_pages
+from spendlake.streaming.audit import BatchAudit
 from spendlake.streaming.finish import finish
 from spendlake.streaming.chains import chain_stream, newest_reports, track_chains
 from spendlake.streaming.daily import daily_stream, daily_totals
@@ -281,3 +282,30 @@ def stream_gate_held(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages kept out, and why."""
     held = spark.read.parquet(_gated(spark, sf_dir)[1])
     return held.select("ad_account_id", "run_id", "page_no", "reason")
+
+
+@query(
+    "stream_audit",
+    f"""
+WITH pages AS (SELECT DISTINCT {ACCOUNT_OF_AD} AS ad_account_id, c_custkey // {L.PAGE} + 1 AS page_no FROM customer),
+landed AS (SELECT 0 AS batch_id, * FROM pages UNION ALL SELECT 1, * FROM pages WHERE page_no % 2 = 1)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS row_count, CAST(min(page_no) AS BIGINT) AS first_page,
+       CAST(max(page_no) AS BIGINT) AS last_page, CAST({L.LANDED_EPOCH} + 86400 * batch_id AS BIGINT) AS newest
+FROM landed GROUP BY ALL""",
+)
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All listings land and are upserted as one batch, later every other page again: what each batch carried."""
+    landing, checkpoint, records = (scratch_path(spark, name) for name in ("landing", "checkpoint", "audit"))
+    target = new_table(spark, T.ADS)
+    pages = L.ad_listing(spark, sf_dir)
+    later = pages.where("page_no % 2 = 1").withColumn("landed_at", F.col("landed_at") + F.expr("INTERVAL 1 DAY"))
+    audit = BatchAudit(
+        spark, records, "landed", F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"),
+        F.max(F.unix_seconds("landed_at")).alias("newest"),
+    )
+    with audit:
+        for arriving in (pages, later):
+            arriving.write.mode("append").parquet(landing)
+            stream = audit.watch(landed_stream(spark, landing, files_per_batch=1_000_000))
+            finish(upsert_stream(stream, target, checkpoint), checkpoint=checkpoint)
+    return audit.records().drop("stream_id")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.functions.days import date_window, utc_instant
+from spendlake.operators.bucketed import BucketedTable, upsert_bucketed
 from spendlake.operators.filters import in_days
+from spendlake.operators.numbering import numbered_within
 from spendlake.operators.report import ADDITIVE, report
 from spendlake.operators.upsert import ParquetTable, latest_per_key, replace, upsert
 from spendlake.plans import tables as T
@@ -20,7 +22,7 @@ from spendlake.queries import landing as L
 from spendlake.queries.base import DELIVERY_SQL, portable, query, raw_delivery, report_sql, sql_columns, table
 from spendlake.queries.sources import ADS_KNOWN, AD_SETS_KNOWN, CAMPAIGNS_KNOWN
 from spendlake.session import scratch_path
-from spendlake.sources.pages import LANDED_PAGE, as_page
+from spendlake.sources.pages import LANDED_PAGE
 
 FIRST_RUN = datetime(2024, 3, 1, tzinfo=timezone.utc)
 SECOND_RUN = datetime(2024, 3, 2, tzinfo=timezone.utc)
@@ -88,7 +90,7 @@ SELECT {FACT_COLUMNS}, CAST({FIRST_EPOCH} AS BIGINT) FROM report r
 WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.ad_account_id = r.ad_account_id AND s.ad_id = r.ad_id AND s.stat_date = r.stat_date)"""
 
 
-def fact_output(spark: SparkSession, target: ParquetTable) -> DataFrame:
+def fact_output(spark: SparkSession, target: ParquetTable | BucketedTable) -> DataFrame:
     return portable(target.read(spark).select(*FACT_COLUMNS.split(", "), "ingested_at"))
 
 
@@ -110,6 +112,18 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_output(spark, target)
 
 
+@query("upsert_bucketed", UPSERT_SQL)
+def upsert_bucketed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two runs into a catalog table bucketed by its key."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = scratch_path(spark, T.AD_DAILY.name)
+    # The last part of the path is unique, so a query that runs again has a table of its own.
+    target = BucketedTable(T.AD_DAILY, root.rsplit("/", 1)[-1].replace("-", "_"), root, buckets)
+    upsert_bucketed(_first_facts(spark, sf_dir), target)
+    upsert_bucketed(_revised_facts(spark, sf_dir), target)
+    return fact_output(spark, target)
+
+
 # Noon UTC of the first creation day; orders are created over sixty days, the last ten of them recent.
 CREATED_FROM = 1672574400
 RECENT_FROM = "2023-02-20"
@@ -196,11 +210,7 @@ def dedupe_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _campaign_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as accounts, order priorities as their campaigns: one run per account.
-
-    An account has one row per priority and day, so its rows are bounded by the calendar
-    and can be cut into numbered pages of 100 from one sorted array.
-    """
+    """Customers as accounts, order priorities as their campaigns: one run per account, its rows numbered and cut into pages."""
     rows = raw_delivery(spark, sf_dir).groupBy("ad_id", "age", "stat_date").agg(
         F.sum("spend").cast("double").alias("spend"),
         *(F.sum(m).cast("bigint").alias(m) for m in ADDITIVE[1:]),
@@ -211,21 +221,11 @@ def _campaign_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("stat_date").cast("string").alias("date_start"), F.col("age").alias("campaign_id"),
         F.concat(F.lit("name of "), "age").alias("campaign_name"), F.lit("LEADS").alias("objective"), *text,
     )
-    per_account = rows.groupBy("ad_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    pages = F.ceil(F.size("items") / L.PAGE).cast("int")
-    cut = per_account.select(
-        F.concat(F.lit("act_"), F.col("ad_id").cast("string")).alias("ad_account_id"),
-        F.concat(F.lit("run-"), F.col("ad_id").cast("string")).alias("run_id"),
-        "items", pages.alias("pages"), F.explode(F.sequence(F.lit(1), pages)).alias("page_no"),
-    )
-    body = as_page(
-        F.slice("items", (F.col("page_no") - 1) * L.PAGE + 1, L.PAGE),
-        F.when(F.col("page_no") < F.col("pages"), F.lit("https://next")),
-    )
-    landed_at = F.lit(L.LANDED_AT).cast("timestamp").alias("landed_at")
-    return cut.select(
-        "ad_account_id", "run_id", F.col("page_no").cast("bigint").alias("page_no"), landed_at, body.alias("body")
-    ).select(*LANDED_PAGE.names)
+    places = numbered_within(rows, "ad_id", ("stat_date", "age"), "place")
+    cut = places.select("ad_id", "place", item.alias("item"), (L.div(F.col("place") - 1, L.PAGE) + 1).alias("page"))
+    account, run = (F.concat(F.lit(prefix), F.col("ad_id").cast("string")) for prefix in ("act_", "run-"))
+    last = cut.groupBy(account.alias("ad_account_id"), run.alias("run_id")).agg(F.max("page").alias("last"))
+    return L.landed(cut, account, run, F.col("page"), F.col("place"), F.col("item"), last)
 
 
 CAMPAIGN_GRAIN = "'act_' || ad_id AS ad_account_id, age AS campaign_id, stat_date"
@@ -295,7 +295,6 @@ def run_dimensions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
-    """Each page a chain of its own, since listings cut by key may leave numbers out."""
-    run = F.concat_ws("/", "run_id", F.col("page_no").cast("string"))
-    ended = F.regexp_replace("body", '"next":"https://next"', '"unused":""')
-    return pages.select("ad_account_id", run.alias("run_id"), F.lit(1).cast("bigint").alias("page_no"), "landed_at", ended.alias("body"))
+    """The pages of each account's listing numbered without gaps, which listings cut by key may have: one whole chain each."""
+    numbers = numbered_within(pages, "ad_account_id", ("page_no",), "place")
+    return numbers.withColumn("page_no", F.col("place")).select(*LANDED_PAGE.names)
