@@ -1,11 +1,13 @@
 """Quality rules: statistics of whole texts, and robust outliers of their transformed vectors. DataFrame functions only.
 
 The statistics of a text are computed in its row with array functions. Their transformed vectors are compared within a
-language and source, or one of few rows blended with its language: the minimum covariance determinant estimate is found by concentration steps (start at medians and
-quartile ranges; keep the half of the rows nearest in Mahalanobis distance; mean and covariance of that half; again),
-and rows beyond a cutoff are rejected. A step is one scan of the vectors: distances are ranked by a histogram whose bins
-also carry the sums for mean and covariance, so a hot group is combined before it is shuffled and never gathered. Vectors
-are whole multiples of a step, so sums are exact and reruns agree.
+language and source, or one of few rows blended with its language. The minimum covariance determinant estimate of a group
+is searched from three deterministic starts (medians and quartile ranges; mean and covariance of all rows; covariance of
+the vectors bent by tanh, which pulls far rows in). Concentration steps (keep the half of the rows nearest in Mahalanobis
+distance; mean and covariance of that half) go on from each until its determinant falls no further, and the least of the
+determinants wins. Rows beyond a cutoff are rejected. A step is one scan of the vectors of groups still falling: distances
+are ranked by a histogram whose bins also carry the sums for mean and covariance, so a hot group is combined before it is
+shuffled and never gathered. Vectors are whole multiples of a step, so sums are exact and reruns agree.
 """
 
 from __future__ import annotations
@@ -23,14 +25,19 @@ SPACE = r"\x20\x09-\x0D"
 STEP, FLOORS = 1e-4, (600, 1000, 400, 300)
 #: Rows from which a language and source is judged by its own estimate alone, five a dimension. With n fewer, its own
 #: counts n parts and the language's the rest (that of a small language likewise blended with all rows'), so no verdict
-#: hangs on one row more or less. With fewer in all, nothing is rejected.
-FULL_ROWS = 20
+#: hangs on one row more or less. What is missing of all rows below that number is made up by a model that knows
+#: nothing: standard deviations of WIDE floors.
+FULL_ROWS, WIDE = 20, 10
 #: Median and 0.9999 quantile of chi square with four degrees of freedom. Distances are scaled to the median; the margin
 #: for heavier tails than normal is twice the quantile's distance. In floors that is 9.7, within the range of each
 #: coordinate: 0.58 of mean word length's logarithm, 0.97 of signs', 0.39 of duplicate lines, 0.29 of repeated words.
 CHI_MEDIAN, CHI_HIGH, MARGIN = 3.35669, 23.5127, 2.0
 CUTOFF = CHI_HIGH * MARGIN**2
-ROUNDS, BINS_PER_UNIT = 6, 32
+BINS_PER_UNIT = 32
+#: A determinant counts as fallen if its logarithm fell by more than this, so the steps end: a group has finitely many halves.
+FALL = 1e-9
+#: Scale of the values bent by tanh, rounded to whole numbers.
+BENT = 10_000
 P = len(FLOORS)
 PAIRS = list(combinations_with_replacement(range(P), 2))
 
@@ -115,23 +122,54 @@ def _blended(groups: DataFrame, model: DataFrame) -> DataFrame:
     return out.select("g", *mixed)
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and quartile ranges of each coordinate, from histograms: a model with a diagonal covariance."""
+def _moments(n: Column, total, product, i: int, j: int | None = None) -> Column:
+    """Mean of a coordinate, or covariance of two, from a count and sums."""
+    mean = lambda k: total(k) / n
+    return mean(i) if j is None else product(i, j) / n - mean(i) * mean(j)
+
+
+def _wide(c: Column) -> Column:
+    return F.sum(c.cast("decimal(20,0)"))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three models of each group to start from, numbered ``s``."""
     each = rows.select("g", F.posexplode(F.array(*VECTOR)).alias("i", "v"))
     bins = each.groupBy("g", "i", F.floor(F.col("v") / 10).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     upto, whole = Window.partitionBy("g", "i").orderBy("bin"), Window.partitionBy("g", "i")
     bins = bins.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("bin"))) * 10 + 5
     marks = bins.groupBy("g", "i").agg(at(0.5).alias("mid"), ((at(0.75) - at(0.25)) * 0.7413).alias("sd"))
-    pick = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c)))
-    return marks.groupBy("g").agg(
-        *(pick("mid", i).cast("double").alias(f"m{i}") for i in range(P)),
-        *((pick("sd", i) * pick("sd", i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS),
+    pick = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c))).cast("double").alias(f"{c}{i}")
+    marks = stored(marks.groupBy("g").agg(*(pick(c, i) for c in ("mid", "sd") for i in range(P))), "marks")
+    unit = [F.greatest(F.col(f"sd{i}"), F.lit(float(floor))) for i, floor in enumerate(FLOORS)]
+    bent = (F.round(BENT * F.tanh((F.col(f"v{i}") - F.col(f"mid{i}")) / unit[i])).cast("long").alias(f"t{i}") for i in range(P))
+    near = rows.join(small_side(marks), "g").select("g", *VECTOR, *bent)
+    sums = near.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"),
+        *(_wide(F.col(f"{c}{i}")).cast("double").alias(f"s{c}{i}") for c in "vt" for i in range(P)),
+        *(_wide(F.col(f"{c}{i}") * F.col(f"{c}{j}")).cast("double").alias(f"q{c}{i}{j}") for c in "vt" for i, j in PAIRS),
+    )
+    moment = lambda c, *at: _moments(F.col("n"), lambda i: F.col(f"s{c}{i}"), lambda i, j: F.col(f"q{c}{i}{j}"), *at)
+
+    def model(number: int, mean, covariance) -> Column:
+        means, pairs = (mean(i).alias(f"m{i}") for i in range(P)), (covariance(i, j).alias(f"c{i}{j}") for i, j in PAIRS)
+        return F.struct(F.lit(number).alias("s"), *means, *pairs)
+
+    middle = lambda i: F.col(f"mid{i}")
+    models = F.array(
+        model(0, middle, lambda i, j: F.col(f"sd{i}") * F.col(f"sd{i}") if i == j else F.lit(0.0)),
+        model(1, lambda i: moment("v", i), lambda i, j: moment("v", i, j)),
+        model(2, middle, lambda i, j: moment("t", i, j) * unit[i] * unit[j] / float(BENT * BENT)),
     )
+    return marks.join(sums, "g").select("g", F.explode(models).alias("model")).select("g", "model.*")
 
 
 def _factored(model: DataFrame) -> DataFrame:
-    """Mean and covariance turned into mean and the lower triangle of the covariance's square root."""
+    """Mean and covariance turned into mean and the lower triangle of the covariance's square root, floors included.
+
+    ``logdet`` is the logarithm of that covariance's determinant; columns that are named ``new_...`` stay as they are.
+    """
     for i, floor in enumerate(FLOORS):
         model = model.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + float(floor * floor))
     for j in range(P):
@@ -141,7 +179,9 @@ def _factored(model: DataFrame) -> DataFrame:
         for i in range(j + 1, P):
             inner = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             model = model.withColumn(f"l{i}{j}", (F.col(f"c{j}{i}") - inner) / F.col(f"l{j}{j}"))
-    return model.select("g", *(f"m{i}" for i in range(P)), *(f"l{j}{i}" for i, j in PAIRS), *(c for c in model.columns if c == "scale"))
+    logdet = 2 * sum((F.log(F.col(f"l{j}{j}")) for j in range(1, P)), F.log(F.col("l00")))
+    kept = [c for c in model.columns if c in ("g", "s", "scale") or c.startswith("new_")]
+    return model.select(*kept, *(f"m{i}" for i in range(P)), *(f"l{j}{i}" for i, j in PAIRS), logdet.alias("logdet"))
 
 
 def _distance() -> Column:
@@ -156,31 +196,50 @@ def _distance() -> Column:
 
 
 def _concentrate(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Mean and covariance of the nearer half of each group, and the scale that brings the median distance to chi square's."""
+    """Per group and start: mean and covariance of the nearer half, and the scale that brings the median distance to chi square's."""
     near = rows.join(small_side(model), "g")
     d2 = F.greatest(_distance(), F.lit(1e-6))
-    near = near.select("g", *VECTOR, F.floor(F.log(d2) * BINS_PER_UNIT).alias("bin"))
-    wide = lambda c: F.sum(c.cast("decimal(20,0)"))
-    bins = near.groupBy("g", "bin").agg(
+    near = near.select("g", "s", *VECTOR, F.floor(F.log(d2) * BINS_PER_UNIT).alias("bin"))
+    bins = near.groupBy("g", "s", "bin").agg(
         F.count(F.lit(1)).alias("n"),
-        *(wide(F.col(v)).alias(f"s{i}") for i, v in enumerate(VECTOR)),
-        *(wide(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"q{i}{j}") for i, j in PAIRS),
+        *(_wide(F.col(v)).alias(f"s{i}") for i, v in enumerate(VECTOR)),
+        *(_wide(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"q{i}{j}") for i, j in PAIRS),
     )
-    upto = Window.partitionBy("g").orderBy("bin")
+    upto = Window.partitionBy("g", "s").orderBy("bin")
     sums = ["n", *(f"s{i}" for i in range(P)), *(f"q{i}{j}" for i, j in PAIRS)]
     bins = bins.select(
-        "g", "bin", F.sum("n").over(Window.partitionBy("g")).alias("all"),
+        "g", "s", "bin", F.sum("n").over(Window.partitionBy("g", "s")).alias("all"),
         *(F.sum(c).over(upto).cast("double" if c != "n" else "long").alias(c) for c in sums),
     )
-    half = bins.where(2 * F.col("n") >= F.col("all")).groupBy("g").agg(F.min_by(F.struct("bin", *sums), "bin").alias("h"))
-    half = half.select("g", "h.*")
-    mean = lambda i: F.col(f"s{i}") / F.col("n")
+    half = bins.where(2 * F.col("n") >= F.col("all")).groupBy("g", "s").agg(F.min_by(F.struct("bin", *sums), "bin").alias("h"))
+    half = half.select("g", "s", "h.*")
+    moment = lambda *at: _moments(F.col("n"), lambda i: F.col(f"s{i}"), lambda i, j: F.col(f"q{i}{j}"), *at)
     return half.select(
-        "g",
-        *(mean(i).alias(f"m{i}") for i in range(P)),
-        *((F.col(f"q{i}{j}") / F.col("n") - mean(i) * mean(j)).alias(f"c{i}{j}") for i, j in PAIRS),
+        "g", "s",
+        *(moment(i).alias(f"m{i}") for i in range(P)),
+        *(moment(i, j).alias(f"c{i}{j}") for i, j in PAIRS),
         F.greatest(F.lit(1.0), F.exp((F.col("bin") + 1) / BINS_PER_UNIT) / CHI_MEDIAN).alias("scale"),
-    )
+    )
+
+
+def least_determinants(rows: DataFrame) -> DataFrame:
+    """The model of least determinant of each group ``g``, stored: mean, covariance, scale, and ``logdet``. Rows: ``g`` and the vector."""
+    numbers = [*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i, j in PAIRS)]
+    # A start is no half's covariance, so whatever the first step gives is taken.
+    state = stored(_starts(rows).select("g", "s", *numbers, F.lit(float("inf")).alias("logdet"), F.lit(True).alias("falls")), "model")
+    while not state.where("falls").isEmpty():
+        step = _concentrate(rows, _factored(state.where("falls")))
+        step = _factored(step.withColumns({f"new_{c}": F.col(c) for c in numbers})).withColumnRenamed("logdet", "new_logdet")
+        step = step.select("g", "s", "new_logdet", *(f"new_{c}" for c in numbers))
+        falls = F.coalesce(F.col("new_logdet") < F.col("logdet") - FALL, F.lit(False))
+        # A step that does not fall is thrown away, with it the start is done.
+        pick = [F.when(falls, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in (*numbers, "logdet")]
+        last, state = state, stored(state.join(step, ["g", "s"], "left").select("g", "s", *pick, falls.alias("falls")), "model")
+        discard(last)
+    best = state.groupBy("g").agg(F.min_by(F.struct("s", *numbers, "logdet"), F.struct("logdet", "s")).alias("best")).select("g", "best.*")
+    # The scale is that of the distances under the final model.
+    scale = _concentrate(rows, _factored(best)).select("g", "scale")
+    return stored(best.drop("s").join(scale, "g"), "model")
 
 
 def robust_models(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -189,20 +248,19 @@ def robust_models(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A row counts in every group it belongs to that judges some language and source.
     every = F.explode(F.array(_level(2, "lang", "source"), _level(1, "lang"), _level(0))).alias("g")
     used = groups.select(F.explode(F.array("g", "g1", "g0")).alias("g")).where("g is not null").distinct()
-    enough = rows.count() >= FULL_ROWS
-    rows = rows.select(every, *VECTOR).join(small_side(used), "g", "left_semi")
-    model = stored(_start(rows), "model")
-    for _ in range(ROUNDS):
-        last, model = model, stored(_concentrate(rows, _factored(model)), "model")
-        discard(last)
-    # The last scale is that of the distances under the model before; once more for its own.
-    scale = _concentrate(rows, _factored(model)).select("g", "scale")
-    model = stored(model.drop("scale").join(scale, "g"), "model")
-    return groups, stored(_factored(_blended(groups, model).where(F.lit(enough))), "model")
+    of_all = min(1.0, rows.count() / FULL_ROWS)
+    model = least_determinants(rows.select(every, *VECTOR).join(small_side(used), "g", "left_semi")).drop("logdet")
+    if of_all < 1:
+        # Few rows in all: what is missing comes from the model that knows nothing, centred where the rows are.
+        nothing = {f"c{i}{j}": float((WIDE * FLOORS[i]) ** 2) if i == j else 0.0 for i, j in PAIRS} | {"scale": 1.0}
+        of_none = {c: F.col(c) * of_all + (1 - of_all) * x for c, x in nothing.items()}
+        whole = F.col("g") == _level(0)
+        model = model.withColumns({c: F.when(whole, mixed).otherwise(F.col(c)) for c, mixed in of_none.items()})
+    return groups, stored(_factored(_blended(groups, model)), "model")
 
 
 def with_verdict(rows: DataFrame, groups: DataFrame, models: DataFrame) -> DataFrame:
-    """``rows`` with ``distance`` (null without a model or if the base rule failed) and ``kept``."""
+    """``rows`` with ``distance`` (null if the base rule failed) and ``kept``."""
     judged = _of_group(rows, groups).join(small_side(models), "g", "left")
     distance = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(distance <= CUTOFF, F.lit(True))

@@ -1,0 +1,99 @@
+"""The models of the quality rules against an independent search for the least determinant."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spendlake.llm import quality
+
+FLOOR = np.diag(np.square(np.array(quality.FLOORS, float)))
+
+
+def independent(x, draws=300, seed=1):
+    """Least determinant over concentration steps from random rows: (logdet, mean, covariance with floors, scale)."""
+    draw, h, best = np.random.default_rng(seed), (len(x) + 1) // 2, None
+    for _ in range(draws):
+        half = x[draw.choice(len(x), min(len(x), 6), replace=False)]
+        last = np.inf
+        while True:
+            mean, cov = half.mean(0), np.cov(half.T, bias=True) + FLOOR
+            d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            half = x[np.argsort(d2, kind="stable")[:h]]
+            now = np.linalg.slogdet(np.cov(half.T, bias=True) + FLOOR)[1]
+            if now >= last - 1e-9:
+                break
+            last = now
+        if best is None or last < best[0]:
+            best = (last, mean, cov, max(1.0, np.sort(d2)[h - 1] / quality.CHI_MEDIAN))
+    return best
+
+
+def distances(x, mean, cov, scale):
+    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean) / scale
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """Vectors of whole texts, by language."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality.text_stats(docs, F.col("text"), [F.col("lang"), F.lit("all").alias("source"), F.col("doc_id")])
+    return rows.where("not base_failed").select("doc_id", "lang", "source", "base_failed", *quality.VECTOR).cache()
+
+
+def by_lang(rows):
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault(r.lang, []).append((r.doc_id, *(r[v] for v in quality.VECTOR)))
+    return {k: (np.array([g[0] for g in v]), np.array([g[1:] for g in v], float)) for k, v in groups.items()}
+
+
+def test_determinants_and_verdicts_are_those_of_an_independent_search(spark, vectors):
+    found = {r.g: r.logdet for r in quality.least_determinants(vectors.select(F.col("lang").alias("g"), *quality.VECTOR)).collect()}
+    groups, models = quality.robust_models(vectors.select("lang", "source", *quality.VECTOR))
+    kept = {r.doc_id: (r.distance, r.kept) for r in quality.with_verdict(vectors, groups, models).collect()}
+    judged = 0
+    for lang, (ids, x) in by_lang(vectors).items():
+        if len(x) < quality.FULL_ROWS:
+            continue
+        logdet, *model = independent(x)
+        # Halves end at bins 3 per cent wide, so ours may hold a few rows more.
+        assert found[lang] <= logdet + 0.25, (lang, found[lang], logdet)
+        for i, d in zip(ids, distances(x, *model), strict=True):
+            judged += 1
+            if not 0.7 < d / quality.CUTOFF < 1.4:
+                assert kept[i][1] == (d <= quality.CUTOFF), (lang, i, d, kept[i])
+    assert judged > 500
+
+
+def test_a_start_that_is_led_astray_does_not_decide(spark):
+    """45 of 100 rows lie together far off: mean and covariance of all rows are theirs as much, the least determinant is not."""
+    draw = np.random.default_rng(3)
+    good, far = draw.normal(0, 900, (55, 4)), draw.normal(0, 700, (45, 4)) + [30_000, 20_000, -9_000, 12_000]
+    x = np.round(np.concatenate([good, far]))
+    df = spark.createDataFrame([("a", *map(int, v)) for v in x], "g string, v0 long, v1 long, v2 long, v3 long")
+    got = quality.least_determinants(df).first()
+    logdet, mean, *_ = independent(x)
+    assert abs(got.logdet - logdet) < 0.3 and np.abs(np.array([got[f"m{i}"] for i in range(4)]) - mean).max() < 500
+
+
+def test_verdicts_do_not_switch_at_any_number_of_rows(spark):
+    """One text far off is kept among few rows, since little is known, and rejected among more; 19 rows and 20 agree."""
+    draw = np.random.default_rng(4)
+    near, distance = np.round(draw.normal(0, 300, (30, 4))), []
+    for n in (1, 18, 19):
+        rows = [(i, "en", "s", False, *map(int, v)) for i, v in enumerate(near[:n])] + [(99, "en", "s", False, 30_000, 0, 0, 0)]
+        df = spark.createDataFrame(rows, "doc_id long, lang string, source string, base_failed boolean, v0 long, v1 long, v2 long, v3 long")
+        got = {r.doc_id: r for r in quality.with_verdict(df, *quality.robust_models(df.select("lang", "source", *quality.VECTOR))).collect()}
+        assert all(r.kept for i, r in got.items() if i != 99)
+        distance.append(got[99].distance)
+    # 19 rows in all and 20: with the odd one, the number from which the rows' own estimate stands alone.
+    assert distance[0] <= quality.CUTOFF < distance[1] < distance[2]
+
+
+def test_rows_all_alike_and_no_rows(spark):
+    schema = "doc_id long, lang string, source string, base_failed boolean, v0 long, v1 long, v2 long, v3 long"
+    same = spark.createDataFrame([(i, None, None, False, 5, 5, 5, 5) for i in range(40)], schema)
+    models = quality.robust_models(same.select("lang", "source", *quality.VECTOR))
+    assert all(r.kept and r.distance == 0 for r in quality.with_verdict(same, *models).collect())
+    none = same.limit(0)
+    assert quality.with_verdict(none, *quality.robust_models(none.select("lang", "source", *quality.VECTOR))).count() == 0
