@@ -157,3 +157,20 @@ def test_run_tracker_loses_no_check_over_several_batches(spark, folder):
     assert _tracked(spark, folder, "many", 1) == at_once
     with pytest.raises(LateRows):
         _tracked(spark, folder, "late", 1, late="0 seconds")
+
+
+def test_run_tracker_calls_into_python_by_bucket_not_by_run(spark, folder):
+    """Runs share buckets, even all of them one: each has the outcome it has alone, and is forgotten after its deadline."""
+    first = [(f"r{n}", AT + timedelta(seconds=n % 7), "Job Completed" if n % 3 == 0 else "Job Running", "") for n in range(60)]
+    second = [(f"r{n}", AT + timedelta(seconds=60 + n % 7), "Job Failed", "") for n in range(0, 60, 4)]
+    clock = [[("clock", AT + timedelta(seconds=s), "Job Running", "")] for s in (4300, 4301)]
+    for rows in (first, second, *clock):
+        spark.createDataFrame(rows, CHECK).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def want(n):
+        if n % 3 == 0:
+            return (f"r{n}", "Job Completed", 1)
+        return (f"r{n}", "Job Failed", 2) if n % 4 == 0 else (f"r{n}", TIMED_OUT, 1)
+
+    for buckets in (1, 7, 1024):
+        assert _tracked(spark, folder, f"by{buckets}", 1, late="600 seconds", buckets=buckets) == sorted(want(n) for n in range(60))
