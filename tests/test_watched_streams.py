@@ -1,8 +1,12 @@
 """Late rows, page chains and gated ingest on streams: nothing lost, in any order, on any retry."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +20,7 @@ from spendlake.streaming.finish import LateRows, finish
 from spendlake.streaming.gated import ERROR_PAGE, NO_OUTCOME, gated_stream, with_outcomes
 from spendlake.streaming.runs import track_runs
 
+REPO = Path(__file__).resolve().parents[1]
 AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 CHECK = "run_id string, observed_at timestamp, async_status string, error string"
 
@@ -115,6 +120,23 @@ def test_a_late_page_mends_an_overdue_chain(spark, folder):
     assert newest_reports(reports).select("pages", "complete", "overdue").collect() == [(2, True, False)]
 
 
+def test_chains_need_neither_the_package_on_workers_nor_a_state_store_setting(tmp_path):
+    """A session of its own, started elsewhere, with Spark's default state store: workers cannot import the package."""
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(REPO)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+import __spark_entry__ as driver
+print("rows", driver.queries()["stream_chain_check"](spark, "/root/testdata/sf0.001").count())
+print("store", spark.conf.get("spark.sql.streaming.stateStore.providerClass", "none").split(".")[-1])
+""")
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "rows 5" in done.stdout and "store none" in done.stdout, done.stderr[-3000:]
+
+
 def test_spans():
     draw = random.Random(3)
     for _ in range(200):
