@@ -16,20 +16,25 @@ def _reject(value: Column, bad: Column, good: Column, column: str, wanted: str,
     return F.when(bad, F.raise_error(message).cast(as_type)).otherwise(good)
 
 
+def _or_reject(good: Column, text: Column, column: str, wanted: str, as_type: str) -> Column:
+    """``good``, which is null for what cannot be read; NULL and "" give NULL.
+
+    Everything stands here once and briefly: there are many columns, and Java leaves the code of a row uncompiled if it is long.
+    """
+    message = F.concat(F.lit(f"{column}: not {wanted}: "), text.cast("string"))
+    return F.coalesce(good, F.when(text != "", F.raise_error(message).cast(as_type)))
+
+
 def to_double(text: Column, column: str = "value") -> Column:
     """Text to DOUBLE; NULL and "" give NULL, anything else that is no number raises."""
-    value = F.nullif(text, F.lit(""))
-    number = value.try_cast("double")
     # A cast reads Java's type suffix ("1.5d") as part of the number; such text is not a number.
-    suffixed = F.substring(F.rtrim(value), -1, 1).isin("d", "D", "f", "F") & value.rlike(r"[0-9.][dDfF]\s*$")
-    return _reject(value, value.isNotNull() & (number.isNull() | suffixed), number, column, "a number", "double")
+    number = F.when(~text.rlike(r"[0-9.][dDfF] *\z"), text.try_cast("double"))
+    return _or_reject(number, text, column, "a number", "double")
 
 
 def to_bigint(text: Column, column: str = "value") -> Column:
     """Text to BIGINT by way of DOUBLE, truncating toward zero; NaN and out-of-range values raise."""
-    number = to_double(text, column)
-    whole = number.try_cast("bigint")
-    return _reject(text, number.isNotNull() & whole.isNull(), whole, column, "a 64-bit whole number", "bigint")
+    return _or_reject(to_double(text, column).try_cast("bigint"), text, column, "a 64-bit whole number", "bigint")
 
 
 def to_boolean(leaf: Column, column: str = "value") -> Column:

@@ -33,7 +33,7 @@ def landed(
         F.struct(order.alias("order"), item.alias("item")).alias("entry"),
     )
     keys = ["ad_account_id", "run_id", "page_no"]
-    pages = cut.groupBy(*keys).agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    pages = cut.groupBy(*keys).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     if last_page is None:
         following = F.lit(None).cast("string")
     else:

@@ -4,6 +4,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from spendlake.functions.casts import to_bigint, to_double
 from spendlake.operators.project import conform, project, select_as
 from spendlake.plans.spec import TableSpec
 
@@ -121,3 +122,17 @@ def test_conform_fills_absent_columns(spark):
 def test_select_expressions(spark):
     out = select_as(spark.range(1), ["id", ("twice", "id * 2"), ("day", "CAST('2024-01-01' AS date)")])
     assert out.columns == ["id", "twice", "day"] and out.first().day == date(2024, 1, 1)
+
+
+def test_a_number_is_read_once_a_column(spark):
+    """Each conversion stands once in the plan; what is no number, or only Java's, raises as it did."""
+    df = spark.createDataFrame([("7",), ("",), (None,), (" 2.9 ",), ("inf",), ("1.5d\t",)], "t string")
+    plan = df.select(to_bigint(F.col("t"), "t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double") == 1 and plan.count("as bigint") <= 2 and plan.count("RLIKE") == 1
+    assert [r[0] for r in df.select(to_double(F.col("t"))).collect()] == [7.0, None, None, 2.9, float("inf"), 1.5]
+    for text in ("x", "1.5d", "2F  ", " ", "nan1"):
+        with pytest.raises(Exception, match="t: not a number"):
+            spark.createDataFrame([(text,)], "t string").select(to_double(F.col("t"), "t")).collect()
+    for text in ("1e30", "NaN", "inf"):
+        with pytest.raises(Exception, match="t: not a 64-bit whole number"):
+            spark.createDataFrame([(text,)], "t string").select(to_bigint(F.col("t"), "t")).collect()
