@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import row_slices, stored
+from spendlake.llm.common import discard, row_slices, stored
 from spendlake.llm.lm import pack, unpack
 from spendlake.llm.words import LOWER, hashes, text_bytes
 
@@ -291,7 +291,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     blocks = _stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
-    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stored(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("f"))
     frequent = each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     # Read back from files, whose rows keep their order, so the ids stay.
@@ -301,6 +301,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     places = places.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("w"))
     known = blocks.select("block", "body", F.size("words").alias("size")).join(places, "block")
     coded = stored(known.select("body", "size", "w.place", "w.id").mapInArrow(_coded, "body binary"), "coded")
+    discard(blocks)
 
     def at_least(found: list[DataFrame]) -> DataFrame:
         every = reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint"))
@@ -310,9 +311,11 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     for words in range(3, longest + 1):
         found = _over_tries(coded, levels[-1], words - 1, lambda t, alone, w=words: _grow(w, t, alone), "windows")
         levels.append(at_least(found))
+        discard(*found)
     candidates = reduce(DataFrame.union, levels)
-    counted = _over_tries(coded, candidates, longest, lambda t, _: _occurrences(t), "occurrences")
-    counted = stored(reduce(DataFrame.union, counted, spark.createDataFrame([], "key binary, a bigint")), "phrases")
+    found = _over_tries(coded, candidates, longest, lambda t, _: _occurrences(t), "occurrences")
+    counted = stored(reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint")), "phrases")
+    discard(*found, coded)
     parts = counted.union(frequent.select(_key("id").alias("key"), F.col("f").alias("a")))
     length = F.octet_length("key") / 8
     cuts = counted.select("key", "a", F.explode(F.sequence(F.lit(1), length.cast("int") - 1)).alias("k"))

@@ -3,12 +3,14 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from spendlake.llm import collocations as c
+from spendlake.session import shared_dir
 
 FIELDS = "doc_id bigint, text string, lang string"
 
@@ -69,6 +71,16 @@ def test_parameters(spark, rows):
         c.collocations(df, longest=1)
 
 
+def test_large_scratch_tables_go_once_read(spark, rows):
+    """What candidates and counts were made of is removed as soon as they are stored."""
+    folder = Path(shared_dir(spark))
+    before = set(folder.iterdir())
+    found = c.collocations(spark.createDataFrame(rows, FIELDS), least=12, top=30)
+    left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
+    assert not left & {"blocks", "coded", "windows", "occurrences"} and "phrases" in left
+    assert found.count() > 0
+
+
 def test_nothing_frequent(spark):
     assert c.collocations(spark.createDataFrame([], FIELDS)).count() == 0
     assert c.collocations(spark.createDataFrame([(1, "a b c", "en"), (2, None, None)], FIELDS)).count() == 0
