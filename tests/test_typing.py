@@ -128,7 +128,7 @@ def test_a_number_is_read_once_a_column(spark):
     """Each conversion stands once in the plan; what is no number, or only Java's, raises as it did."""
     df = spark.createDataFrame([("7",), ("",), (None,), (" 2.9 ",), ("inf",), ("1.5d\t",)], "t string")
     plan = df.select(to_bigint(F.col("t"), "t"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("as double") == 1 and plan.count("as bigint") <= 2 and plan.count("RLIKE") == 1
+    assert plan.count("try_cast(") == 2
     assert [r[0] for r in df.select(to_double(F.col("t"))).collect()] == [7.0, None, None, 2.9, float("inf"), 1.5]
     for text in ("x", "1.5d", "2F  ", " ", "nan1"):
         with pytest.raises(Exception, match="t: not a number"):
