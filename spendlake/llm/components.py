@@ -19,21 +19,24 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(row)
 
 
+def _links(rows: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """A link ``a, b`` for each of the pairs of columns of each row, in one pass over the rows."""
+    pairs = F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in ends))
+    return rows.select(F.explode(pairs).alias("link")).select("link.a", "link.b")
+
+
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node``, ``component`` (smallest node reached) of every node in a link; links with null or to itself are ignored."""
     edges = links.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
     edges = stored(edges.where("a > b").distinct(), "links")
     mark = _mark(edges)
     while mark[0]:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        up = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = _links(edges, ("a", "b"), ("b", "a")).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = up.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select("a", F.col("m").alias("b")).union(
-            small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
+        small = _links(large.join(least, "a"), ("a", "m"), ("b", "m")).where("a > b")
         last, edges = edges, stored(small.distinct(), "links")
         discard(last)
         before, mark = mark, _mark(edges)

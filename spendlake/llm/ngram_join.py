@@ -303,7 +303,11 @@ def _tile(percent: int):
 
 
 def _tiles(members: DataFrame, percent: int) -> DataFrame:
-    """Tiles of the clusters: ``cls``, ``id`` of a text that has the set, ``tile``. Members: cluster, cls, n, id."""
+    """Tiles of the clusters: ``cls``, ``id`` of a text that has the set, ``tile``. Members: cluster, cls, n, id. Stored.
+
+    What several steps read is stored too, else the plan would repeat it in each of them, with hundreds of stages that the
+    driver plans and keeps track of at once.
+    """
     # A little wider than the ratio of sizes, so that rounding never puts similar sizes two bands apart.
     width = math.log(100 / percent) * 1.001 if percent < 100 else 1e-9
     banded = members.withColumn("band", F.floor(F.log("n") / F.lit(width)).cast("long"))
@@ -314,6 +318,7 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
         .withColumn("small", F.col("all") <= 3 * BLOCK)
         .withColumn("blocks", F.when(F.col("small"), 1).otherwise(F.ceil(F.col("own") / BLOCK)))
     )
+    blocks = stored(blocks, "blocks")
     small = blocks.where("small").select("cluster", "band")
     large = blocks.where("not small").select("cluster", "band", "blocks")
     one = large.select("cluster", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
@@ -321,19 +326,23 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     beside = one.join(two.withColumn("band", F.col("band2") - 1), ["cluster", "band"])
     pairs = beside.union(one.join(two.withColumn("band", F.col("band2")), ["cluster", "band"]).where("block2 > block"))
     named = pairs.withColumn("tile", F.xxhash64("cluster", "band", "block", "band2", "block2"))
-    ends = named.select("cluster", "band", "block", "tile").union(named.select("cluster", "band2", "block2", "tile")).distinct()
+    place = lambda band, block: F.struct("cluster", F.col(band).alias("band"), F.col(block).alias("block"), "tile")
+    ends = named.select(F.explode(F.array(place("band", "block"), place("band2", "block2"))).alias("end")).select("end.*")
+    ends = paired = stored(ends.distinct(), "ends")
     # A tile compares each of its blocks with itself too; only a block without a partner needs a tile of its own.
     lone = one.join(ends, ["cluster", "band", "block"], "left_anti")
     ends = ends.union(lone.select("cluster", "band", "block", F.xxhash64("cluster", "band", "block").alias("tile")))
     of_small = banded.join(small, ["cluster", "band"]).select("cls", "id", F.xxhash64("cluster").alias("tile"))
     in_blocks = banded.join(large, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     of_large = in_blocks.join(ends, ["cluster", "band", "block"]).select("cls", "id", "tile")
-    return of_small.union(of_large)
+    tiles = stored(of_small.union(of_large), "tiles")
+    discard(blocks, paired)
+    return tiles
 
 
 def _links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> list[DataFrame]:
     """Links ``a, b`` found in all tiles, a stored table for each wave of tiles; its shuffle goes once they are stored."""
-    tiles = stored(_tiles(members, percent), "tiles")
+    tiles = _tiles(members, percent)
     sizes = members.select("cls", "n")
     own = members.agg(F.sum("n")).first()[0] or 0
     sent = tiles.join(small_side(sizes), "cls").agg(F.sum("n")).first()[0] or 0

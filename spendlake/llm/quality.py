@@ -195,9 +195,12 @@ def _distance() -> Column:
     return sum((y * y for y in solved[1:]), solved[0] * solved[0])
 
 
-def _concentrate(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """Per group and start: mean and covariance of the nearer half, and the scale that brings the median distance to chi square's."""
-    near = rows.join(small_side(model), "g")
+def _concentrate(rows: DataFrame, model: DataFrame, models: int | None = None) -> DataFrame:
+    """Per group and start: mean and covariance of the nearer half, and the scale that brings the median distance to chi square's.
+
+    ``models``: how many there are, if they are counted already.
+    """
+    near = rows.join(small_side(model, models), "g")
     d2 = F.greatest(_distance(), F.lit(1e-6))
     near = near.select("g", "s", *VECTOR, F.floor(F.log(d2) * BINS_PER_UNIT).alias("bin"))
     bins = near.groupBy("g", "s", "bin").agg(
@@ -227,8 +230,8 @@ def least_determinants(rows: DataFrame) -> DataFrame:
     numbers = [*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i, j in PAIRS)]
     # A start is no half's covariance, so whatever the first step gives is taken.
     state = stored(_starts(rows).select("g", "s", *numbers, F.lit(float("inf")).alias("logdet"), F.lit(True).alias("falls")), "model")
-    while not state.where("falls").isEmpty():
-        step = _concentrate(rows, _factored(state.where("falls")))
+    while falling := state.where("falls").count():
+        step = _concentrate(rows, _factored(state.where("falls")), falling)
         step = _factored(step.withColumns({f"new_{c}": F.col(c) for c in numbers})).withColumnRenamed("logdet", "new_logdet")
         step = step.select("g", "s", "new_logdet", *(f"new_{c}" for c in numbers))
         falls = F.coalesce(F.col("new_logdet") < F.col("logdet") - FALL, F.lit(False))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -93,6 +94,21 @@ def test_ngram_join_of_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 4, 85)[0]
 
 
+def test_plans_of_the_join_stay_small(docs, monkeypatch):
+    """No table is made by a plan of very many shuffles, which the driver would track all at once."""
+    sizes, write = {}, ngram_join.stored
+
+    def counted(df, name, *args):
+        # Without adaptive execution's notes; a shuffle is an exchange of the plan.
+        sizes[name] = max(sizes.get(name, 0), df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name, *args)
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    monkeypatch.setattr(sys.modules[components.__module__], "stored", counted)
+    assert ngram_join.ngram_components(docs, words=4, percent=85).count() == docs.count()
+    assert "tiles" in sizes and max(sizes.values()) <= 12, sizes
+
+
 def test_one_per_component(docs, rows):
     _, group = brute_components(rows, 5, 80)
     kept = ngram_join.one_per_component(docs, words=5, percent=80)
