@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlake.llm.common import free_name, stored
+from spendlake.llm.common import free_name, row_slices, stored
 
 #: Code points of a chunk and of the overlap with the next one; longer texts are cut.
 CHUNK, OVERLAP = 1 << 15, 512
+#: Bytes of texts encoded and digested at a time.
+TEXT_BYTES = 1 << 21
 
 
 def vocabulary_path() -> str:
@@ -117,9 +119,11 @@ def _encode(vocabulary: Vocabulary):
 
     def run(batches):
         codec = vocabulary.codec[0]
-        for b in batches:
-            ids = [np.array(codec.encode_ordinary(x.as_py() or ""), np.uint32).tobytes() for x in b.column(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.binary())], names=[*b.schema.names[:-1], "ids"])
+        for whole in batches:
+            for begin, end in row_slices(whole.column(whole.num_columns - 1), TEXT_BYTES):
+                b = whole.slice(begin, end - begin)
+                ids = [np.array(codec.encode_ordinary(x.as_py() or ""), np.uint32).tobytes() for x in b.column(b.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.binary())], names=[*b.schema.names[:-1], "ids"])
 
     return run
 
@@ -139,8 +143,8 @@ def _joined_digests(vocabulary: Vocabulary):
 
 def _pieces(longs: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """``uid, piece, body`` of the long texts (``uid, text``): what is encoded on its own."""
-    windows = stored(longs.mapInArrow(_chunks(chunk, overlap), "uid bigint, k bigint, window string").repartition("uid", "k"), "chunks")
-    borders = stored(windows.mapInArrow(_borders(chunk, overlap, pattern), BORDERS), "borders")
+    windows = stored(longs.mapInArrow(_chunks(chunk, overlap), "uid bigint, k bigint, window string").repartition("uid", "k"), "chunks", slim=True)
+    borders = stored(windows.mapInArrow(_borders(chunk, overlap, pattern), BORDERS), "borders", slim=True)
     before = borders.select("uid", (F.col("k") + 1).alias("k"), F.col("tails").alias("known"))
     cuts = borders.join(before, ["uid", "k"], "left").select("uid", "k", F.array_min(F.array_intersect("heads", "known")).alias("cut"))
     ends = cuts.select("uid", (F.col("k") - 1).alias("k"), F.col("cut").alias("end"))
@@ -173,10 +177,14 @@ def encode_digests(
     docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: Vocabulary | None = None,
     chunk: int = CHUNK, overlap: int = OVERLAP,
 ) -> DataFrame:
-    """``digests(encode(...))`` with one Python worker a task: ids are digested where they arise and go nowhere else."""
+    """``digests(encode(...))`` with one Python worker a task: ids are digested where they arise and go nowhere else.
+
+    Stored, so that texts go to Python a few megabytes at a time, whatever the session's batches are.
+    """
     vocabulary = vocabulary or Vocabulary(docs.sparkSession)
     ids, digest = _encode(vocabulary), _with_digests(vocabulary, "ids")
-    return _whole_texts(docs, key, text, vocabulary, chunk, overlap, lambda b: digest(ids(b)), _joined_digests(vocabulary), DIGESTS)
+    rows = _whole_texts(docs, key, text, vocabulary, chunk, overlap, lambda b: digest(ids(b)), _joined_digests(vocabulary), DIGESTS)
+    return stored(rows, "digests", slim=True)
 
 
 def _whole_texts(

@@ -17,21 +17,26 @@ from spendlake.storage import delete
 BROADCAST_ROWS = 1_000_000
 #: Spark's setting that removes a query's shuffle files when the query ends.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of rows that go to Python at a time, however many rows those are, and Spark's setting for it.
+BATCH_BYTES, BYTES_AT_A_TIME = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
     """The rows written to a new table in the shared folder and read back: cuts lineage, survives lost executors.
 
-    Once the table is whole, nothing reads the shuffles that led to it, so their files go at once; the session's own
-    setting for that is put back.
+    Once the table is whole, nothing reads the shuffles that led to it, so their files go at once. ``slim``: Python gets
+    few bytes at a time, for a batch lies several times in an executor's memory. The session's own settings are put back.
     """
     path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
-    before = conf.get(CLEAN_SHUFFLES, None)
-    conf.set(CLEAN_SHUFFLES, "true")
+    own = {CLEAN_SHUFFLES: "true"} | ({BYTES_AT_A_TIME: str(BATCH_BYTES)} if slim else {})
+    before = {setting: conf.get(setting, None) for setting in own}
     try:
+        for setting, value in own.items():
+            conf.set(setting, value)
         df.write.parquet(path)
     finally:
-        conf.unset(CLEAN_SHUFFLES) if before is None else conf.set(CLEAN_SHUFFLES, before)
+        for setting, value in before.items():
+            conf.unset(setting) if value is None else conf.set(setting, value)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table

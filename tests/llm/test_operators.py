@@ -289,6 +289,18 @@ def test_byte_bpe_without_boundaries(spark, tiktoken_ids):
     assert {r.doc_id: bytes(r.text).decode() for r in bpe.decode(encoded).collect()} == dict(enumerate(texts))
 
 
+def test_byte_bpe_takes_few_texts_at_a_time(spark, tiktoken_ids):
+    """However large a batch is, its texts are encoded and handed on in slices; the digests go to Python slim."""
+    texts = ["ab c " * 200_000, None, "x y " * 300_000, "z"]
+    b = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": texts})
+    out = list(bpe._encode(bpe.Vocabulary(spark))([b]))
+    assert [x.num_rows for x in out] == [2, 2]
+    got = [np.frombuffer(i.as_py(), "<u4").tolist() for x in out for i in x.column("ids")]
+    assert got == [tiktoken_ids(t or "") for t in texts]
+    rows = bpe.encode_digests(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
+    assert hasattr(rows, "stored_at") and rows.count() == 1
+
+
 def test_rans_round_trip():
     draw = np.random.default_rng(4)
     for size in (0, 1, rans.BLOCK, 3 * rans.BLOCK + 17):
