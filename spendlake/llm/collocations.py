@@ -33,6 +33,8 @@ BLOCK_BYTES = 1 << 20
 ROWS, ROWS_AT_A_TIME = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Phrases of a trie, which is what is broadcast: at most some 100 MB with all its arrays.
 SHARD = 500_000
+#: Windows or phrases that a task hands on at a time.
+FOUND = 50_000
 #: Bytes that separate words, and bytes that end a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -100,10 +102,10 @@ def _coded(batches) -> Iterator[pa.RecordBatch]:
     """Blocks with the ids of frequent words, runs of other words and breaks as one 0."""
     for b in batches:
         bodies = []
-        for body, size, places, ids in zip(*(c.to_pylist() for c in b.columns)):
-            table = np.zeros(size + 1, np.int64)
-            table[np.array(places, np.int64) + 1] = ids
-            out = table[unpack(body, np.uint32)]
+        for body, size, places, ids in zip(*b.columns):
+            table = np.zeros(size.as_py() + 1, np.int64)
+            table[places.values.to_numpy() + 1] = ids.values.to_numpy()
+            out = table[unpack(body.as_py(), np.uint32)]
             keep = out != 0
             keep[1:] |= out[:-1] != 0
             bodies.append(pack(out[keep]))
@@ -218,8 +220,9 @@ def _grow(words: int, trie=None, alone: bool = True):
                 at = np.flatnonzero((left[: len(ids) - step] >= 0) & (right[step:] >= 0))
                 pairs = left[at] * (int(right.max(initial=0)) + 1) + right[at + step]
                 _, first, counts = np.unique(pairs, return_index=True, return_counts=True)
-                if len(first):
-                    yield _counted(ids[at[first][:, None] + np.arange(words)], counts)
+                for begin in range(0, len(first), FOUND):
+                    own = at[first[begin : begin + FOUND]]
+                    yield _counted(ids[own[:, None] + np.arange(words)], counts[begin : begin + FOUND])
 
     return run
 
@@ -236,7 +239,9 @@ def _occurrences(trie):
                     ended = t.accept[states]
                     counts += np.bincount(ended[ended >= 0], minlength=len(counts))
         some = np.flatnonzero(counts)
-        yield _counted(t.phrases[some], counts[some])
+        for begin in range(0, len(some), FOUND):
+            own = some[begin : begin + FOUND]
+            yield _counted(t.phrases[own], counts[own])
 
     return run
 
@@ -256,7 +261,7 @@ def _tries(candidates: DataFrame, words: int) -> Iterator[tuple[object, bool]]:
 
 def _over_tries(blocks: DataFrame, candidates: DataFrame, words: int, job, name: str) -> list[DataFrame]:
     """The stored result of ``job(trie, alone)`` over all blocks for each trie."""
-    return [stored(blocks.mapInArrow(job(t, alone), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), name) for t, alone in _tries(candidates, words)]
+    return [stored(blocks.mapInArrow(job(t, alone), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), name, slim=True) for t, alone in _tries(candidates, words)]
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -265,7 +270,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(ROWS_AT_A_TIME, None)
     conf.set(ROWS_AT_A_TIME, str(ROWS))
     try:
-        return stored(df, name)
+        return stored(df, name, slim=True)
     finally:
         conf.unset(ROWS_AT_A_TIME) if before is None else conf.set(ROWS_AT_A_TIME, before)
 
@@ -300,12 +305,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     # As many rows as a block has words.
     places = places.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("w"))
     known = blocks.select("block", "body", F.size("words").alias("size")).join(places, "block")
-    coded = stored(known.select("body", "size", "w.place", "w.id").mapInArrow(_coded, "body binary"), "coded")
+    coded = stored(known.select("body", "size", "w.place", "w.id").mapInArrow(_coded, "body binary"), "coded", slim=True)
     discard(blocks)
 
     def at_least(found: list[DataFrame]) -> DataFrame:
         every = reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint"))
-        return stored(every.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "candidates")
+        return stored(every.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "candidates", slim=True)
 
     levels = [at_least([coded.mapInArrow(_grow(2), "key binary, a bigint")])]
     for words in range(3, longest + 1):

@@ -4,8 +4,10 @@ import random
 import re
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,41 @@ def test_large_scratch_tables_go_once_read(spark, rows):
     assert found.count() > 0
 
 
+def test_tasks_hand_on_few_rows_at_a_time(monkeypatch):
+    """Windows and occurrences leave a task in small batches, however many phrases there are."""
+    monkeypatch.setattr(c, "FOUND", 4, raising=False)
+    ids = np.arange(1, 12)
+    body = pa.RecordBatch.from_pydict({"body": [c.pack(ids)]})
+    windows = list(c._grow(2)([body]))
+    trie = SimpleNamespace(value=c.DoubleArray(np.stack([ids[:-1], ids[1:]], 1)))
+    found = list(c._occurrences(trie)([body]))
+    for out in (windows, found):
+        assert [b.num_rows for b in out] == [4, 4, 2]
+        assert sorted((k, a) for b in out for k, a in zip(*(x.to_pylist() for x in b.columns))) == sorted((np.array([i, i + 1], ">i8").tobytes(), 1) for i in range(1, 11))
+
+
+def test_words_of_blocks_are_no_python_numbers():
+    """Ids go to blocks as arrays: a list of numbers takes ten times the memory of a block."""
+    columns = {"body": [c.pack(np.array([1, 2, 0, 3, 1], np.uint32)), c.pack(np.array([2, 1], np.uint32))], "size": [3, 2]}
+    b = pa.RecordBatch.from_pydict(columns | {"place": [[0, 2], [1]], "id": [[7, 9], [5]]}, schema=pa.schema([("body", pa.binary()), ("size", pa.int32()), ("place", pa.list_(pa.int32())), ("id", pa.list_(pa.int64()))]))
+    whole = SimpleNamespace(columns=[*b.columns[:2], *(Guarded(x) for x in b.columns[2:])])
+    (out,) = c._coded([whole])
+    assert [c.unpack(x.as_py(), np.int64).tolist() for x in out.column(0)] == [[7, 0, 9, 7], [5, 0]]
+
+
+class Guarded:
+    """A column that can be read by row, but not as a list of numbers."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def __iter__(self):
+        return iter(self.column)
+
+    def to_pylist(self):
+        raise AssertionError("all numbers of a batch as Python objects")
+
+
 def test_nothing_frequent(spark):
     assert c.collocations(spark.createDataFrame([], FIELDS)).count() == 0
     assert c.collocations(spark.createDataFrame([(1, "a b c", "en"), (2, None, None)], FIELDS)).count() == 0
