@@ -2,12 +2,15 @@
 
 Texts become blocks of one language: words as numbers of the block's own vocabulary, 0 between pieces. Words are counted
 as strings; every word that is frequent in its language gets an id, and blocks are written once more with these ids, all
-other words as breaks, for no frequent phrase contains them (Apriori). From then on only numbers are read.
+other words as breaks, for no frequent phrase contains them (Apriori). Ids reach the blocks as broadcast lexicons of a
+bounded size, one after the other, so neither blocks nor their words are shuffled. From then on only numbers are read.
 
 Candidates grow a word at a time: a window of k words is looked at only if both its parts of k - 1 words are frequent,
-which tries of the level before tell. All candidates go to double-array tries of a bounded size (shards of the candidates
-by hash), broadcast one after the other. A task moves all positions of a block through a trie at once, a word a level, and
-counts accepting states; the sums over tasks and shards are the occurrences that scores are made of.
+which tries of the level before tell. Most windows are rare, so they are summed by slots first, at least as many as the
+table has words: a task sends gaps between its slots and counts, a byte or two a window. A frequent window is in a frequent
+slot, and only windows in these are summed by their ids. All candidates go to double-array tries of a bounded size (shards
+of the candidates by hash), broadcast one after the other. A task moves all positions of a block through a trie at once, a
+word a level, and counts accepting states; the sums over tasks and shards are the occurrences that scores are made of.
 
 Within a block words are told apart by 64-bit hashes, elsewhere by their strings and ids.
 """
@@ -19,13 +22,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spendlake.llm import lm
 from spendlake.llm.common import discard, row_slices, stored
-from spendlake.llm.lm import pack, unpack
-from spendlake.llm.words import LOWER, hashes, text_bytes
+from spendlake.llm.words import LOWER, hashes, mix, seeds, text_bytes
 
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -35,6 +38,10 @@ ROWS, ROWS_AT_A_TIME = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHARD = 500_000
 #: Windows or phrases that a task hands on at a time.
 FOUND = 50_000
+#: Words of a lexicon and frequent slots that are broadcast at a time: some 20 and 30 MB.
+LEXICON, SLOTS = 500_000, 4_000_000
+#: Bits of a slot within its part, whose counts lie in a task's memory, and slots that a task holds before it hands them on.
+PART_BITS, HELD = 21, 2_000_000
 #: Bytes that separate words, and bytes that end a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -42,7 +49,19 @@ _IN_WORD, _BREAK = np.ones(256, bool), np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
 _IN_WORD[list(BLANKS + BREAKS)] = False
 
-BLOCK = "block bigint, lang string, n bigint, body binary, words array<string>, counts array<bigint>"
+BLOCK = "lang string, n bigint, body binary, words array<string>, counts array<bigint>"
+#: Blocks with the places in ``words`` whose ids are known, and the ids.
+KNOWN = "lang string, words array<string>, body binary, size int, place array<int>, id array<bigint>"
+
+
+def pack(x: np.ndarray) -> bytes:
+    """An array compressed with its bytes of equal weight side by side: those of small numbers are mostly 0."""
+    return lm.pack(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T)
+
+
+def unpack(x: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(lm.unpack(x, np.uint8).reshape(width, -1).T).reshape(-1).view(dtype)
 
 
 def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
@@ -51,7 +70,7 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str
 
 
 def _numbered(data: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Words of the bytes as numbers from 1 with 0 between pieces, the words, and how often each occurs."""
+    """Words of the bytes as numbers from 1 with 0 between pieces, the words, and how often each occurs, most frequent first."""
     data = LOWER[data]
     edges = np.diff(_IN_WORD[data].astype(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -59,6 +78,8 @@ def _numbered(data: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
         return np.zeros(0, np.uint32), [], np.zeros(0, np.int64)
     piece = np.cumsum(_BREAK[data], dtype=np.uint32)[starts]
     _, first, number, counts = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    first, number, counts = first[order], np.argsort(order)[number], counts[order]
     new = np.diff(piece, prepend=piece[0]) != 0
     out = np.zeros(len(starts) + int(new.sum()), np.uint32)
     out[np.arange(len(starts)) + np.cumsum(new)] = number + 1
@@ -66,7 +87,6 @@ def _numbered(data: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 
 def _blocks(batches) -> Iterator[pa.RecordBatch]:
-    task, number = TaskContext.get().partitionId(), 0
     held: dict[str, list[np.ndarray]] = {}
     sizes: dict[str, int] = {}
 
@@ -74,9 +94,9 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
         body, words, counts = _numbered(np.concatenate(held.pop(lang)))
         del sizes[lang]
         pa.default_memory_pool().release_unused()
-        columns = [[(task << 32) + number], [lang], [int(counts.sum())], [pack(body)], [words], [counts]]
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        names = ["block", "lang", "n", "body", "words", "counts"]
+        columns = [[lang], [int(counts.sum())], [pack(body)], [words], [counts]]
+        kinds = [pa.string(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+        names = ["lang", "n", "body", "words", "counts"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     for b in batches:
@@ -92,10 +112,33 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
                 sizes[lang] = sizes.get(lang, 0) + len(data)
                 while sizes and (sizes.get(lang, 0) >= BLOCK_BYTES or sum(sizes.values()) >= 4 * BLOCK_BYTES):
                     yield block(max(sizes, key=sizes.get))
-                    number += 1
     for lang in list(held):
         yield block(lang)
-        number += 1
+
+
+def _known(lexicon):
+    """Blocks with the ids of those of their words that are in the lexicon, besides the ids they have."""
+
+    def run(batches):
+        for b in batches:
+            places, ids = [], []
+            for lang, words, place, own in zip(b["lang"], b["words"], b["place"], b["id"]):
+                known, numbers = lexicon.value.get(lang.as_py(), (pa.array([], words.values.type), np.zeros(0, np.int64)))
+                found = pa.compute.fill_null(pa.compute.index_in(words.values, value_set=known), -1).to_numpy()
+                at = np.flatnonzero(found >= 0)
+                places.append(np.concatenate([place.values.to_numpy(), at]))
+                ids.append(np.concatenate([own.values.to_numpy(), numbers[found[at]]]))
+            columns = [*(b[name] for name in ("lang", "words", "body", "size")), pa.array(places, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "body", "size", "place", "id"])
+
+    return run
+
+
+def _known_coded(lexicon):
+    def run(batches):
+        return _coded(b.select(["body", "size", "place", "id"]) for b in _known(lexicon)(batches))
+
+    return run
 
 
 def _coded(batches) -> Iterator[pa.RecordBatch]:
@@ -201,8 +244,9 @@ def _counted(windows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([_keys(windows), pa.array(counts, pa.int64())], names=["key", "a"])
 
 
-def _grow(words: int, trie=None, alone: bool = True):
-    """Windows of ``words`` words whose part without the last word is in the trie, and (``alone``: it holds all) the other part."""
+def _windows(words: int, trie=None, alone: bool = True):
+    """Each block's ids, where its windows of ``words`` words begin (once for equal ones) and how often each occurs: those
+    whose part without the last word is in the trie, and (``alone``: it holds all) the other part."""
 
     def run(batches):
         for b in batches:
@@ -220,9 +264,72 @@ def _grow(words: int, trie=None, alone: bool = True):
                 at = np.flatnonzero((left[: len(ids) - step] >= 0) & (right[step:] >= 0))
                 pairs = left[at] * (int(right.max(initial=0)) + 1) + right[at + step]
                 _, first, counts = np.unique(pairs, return_index=True, return_counts=True)
-                for begin in range(0, len(first), FOUND):
-                    own = at[first[begin : begin + FOUND]]
-                    yield _counted(ids[own[:, None] + np.arange(words)], counts[begin : begin + FOUND])
+                yield ids, at[first], counts
+
+    return run
+
+
+def _slots(ids: np.ndarray, at: np.ndarray, words: int, bits: int) -> np.ndarray:
+    """The slot, of 2 ** ``bits``, of each window of ``words`` words."""
+    factors, own = seeds(words, 31), ids.astype(np.uint64)
+    return (mix(sum(own[at + i] * factors[i] for i in range(words))) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _grow(words: int, trie=None, alone: bool = True, slots=None, bits: int = 0):
+    """Windows (see ``_windows``) and how often they occur; with ``slots``, sorted, those in one of these."""
+
+    def run(batches):
+        for ids, at, counts in _windows(words, trie, alone)(batches):
+            if slots is not None:
+                own = _slots(ids, at, words, bits)
+                place = np.searchsorted(slots.value, own)
+                place[place == len(slots.value)] = 0
+                inside = slots.value[place] == own
+                at, counts = at[inside], counts[inside]
+            for begin in range(0, len(at), FOUND):
+                own = at[begin : begin + FOUND]
+                yield _counted(ids[own[:, None] + np.arange(words)], counts[begin : begin + FOUND])
+
+    return run
+
+
+def _slot_counts(words: int, trie, alone: bool, bits: int, least: int):
+    """How often windows fall into slots: by part of the slots, the gaps between them and the counts (``least`` at most, for
+    sums are only compared with it)."""
+
+    def handed_on(held):
+        slots, number = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
+        counts = np.bincount(number, np.concatenate([c for _, c in held])).astype(np.int64)
+        parts, begins = np.unique(slots >> PART_BITS, return_index=True)
+        bodies = []
+        for part, begin, end in zip(parts.tolist(), begins, [*begins[1:], len(slots)]):
+            gaps = np.diff(slots[begin:end], prepend=part << PART_BITS)
+            bodies.append(pack(np.concatenate([gaps, np.minimum(counts[begin:end], least)])))
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(bodies, pa.binary())], names=["part", "body"])
+
+    def run(batches):
+        held, size = [], 0
+        for ids, at, counts in _windows(words, trie, alone)(batches):
+            held.append((_slots(ids, at, words, bits), counts))
+            size += len(at)
+            if size >= HELD:
+                yield handed_on(held)
+                held, size = [], 0
+        if size:
+            yield handed_on(held)
+
+    return run
+
+
+def _frequent_slots(least: int):
+    """Slots of a part into which ``least`` windows or more fall."""
+
+    def run(key, table):
+        total = np.zeros(1 << PART_BITS, np.int64)
+        for body in table.column("body"):
+            gaps, counts = unpack(body.as_py(), np.int64).reshape(2, -1)
+            total[np.cumsum(gaps)] += counts
+        return pa.table({"slot": (key[0].as_py() << PART_BITS) + np.flatnonzero(total >= least)})
 
     return run
 
@@ -246,6 +353,21 @@ def _occurrences(trie):
     return run
 
 
+def _lexicons(frequent: DataFrame) -> Iterator[tuple[object, bool]]:
+    """Broadcast lexicons of shards of the frequent words (of each language the words and their ids), one at a time, and
+    whether it is the last."""
+    spark = frequent.sparkSession
+    shards = max(1, -(-frequent.count() // LEXICON))
+    for shard in range(shards):
+        part = frequent if shards == 1 else frequent.where(F.pmod(F.xxhash64("lang", "word"), F.lit(shards)) == shard)
+        # About LEXICON words.
+        rows = part.select("lang", "word", "id").toArrow().combine_chunks()
+        own = {x: rows.filter(pa.compute.equal(rows["lang"], x)) for x in rows["lang"].unique().to_pylist()}
+        lexicon = spark.sparkContext.broadcast({x: (t["word"].combine_chunks(), t["id"].to_numpy()) for x, t in own.items()})
+        yield lexicon, shard == shards - 1
+        lexicon.destroy()
+
+
 def _tries(candidates: DataFrame, words: int) -> Iterator[tuple[object, bool]]:
     """Broadcast tries of shards of the candidates, one at a time, and whether there is just one."""
     spark = candidates.sparkSession
@@ -259,9 +381,21 @@ def _tries(candidates: DataFrame, words: int) -> Iterator[tuple[object, bool]]:
         trie.destroy()
 
 
-def _over_tries(blocks: DataFrame, candidates: DataFrame, words: int, job, name: str) -> list[DataFrame]:
-    """The stored result of ``job(trie, alone)`` over all blocks for each trie."""
-    return [stored(blocks.mapInArrow(job(t, alone), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), name, slim=True) for t, alone in _tries(candidates, words)]
+def _frequent_windows(blocks: DataFrame, words: int, least: int, bits: int, trie=None, alone: bool = True) -> list[DataFrame]:
+    """Stored windows that occur ``least`` times or more; each window's first part is in one trie only."""
+    spark = blocks.sparkSession
+    sums = blocks.mapInArrow(_slot_counts(words, trie, alone, bits, least), "part bigint, body binary")
+    slots = stored(sums.groupBy("part").applyInArrow(_frequent_slots(least), "slot bigint"), "slots", slim=True)
+    shards, found = -(-slots.count() // SLOTS), []
+    for shard in range(shards):
+        part = slots if shards == 1 else slots.where(F.pmod("slot", F.lit(shards)) == shard)
+        # About SLOTS numbers.
+        own = spark.sparkContext.broadcast(np.sort(part.toArrow().column(0).to_numpy()))
+        windows = blocks.mapInArrow(_grow(words, trie, alone, own, bits), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
+        found.append(stored(windows.where(F.col("a") >= least), "candidates", slim=True))
+        own.destroy()
+    discard(slots)
+    return found
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -298,28 +432,31 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     blocks = _stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
     totals = stored(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("f"))
-    frequent = each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    # Read back from files, whose rows keep their order, so the ids stay.
-    frequent = stored(stored(frequent, "frequent").withColumn("id", F.monotonically_increasing_id() + 1), "words")
-    places = blocks.select("block", "lang", F.posexplode("words").alias("place", "word")).join(frequent.select("lang", "word", "id"), ["lang", "word"])
-    # As many rows as a block has words.
-    places = places.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("w"))
-    known = blocks.select("block", "body", F.size("words").alias("size")).join(places, "block")
-    coded = stored(known.select("body", "size", "w.place", "w.id").mapInArrow(_coded, "body binary"), "coded", slim=True)
-    discard(blocks)
-
-    def at_least(found: list[DataFrame]) -> DataFrame:
-        every = reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint"))
-        return stored(every.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "candidates", slim=True)
-
-    levels = [at_least([coded.mapInArrow(_grow(2), "key binary, a bigint")])]
+    frequent = stored(each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "frequent")
+    # Stored with the words, so the ids stay; frequent words have small ones.
+    frequent = stored(frequent.orderBy(F.desc("f")).withColumn("id", F.monotonically_increasing_id() + 1), "words")
+    none = [F.array().cast(f"array<{kind}>").alias(name) for name, kind in (("place", "int"), ("id", "bigint"))]
+    known, held = blocks.select("lang", "words", "body", F.size("words").alias("size"), *none), blocks
+    for lexicon, last in _lexicons(frequent):
+        if last:
+            coded = stored(known.mapInArrow(_known_coded(lexicon), "body binary"), "coded", slim=True)
+        else:
+            known = stored(known.mapInArrow(_known(lexicon), KNOWN), "known", slim=True)
+        discard(held)
+        held = known
+    # At least a slot for each word of the table.
+    bits = max(PART_BITS, int(totals.agg(F.sum("n")).first()[0] or 0).bit_length())
+
+    def union(found: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint"))
+
+    levels = [union(_frequent_windows(coded, 2, least, bits))]
     for words in range(3, longest + 1):
-        found = _over_tries(coded, levels[-1], words - 1, lambda t, alone, w=words: _grow(w, t, alone), "windows")
-        levels.append(at_least(found))
-        discard(*found)
-    candidates = reduce(DataFrame.union, levels)
-    found = _over_tries(coded, candidates, longest, lambda t, _: _occurrences(t), "occurrences")
-    counted = stored(reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint")), "phrases")
+        levels.append(union([x for t, alone in _tries(levels[-1], words - 1) for x in _frequent_windows(coded, words, least, bits, t, alone)]))
+    found = []
+    for t, _ in _tries(union(levels), longest):
+        found.append(stored(coded.mapInArrow(_occurrences(t), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), "occurrences", slim=True))
+    counted = stored(union(found), "phrases")
     discard(*found, coded)
     parts = counted.union(frequent.select(_key("id").alias("key"), F.col("f").alias("a")))
     length = F.octet_length("key") / 8

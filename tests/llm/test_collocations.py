@@ -96,6 +96,51 @@ def test_tasks_hand_on_few_rows_at_a_time(monkeypatch):
         assert sorted((k, a) for b in out for k, a in zip(*(x.to_pylist() for x in b.columns))) == sorted((np.array([i, i + 1], ">i8").tobytes(), 1) for i in range(1, 11))
 
 
+def test_many_lexicons_and_slots(spark, rows, monkeypatch):
+    """Words, slots and what tasks hold in many small portions: the same rows."""
+    for name, value in (("LEXICON", 6), ("SLOTS", 40), ("PART_BITS", 6), ("HELD", 50)):
+        monkeypatch.setattr(c, name, value)
+    df = spark.createDataFrame(rows[:60], FIELDS).repartition(3)
+    got = sorted(tuple(r) for r in c.collocations(df, least=12, longest=3, top=30).collect())
+    assert got == brute(rows[:60], 12, 3, 30) and len(got) > 5
+
+
+def test_blocks_are_coded_without_a_shuffle(spark, rows, monkeypatch):
+    """Neither blocks nor all their words go through a shuffle to get ids."""
+    plans, own = {}, c.stored
+
+    def seen(df, name, **kw):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return own(df, name, **kw)
+
+    monkeypatch.setattr(c, "stored", seen)
+    c.collocations(spark.createDataFrame(rows, FIELDS), least=12, top=30)
+    assert "MapInArrow" in plans["coded"] and "Exchange" not in plans["coded"]
+
+
+def test_rare_windows_are_shuffled_as_few_bytes():
+    """Of windows that occur once only slots are handed on, in 3 bytes each at most; only frequent ones as ids."""
+    draw, bits = np.random.default_rng(3), 21
+    ids = np.concatenate([draw.integers(1, 5000, 100_000), [0], np.tile([7, 8, 0], 50)])
+    body = pa.RecordBatch.from_pydict({"body": [c.pack(ids)]})
+    windows = Counter(zip(ids[:-1].tolist(), ids[1:].tolist()))
+    windows = {w: a for w, a in windows.items() if min(w) > 0}
+    sums = list(c._slot_counts(2, None, True, bits, 40)([body]))
+    assert sum(len(x.as_py()) for b in sums for x in b.column(1)) < 3 * len(windows)
+    (key,) = {x.as_py() for b in sums for x in b.column(0)}
+    slots = c._frequent_slots(40)([pa.scalar(key)], pa.Table.from_batches(sums)).column("slot").to_numpy()
+    found = [b for b in c._grow(2, slots=SimpleNamespace(value=slots), bits=bits)([body])]
+    got = {tuple(np.frombuffer(k, ">i8").tolist()): a for b in found for k, a in zip(*(x.to_pylist() for x in b.columns))}
+    assert got[7, 8] == windows[7, 8] and len(got) < 5
+
+
+@pytest.mark.parametrize("numbers", [[], [5], [0, 1, 70_000, 2**40]])
+def test_packed_numbers(numbers):
+    for kind in (np.int64, np.uint64):
+        assert c.unpack(c.pack(np.array(numbers, kind)), kind).tolist() == numbers
+    assert len(c.pack(np.arange(100_000) % 200)) < 0.2 * 100_000
+
+
 def test_words_of_blocks_are_no_python_numbers():
     """Ids go to blocks as arrays: a list of numbers takes ten times the memory of a block."""
     columns = {"body": [c.pack(np.array([1, 2, 0, 3, 1], np.uint32)), c.pack(np.array([2, 1], np.uint32))], "size": [3, 2]}
