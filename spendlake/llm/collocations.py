@@ -8,7 +8,7 @@ bounded size, one after the other, so neither blocks nor their words are shuffle
 Candidates grow a word at a time: a window of k words is looked at only if both its parts of k - 1 words are frequent,
 which tries of the level before tell. Most windows are rare, so they are summed by slots first, at least as many as the
 table has words: a task sends gaps between its slots and counts, a byte or two a window. A frequent window is in a frequent
-slot, and only windows in these are summed by their ids. All candidates go to double-array tries of a bounded size (shards
+slot, and only windows in these are summed by their ids, in each task first. All candidates go to double-array tries of a bounded size (shards
 of the candidates by hash), broadcast one after the other. A task moves all positions of a block through a trie at once, a
 word a level, and counts accepting states; the sums over tasks and shards are the occurrences that scores are made of.
 
@@ -40,8 +40,9 @@ SHARD = 500_000
 FOUND = 50_000
 #: Words of a lexicon and frequent slots that are broadcast at a time: some 20 and 30 MB.
 LEXICON, SLOTS = 500_000, 4_000_000
-#: Bits of a slot within its part, whose counts lie in a task's memory, and slots that a task holds before it hands them on.
-PART_BITS, HELD = 21, 2_000_000
+#: Bits of a slot within its part, whose counts lie in a task's memory, and slots or phrases that a task holds before it
+#: hands them on.
+PART_BITS, HELD = 21, 1_000_000
 #: Bytes that separate words, and bytes that end a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -52,6 +53,8 @@ _IN_WORD[list(BLANKS + BREAKS)] = False
 BLOCK = "lang string, n bigint, body binary, words array<string>, counts array<bigint>"
 #: Blocks with the places in ``words`` whose ids are known, and the ids.
 KNOWN = "lang string, words array<string>, body binary, size int, place array<int>, id array<bigint>"
+#: What tasks hand on of the slots or phrases of a part, and sums of phrases.
+PART, SUMS = "part bigint, body binary", "key binary, a bigint"
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -233,10 +236,12 @@ def _keys(windows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(windows), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
 
 
-def _phrases(keys: list[bytes], words: int) -> np.ndarray:
+def _phrases(keys: pa.Array, words: int) -> np.ndarray:
+    """Rows of ids, 0 behind the last word, from what ``_keys`` made of them."""
+    lengths = pa.compute.binary_length(keys).to_numpy(zero_copy_only=False) // 8
     out = np.zeros((len(keys), words), np.int64)
-    for i, key in enumerate(keys):
-        out[i, : len(key) // 8] = np.frombuffer(key, ">i8")
+    if len(keys):
+        out[np.arange(words) < lengths[:, None]] = np.frombuffer(keys.buffers()[2], ">i8", int(lengths.sum()))
     return out
 
 
@@ -269,10 +274,10 @@ def _windows(words: int, trie=None, alone: bool = True):
     return run
 
 
-def _slots(ids: np.ndarray, at: np.ndarray, words: int, bits: int) -> np.ndarray:
-    """The slot, of 2 ** ``bits``, of each window of ``words`` words."""
-    factors, own = seeds(words, 31), ids.astype(np.uint64)
-    return (mix(sum(own[at + i] * factors[i] for i in range(words))) >> np.uint64(64 - bits)).astype(np.int64)
+def _slots(windows: np.ndarray, bits: int) -> np.ndarray:
+    """The slot, of 2 ** ``bits``, of each row of ids."""
+    factors = seeds(windows.shape[1], 31)
+    return (mix(sum(windows[:, i].astype(np.uint64) * f for i, f in enumerate(factors))) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _grow(words: int, trie=None, alone: bool = True, slots=None, bits: int = 0):
@@ -281,7 +286,7 @@ def _grow(words: int, trie=None, alone: bool = True, slots=None, bits: int = 0):
     def run(batches):
         for ids, at, counts in _windows(words, trie, alone)(batches):
             if slots is not None:
-                own = _slots(ids, at, words, bits)
+                own = _slots(ids[at[:, None] + np.arange(words)], bits)
                 place = np.searchsorted(slots.value, own)
                 place[place == len(slots.value)] = 0
                 inside = slots.value[place] == own
@@ -293,6 +298,12 @@ def _grow(words: int, trie=None, alone: bool = True, slots=None, bits: int = 0):
     return run
 
 
+def _by_part(parts: np.ndarray, begins: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """A row a part, with its range of all columns packed."""
+    bodies = [pack(np.concatenate([x[begin:end] for x in columns])) for begin, end in zip(begins, [*begins[1:], len(columns[0])])]
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(bodies, pa.binary())], names=["part", "body"])
+
+
 def _slot_counts(words: int, trie, alone: bool, bits: int, least: int):
     """How often windows fall into slots: by part of the slots, the gaps between them and the counts (``least`` at most, for
     sums are only compared with it)."""
@@ -301,16 +312,14 @@ def _slot_counts(words: int, trie, alone: bool, bits: int, least: int):
         slots, number = np.unique(np.concatenate([s for s, _ in held]), return_inverse=True)
         counts = np.bincount(number, np.concatenate([c for _, c in held])).astype(np.int64)
         parts, begins = np.unique(slots >> PART_BITS, return_index=True)
-        bodies = []
-        for part, begin, end in zip(parts.tolist(), begins, [*begins[1:], len(slots)]):
-            gaps = np.diff(slots[begin:end], prepend=part << PART_BITS)
-            bodies.append(pack(np.concatenate([gaps, np.minimum(counts[begin:end], least)])))
-        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(bodies, pa.binary())], names=["part", "body"])
+        gaps = np.diff(slots, prepend=0)
+        gaps[begins] = slots[begins] - (parts << PART_BITS)
+        return _by_part(parts, begins, [gaps, np.minimum(counts, least)])
 
     def run(batches):
         held, size = [], 0
         for ids, at, counts in _windows(words, trie, alone)(batches):
-            held.append((_slots(ids, at, words, bits), counts))
+            held.append((_slots(ids[at[:, None] + np.arange(words)], bits), counts))
             size += len(at)
             if size >= HELD:
                 yield handed_on(held)
@@ -334,6 +343,50 @@ def _frequent_slots(least: int):
     return run
 
 
+def _summed(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows once, with the sum of their counts."""
+    order = np.lexsort(phrases.T)
+    phrases = phrases[order]
+    first = np.flatnonzero(np.append(True, (phrases[1:] != phrases[:-1]).any(1)))
+    return phrases[first], np.add.reduceat(counts[order], first)
+
+
+def _task_sums(job, words: int, bits: int):
+    """What ``job`` counts, summed in the task: by part of the phrases' slots, their ids, word after word, and the counts."""
+
+    def handed_on(held):
+        phrases, counts = _summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+        part = _slots(phrases, bits) >> PART_BITS
+        order = np.argsort(part, kind="stable")
+        parts, begins = np.unique(part[order], return_index=True)
+        return _by_part(parts, begins, [*phrases[order].T, counts[order]])
+
+    def run(batches):
+        held, size = [], 0
+        for b in job(batches):
+            held.append((_phrases(b.column(0), words), b.column(1).to_numpy()))
+            size += b.num_rows
+            if size >= HELD:
+                yield handed_on(held)
+                held, size = [], 0
+        if size:
+            yield handed_on(held)
+
+    return run
+
+
+def _part_sums(words: int, least: int):
+    """Phrases of a part that occur ``least`` times or more in all tasks."""
+
+    def run(key, table):
+        bodies = [unpack(x.as_py(), np.int64).reshape(words + 1, -1) for x in table.column("body")]
+        phrases, counts = _summed(np.concatenate([x[:words].T for x in bodies]), np.concatenate([x[words] for x in bodies]))
+        often = counts >= least
+        return pa.Table.from_batches([_counted(phrases[often], counts[often])])
+
+    return run
+
+
 def _occurrences(trie):
     """How often each phrase of the trie occurs in the blocks of a task."""
 
@@ -376,23 +429,27 @@ def _tries(candidates: DataFrame, words: int) -> Iterator[tuple[object, bool]]:
         part = candidates if shards == 1 else candidates.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard)
         # About SHARD keys of at most 40 bytes.
         keys = part.select("key").toArrow().column(0).to_pylist()
-        trie = spark.sparkContext.broadcast(DoubleArray(_phrases(sorted(keys), words)))
+        trie = spark.sparkContext.broadcast(DoubleArray(_phrases(pa.array(sorted(keys), pa.binary()), words)))
         yield trie, shards == 1
         trie.destroy()
 
 
+def _sums(blocks: DataFrame, job, words: int, bits: int, least: int, name: str) -> DataFrame:
+    """Stored sums over all blocks of what ``job`` counts: phrases that occur ``least`` times or more."""
+    return stored(blocks.mapInArrow(_task_sums(job, words, bits), PART).groupBy("part").applyInArrow(_part_sums(words, least), SUMS), name, slim=True)
+
+
 def _frequent_windows(blocks: DataFrame, words: int, least: int, bits: int, trie=None, alone: bool = True) -> list[DataFrame]:
     """Stored windows that occur ``least`` times or more; each window's first part is in one trie only."""
     spark = blocks.sparkSession
-    sums = blocks.mapInArrow(_slot_counts(words, trie, alone, bits, least), "part bigint, body binary")
+    sums = blocks.mapInArrow(_slot_counts(words, trie, alone, bits, least), PART)
     slots = stored(sums.groupBy("part").applyInArrow(_frequent_slots(least), "slot bigint"), "slots", slim=True)
     shards, found = -(-slots.count() // SLOTS), []
     for shard in range(shards):
         part = slots if shards == 1 else slots.where(F.pmod("slot", F.lit(shards)) == shard)
         # About SLOTS numbers.
         own = spark.sparkContext.broadcast(np.sort(part.toArrow().column(0).to_numpy()))
-        windows = blocks.mapInArrow(_grow(words, trie, alone, own, bits), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
-        found.append(stored(windows.where(F.col("a") >= least), "candidates", slim=True))
+        found.append(_sums(blocks, _grow(words, trie, alone, own, bits), words, bits, least, "candidates"))
         own.destroy()
     discard(slots)
     return found
@@ -448,14 +505,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     bits = max(PART_BITS, int(totals.agg(F.sum("n")).first()[0] or 0).bit_length())
 
     def union(found: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.union, found, spark.createDataFrame([], "key binary, a bigint"))
+        return reduce(DataFrame.union, found, spark.createDataFrame([], SUMS))
 
     levels = [union(_frequent_windows(coded, 2, least, bits))]
     for words in range(3, longest + 1):
         levels.append(union([x for t, alone in _tries(levels[-1], words - 1) for x in _frequent_windows(coded, words, least, bits, t, alone)]))
-    found = []
-    for t, _ in _tries(union(levels), longest):
-        found.append(stored(coded.mapInArrow(_occurrences(t), "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a")), "occurrences", slim=True))
+    found = [_sums(coded, _occurrences(t), longest, bits, 1, "occurrences") for t, _ in _tries(union(levels), longest)]
     counted = stored(union(found), "phrases")
     discard(*found, coded)
     parts = counted.union(frequent.select(_key("id").alias("key"), F.col("f").alias("a")))

@@ -134,6 +134,20 @@ def test_rare_windows_are_shuffled_as_few_bytes():
     assert got[7, 8] == windows[7, 8] and len(got) < 5
 
 
+def test_tasks_hand_on_sums_of_their_blocks(monkeypatch):
+    """A phrase of many blocks leaves a task once, packed by part; parts add up what tasks handed on."""
+    ids = np.array([4, 5, 6, 0, 4, 5])
+    blocks = pa.RecordBatch.from_pydict({"body": [c.pack(ids)] * 30})
+    whole = list(c._task_sums(c._grow(2), 2, c.PART_BITS)([blocks]))
+    assert [b.num_rows for b in whole] == [1]
+    monkeypatch.setattr(c, "HELD", 6)
+    some = list(c._task_sums(c._grow(2), 2, c.PART_BITS)([blocks]))
+    assert len(some) == 10
+    for batches in (whole, some):
+        out = c._part_sums(2, 40)([pa.scalar(0)], pa.Table.from_batches(batches)).to_pydict()
+        assert out == {"key": [np.array([4, 5], ">i8").tobytes()], "a": [60]}
+
+
 @pytest.mark.parametrize("numbers", [[], [5], [0, 1, 70_000, 2**40]])
 def test_packed_numbers(numbers):
     for kind in (np.int64, np.uint64):
