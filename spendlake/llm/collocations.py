@@ -8,8 +8,8 @@ bounded size, one after the other, so neither blocks nor their words are shuffle
 Candidates grow a word at a time: a window of k words is looked at only if both its parts of k - 1 words are frequent,
 which tries of the level before tell. Most windows are rare, so they are summed by slots first, at least as many as the
 table has words: a task sends gaps between its slots and counts, a byte or two a window. A frequent window is in a frequent
-slot, and only windows in these are summed by their ids, in each task first. All candidates go to double-array tries of a bounded size (shards
-of the candidates by hash), broadcast one after the other. A task moves all positions of a block through a trie at once, a
+slot, and only windows in these are summed by their ids, in each task first. All candidates go to tries in two arrays, whose size is bounded by
+that of shards of the candidates (by hash), broadcast one after the other. A task moves all positions of a block through a trie at once, a
 word a level, and counts accepting states; the sums over tasks and shards are the occurrences that scores are made of.
 
 Within a block words are told apart by 64-bit hashes, elsewhere by their strings and ids.
@@ -34,7 +34,7 @@ from spendlake.llm.words import LOWER, hashes, mix, seeds, text_bytes
 BLOCK_BYTES = 1 << 20
 #: Rows of texts or blocks that a task takes into memory at a time, and Spark's setting for it.
 ROWS, ROWS_AT_A_TIME = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Phrases of a trie, which is what is broadcast: at most some 100 MB with all its arrays.
+#: Phrases of a trie, which is what is broadcast: at most some 100 MB with all its arrays, for phrases of 5 words.
 SHARD = 500_000
 #: Windows or phrases that a task hands on at a time.
 FOUND = 50_000
@@ -46,6 +46,8 @@ PART_BITS, HELD = 21, 1_000_000
 #: Bytes that separate words, and bytes that end a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
+#: Odd, so that products with it spread over all slots.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _IN_WORD, _BREAK = np.ones(256, bool), np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
 _IN_WORD[list(BLANKS + BREAKS)] = False
@@ -159,57 +161,58 @@ def _coded(batches) -> Iterator[pa.RecordBatch]:
 
 
 class DoubleArray:
-    """Trie of phrases (rows of ids, 0 behind the last word) in two arrays: the child of state s by symbol c is at
-    ``base[s] + c`` if ``check`` says s there. Symbols are the numbers of the ids among those of the phrases."""
+    """Trie of phrases (rows of ids, 0 behind the last word) in two arrays of twice to four times as many slots as it has
+    edges, however many children a state has: the child of state s by symbol c is ``size`` and the first slot from the hash of
+    both on where ``check`` has them, unless a free slot comes first; ``accept`` has the phrase that ends in a state. Symbols
+    are the numbers of the ids among those of the phrases, and the states of first words."""
 
     def __init__(self, phrases: np.ndarray):
         self.phrases = phrases
         self.symbols = np.unique(phrases[phrases > 0])
-        size = len(self.symbols) + 1
-        self.base, self.check = np.zeros(2 * size, np.int32), np.full(2 * size, -1, np.int32)
-        self.check[1:size] = 0
+        self.size = len(self.symbols) + 1
         symbols = np.where(phrases > 0, np.searchsorted(self.symbols, phrases) + 1, 0)
+        self.bits = (2 * max(1, self._edges(symbols)) - 1).bit_length()
+        self.check = np.full(1 << self.bits, -1, np.int64)
         state = symbols[:, 0].copy()
-        ends = state.copy()
         for level in range(1, phrases.shape[1]):
             rows = np.flatnonzero(symbols[:, level])
-            pairs, number = np.unique(state[rows] * size + symbols[rows, level], return_inverse=True)
-            slots = self._place(pairs // size, pairs % size, size)
-            state[rows] = slots[number]
-            ends[rows] = state[rows]
-        self.accept = np.full(len(self.check), -1, np.int32)
-        self.accept[ends] = np.arange(len(phrases))
-
-    def _place(self, parents: np.ndarray, symbols: np.ndarray, size: int) -> np.ndarray:
-        """Slots of children, sorted by parent: parents with most children first, all of a size class tried at random
-        places at once; those that meet no other keep theirs. The arrays double when too few find one."""
-        draw = np.random.default_rng(len(parents))
-        slots = np.zeros(len(parents), np.int64)
-        nodes, first, counts = np.unique(parents, return_index=True, return_counts=True)
-        order = np.argsort(-counts, kind="stable")
-        bits = np.ceil(np.log2(counts[order] + 1)).astype(int)
-        for group in np.split(order, np.flatnonzero(np.diff(bits)) + 1) if len(order) else []:
-            while len(group):
-                room = len(self.check) - size
-                own = np.repeat(np.arange(len(group)), counts[group])
-                at = np.arange(len(own)) - np.repeat(np.cumsum(counts[group]) - counts[group], counts[group]) + np.repeat(first[group], counts[group])
-                base = draw.integers(size, room + 1, len(group)) if room >= size else np.full(len(group), size)
-                spot = base[own] + symbols[at]
-                spot = np.minimum(spot, len(self.check) - 1)
-                winner = np.full(len(self.check), -1, np.int32)
-                winner[spot[::-1]] = own[::-1]
-                bad = (self.check[spot] != -1) | (winner[spot] != own) | (base[own] + symbols[at] != spot)
-                fits = np.bincount(own[bad], minlength=len(group)) == 0
-                mine = fits[own]
-                self.check[spot[mine]] = parents[at[mine]]
-                self.base[nodes[group[fits]]] = base[fits]
-                slots[at[mine]] = spot[mine]
-                if fits.sum() < 0.3 * len(group):
-                    grown = len(self.check)
-                    self.base = np.concatenate([self.base, np.zeros(grown, np.int32)])
-                    self.check = np.concatenate([self.check, np.full(grown, -1, np.int32)])
-                group = group[~fits]
-        return slots
+            edges, number = np.unique(state[rows] * self.size + symbols[rows, level], return_inverse=True)
+            state[rows] = self._place(edges)[number]
+        self.accept = np.full(self.size + len(self.check), -1, np.int32)
+        self.accept[state] = np.arange(len(phrases))
+
+    @staticmethod
+    def _edges(symbols: np.ndarray) -> int:
+        """Different beginnings of two words or more."""
+        rows = symbols[np.lexsort(symbols.T[::-1])]
+        new = np.ones(rows.shape, bool)
+        new[1:] = np.logical_or.accumulate(rows[1:] != rows[:-1], axis=1)
+        return int((new & (rows > 0))[:, 1:].sum())
+
+    def _slot(self, edges: np.ndarray) -> np.ndarray:
+        return ((edges.astype(np.uint64) * _SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _place(self, edges: np.ndarray) -> np.ndarray:
+        """States that new edges lead to: of those that meet in a free slot one takes it, the others go on."""
+        slots, left = self._slot(edges), np.arange(len(edges))
+        while len(left):
+            free = left[self.check[slots[left]] == -1]
+            self.check[slots[free]] = edges[free]
+            left = left[self.check[slots[left]] != edges[left]]
+            slots[left] = (slots[left] + 1) & (len(self.check) - 1)
+        return slots + self.size
+
+    def _follow(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the edges there are, and the states they lead to."""
+        slots = self._slot(edges)
+        there = self.check[slots]
+        left = np.flatnonzero((there != edges) & (there != -1))
+        while len(left):
+            slots[left] = (slots[left] + 1) & (len(self.check) - 1)
+            there[left] = self.check[slots[left]]
+            left = left[(there[left] != edges[left]) & (there[left] != -1)]
+        on = np.flatnonzero(there == edges)
+        return on, slots[on] + self.size
 
     def walk(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Level by level: how many words were read, at which positions a path goes on, and the states there."""
@@ -222,9 +225,9 @@ class DoubleArray:
             inside = places + level < len(ids)
             places, state = places[inside], state[inside]
             symbol = symbols[places + level]
-            to = self.base[state] + symbol
-            on = (symbol > 0) & (self.check[to] == state)
-            places, state = places[on], to[on]
+            known = np.flatnonzero(symbol)
+            on, state = self._follow(state[known] * self.size + symbol[known])
+            places = places[known[on]]
             yield level + 1, places, state
 
 
@@ -428,8 +431,7 @@ def _tries(candidates: DataFrame, words: int) -> Iterator[tuple[object, bool]]:
     for shard in range(shards):
         part = candidates if shards == 1 else candidates.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == shard)
         # About SHARD keys of at most 40 bytes.
-        keys = part.select("key").toArrow().column(0).to_pylist()
-        trie = spark.sparkContext.broadcast(DoubleArray(_phrases(pa.array(sorted(keys), pa.binary()), words)))
+        trie = spark.sparkContext.broadcast(DoubleArray(_phrases(part.select("key").toArrow().column(0).combine_chunks(), words)))
         yield trie, shards == 1
         trie.destroy()
 

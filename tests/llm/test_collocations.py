@@ -208,3 +208,14 @@ def test_double_array(count, words):
                 got[tuple(text[place : place + level].tolist())] += 1
     want = Counter(tuple(text[i : i + k].tolist()) for k in range(2, 6) for i in range(len(text) - k + 1))
     assert got == {p: n for p, n in want.items() if p in phrases}
+
+
+def test_tries_stay_small():
+    """States with many children of a large vocabulary: a trie takes memory by its phrases, not by how children are spread."""
+    draw = np.random.default_rng(5)
+    rows = np.unique(np.stack([draw.integers(1, 100, 60_000), draw.integers(1, 40_000, 60_000)], 1), axis=0)
+    trie = c.DoubleArray(rows)
+    assert sum(x.nbytes for x in vars(trie).values() if isinstance(x, np.ndarray)) < 60 * len(rows)
+    (words, places, states), = trie.walk(rows.reshape(-1))
+    at = places % 2 == 0
+    assert words == 2 and trie.accept[states[at]].tolist() == list(range(len(rows)))
