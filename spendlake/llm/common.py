@@ -11,12 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.session import scratch_path
-from spendlake.storage import delete
+from spendlake.storage import CLEAN_SHUFFLES, delete
 
 #: A side is broadcast only if it was counted and has at most this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
-#: Spark's setting that removes a query's shuffle files when the query ends.
-CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of rows that go to Python at a time, however many rows those are, and Spark's setting for it.
 BATCH_BYTES, BYTES_AT_A_TIME = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 

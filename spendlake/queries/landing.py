@@ -6,9 +6,12 @@ its fixed number of objects however the rows are spread over accounts or days.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlake import storage
 from spendlake.queries.base import table
 from spendlake.session import scratch_path
 from spendlake.sources.pages import LANDED_PAGE, as_page, read_landed
@@ -17,6 +20,10 @@ LANDED_AT = "2024-02-01T06:00:00Z"
 LANDED_EPOCH = 1706767200
 PAGE = 100
 BATCH = 50
+#: Delivery rows that are reported and landed at a time: their shuffles take some 200 bytes a row on disk.
+WAVE_ROWS = 4_000_000
+#: Both are read once or twice, and text of pages shrinks to half of what Spark's own choice makes of it.
+COMPRESSION = "zstd"
 
 
 def div(whole: Column, by: int) -> Column:
@@ -45,13 +52,43 @@ def landed(
     ).select(*LANDED_PAGE.names)
 
 
-def through_files(spark: SparkSession, pages: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """Land the pages in the shared folder and read them back as a run would."""
+def through_files(spark: SparkSession, pages: DataFrame | Iterable[DataFrame], fmt: str = "parquet") -> DataFrame:
+    """Land the pages, all at once or some at a time, in the shared folder and read them back as a run would.
+
+    What was shuffled for pages is removed as soon as they have landed.
+    """
     path = scratch_path(spark, "pages")
-    pages.write.format(fmt).save(path)
+    for some in [pages] if isinstance(pages, DataFrame) else pages:
+        writer = some.write.format(fmt).mode("append")
+        if fmt == "parquet":
+            writer = writer.option("compression", COMPRESSION)
+        with storage.shuffles_removed(spark):
+            writer.save(path)
     return read_landed(spark, path, fmt)
 
 
+def waves(spark: SparkSession, delivery: DataFrame, ads: DataFrame, rows: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Delivery rows, of which there are about ``rows``, with their ads, some ``WAVE_ROWS`` at a time.
+
+    They are cut by the page of their ad, so every row of an ad report and every page of them comes from one wave. If there
+    are several, the rows are stored first; those of a wave are removed when the next one is asked for.
+    """
+    number = -(-rows // WAVE_ROWS)
+    if number <= 1:
+        yield delivery, ads
+        return
+    wave = F.pmod(F.xxhash64(div(F.col("ad_id").cast("bigint"), PAGE)), F.lit(number)).cast("int")
+    path = scratch_path(spark, "delivery")
+    with storage.shuffles_removed(spark):
+        delivery.withColumn("wave", wave).write.partitionBy("wave").option("compression", COMPRESSION).parquet(path)
+    for k in range(number):
+        own = f"{path}/wave={k}"
+        stored = spark.read.schema(delivery.schema).parquet(own) if storage.exists(spark, own) else delivery.limit(0)
+        yield stored, ads.where(wave == k)
+        storage.delete(spark, own)
+    storage.delete(spark, path)
+
+
 def region_account(nation_key: Column) -> Column:
     """Account of a nation: nations go round the regions in key order."""
     return F.concat(F.lit("act_"), (nation_key % 5).cast("string"))

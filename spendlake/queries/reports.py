@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +24,27 @@ from spendlake.queries.base import (
     report_sql,
     table,
 )
+from spendlake.queries.landing import waves
 from spendlake.session import scratch_path
 
 AD_GRAIN = "ad_account_id, campaign_id, ad_set_id, ad_id, ad_name, ad_set_name, campaign_name"
 
 
-def ad_report(spark: SparkSession, sf_dir: str, breakdowns: tuple[str, ...] = ()) -> DataFrame:
+def ad_delivery(spark: SparkSession, sf_dir: str, breakdowns: tuple[str, ...] = ()) -> DataFrame:
     delivery = raw_delivery(spark, sf_dir)
-    if "market" in breakdowns:
-        delivery = delivery.join(markets(spark, sf_dir), "l_suppkey")
-    return ad_id_as_text(R.report(delivery, "ad", breakdowns, hierarchy(spark, sf_dir)))
+    return delivery.join(markets(spark, sf_dir), "l_suppkey") if "market" in breakdowns else delivery
+
+
+def ad_report(spark: SparkSession, sf_dir: str, breakdowns: tuple[str, ...] = ()) -> DataFrame:
+    return ad_id_as_text(R.report(ad_delivery(spark, sf_dir, breakdowns), "ad", breakdowns, hierarchy(spark, sf_dir)))
+
+
+def ad_reports(spark: SparkSession, sf_dir: str, breakdowns: tuple[str, ...] = ()) -> Iterator[DataFrame]:
+    """The rows of ``ad_report``, in parts that are to be stored one after the other."""
+    columns = ("ad_id", *breakdowns, R.DAY, *R.ADDITIVE, "person_id")
+    delivery, rows = ad_delivery(spark, sf_dir, breakdowns).select(*columns), table(spark, sf_dir, "lineitem").count()
+    for part, ads in waves(spark, delivery, hierarchy(spark, sf_dir), rows):
+        yield ad_id_as_text(R.report(part, "ad", breakdowns, ads))
 
 
 def level_report(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from spendlake.plans import tables as T
 from spendlake.plans.spec import TableSpec
 from spendlake.queries import landing as L
 from spendlake.queries.base import DELIVERY_SQL, campaign_names, portable, query, report_sql, sql_columns, table
-from spendlake.queries.reports import AD_GRAIN, ad_report, level_report
+from spendlake.queries.reports import AD_GRAIN, ad_reports, level_report
 from spendlake.session import scratch_path
 from spendlake.sources.batches import unpack_batches
 from spendlake.sources.pages import (
@@ -172,16 +174,20 @@ def _fact_sql(spec: TableSpec, grain: str, **more: str) -> str:
 SELECT {sql_columns(spec, _facts_known(**more))} FROM report"""
 
 
-def _typed_facts(spec: TableSpec, rows: DataFrame, number: str = "ad_id") -> DataFrame:
-    """Report rows to pages of text, cut by a numeric id, and back through the typed scan."""
+def _report_pages(spec: TableSpec, rows: DataFrame, number: str) -> DataFrame:
+    """Report rows as pages of text, cut by a numeric id."""
     text = [
         F.col(f.column).cast("string").alias(f.api)
         for f in spec.fields
         if f.column in rows.columns and f.kind != "json"
     ]
     click = F.struct(F.lit("click").alias("action_type"), F.col("clicks").cast("string").alias("value"))
-    built = L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")), number)
-    pages = L.through_files(rows.sparkSession, built)
+    return L.report_pages(rows, F.struct(*text, F.array(click).alias("actions")), number)
+
+
+def _typed_facts(spark: SparkSession, spec: TableSpec, parts: Iterable[DataFrame], number: str = "ad_id") -> DataFrame:
+    """Parts of a report's rows, no page in two of them, to landed pages and back through the typed scan."""
+    pages = L.through_files(spark, (_report_pages(spec, rows, number) for rows in parts))
     return portable(scan_report(pages, L.report_runs(pages), spec))
 
 
@@ -192,12 +198,12 @@ AD_IDS = {
 
 @query("scan_report_ad", _fact_sql(T.AD_DAILY, AD_GRAIN, **AD_IDS))
 def scan_report_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_facts(T.AD_DAILY, ad_report(spark, sf_dir))
+    return _typed_facts(spark, T.AD_DAILY, ad_reports(spark, sf_dir))
 
 
 @query("scan_report_ad_market", _fact_sql(T.AD_MARKET_DAILY, AD_GRAIN + ", market", market="market", **AD_IDS))
 def scan_report_ad_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_facts(T.AD_MARKET_DAILY, ad_report(spark, sf_dir, ("market",)))
+    return _typed_facts(spark, T.AD_MARKET_DAILY, ad_reports(spark, sf_dir, ("market",)))
 
 
 @query(
@@ -205,7 +211,7 @@ def scan_report_ad_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     _fact_sql(T.AD_AGE_GENDER_DAILY, AD_GRAIN + ", age, gender", age="age", gender="gender", **AD_IDS),
 )
 def scan_report_ad_age_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_facts(T.AD_AGE_GENDER_DAILY, ad_report(spark, sf_dir, ("age", "gender")))
+    return _typed_facts(spark, T.AD_AGE_GENDER_DAILY, ad_reports(spark, sf_dir, ("age", "gender")))
 
 
 @query(
@@ -213,7 +219,7 @@ def scan_report_ad_age_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     _fact_sql(T.AD_SET_DAILY, "ad_account_id, campaign_id, ad_set_id", ad_set_id="ad_set_id", campaign_id="campaign_id"),
 )
 def scan_report_ad_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_facts(T.AD_SET_DAILY, level_report(spark, sf_dir, "adset"), "campaign_id")
+    return _typed_facts(spark, T.AD_SET_DAILY, [level_report(spark, sf_dir, "adset")], "campaign_id")
 
 
 @query(
@@ -226,7 +232,7 @@ def scan_report_ad_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_report_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = attach(level_report(spark, sf_dir, "campaign"), campaign_names(spark, sf_dir), ("ad_account_id", "campaign_id"))
-    return _typed_facts(T.CAMPAIGN_DAILY, rows, "campaign_id")
+    return _typed_facts(spark, T.CAMPAIGN_DAILY, [rows], "campaign_id")
 
 
 @query(
